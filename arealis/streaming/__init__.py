@@ -1,0 +1,5 @@
+"""Empty on purpose.
+
+None of the workloads this engine covers has a streaming source, a watermark or
+keyed state: every input is a batch table, so every operator is a batch operator.
+"""
