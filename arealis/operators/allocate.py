@@ -60,10 +60,12 @@ def hourly_fractions(counts: DataFrame, hour: str = "hour", count: str = "n") ->
 
 
 def profile_of(fractions: DataFrame) -> HourProfile:
-    """The 24 rows of ``hourly_fractions`` as a profile (one scalar subquery)."""
-    rows = fractions.select(F.sort_array(F.collect_list(F.struct("hour", "fraction", "rank")))).scalar()
-    return HourProfile(F.transform(rows, lambda r: r["fraction"]),
-                       F.transform(rows, lambda r: r["rank"]))
+    """The 24 rows of ``hourly_fractions`` as a profile (scalar subqueries)."""
+    def column(name: str) -> Column:
+        rows = F.sort_array(F.collect_list(F.struct("hour", name)))
+        return fractions.select(F.transform(rows, lambda r: r[name])).scalar()
+
+    return HourProfile(column("fraction"), column("rank"))
 
 
 def score_grid(areas: DataFrame, scores: DataFrame, months: DataFrame | Sequence[str], *,
@@ -96,8 +98,10 @@ def allocate_daily(df: DataFrame, group: Sequence[str] = ("lad", "ward", "month_
     return df.join(totals, list(group)).withColumn("officers_assigned", given).drop("_total")
 
 
-def _split(daily: str, profile: HourProfile) -> Column:
-    return F.transform(profile.share, lambda f: F.floor(F.col(daily) * f).cast("int"))
+def _split(df: DataFrame, daily: str, profile: HourProfile) -> DataFrame:
+    """Adds the rank array and the floors of the day's number times each hour's share."""
+    return (df.withColumns({"_share": profile.share, "_rank": profile.rank})
+            .withColumn("_base", F.transform("_share", lambda f: F.floor(F.col(daily) * f).cast("int"))))
 
 
 def _total(values: Column) -> Column:
@@ -107,10 +111,10 @@ def _total(values: Column) -> Column:
 def allocate_hourly_bump(df: DataFrame, profile: HourProfile, daily: str = "officers_assigned") -> DataFrame:
     """24 rows per roster row; a positive day that floors to nothing gets one officer
     in the busiest hour (the first of equals)."""
-    base = _split(daily, profile)
+    base = F.col("_base")
     bumped = F.when((F.col(daily) > 0) & (_total(base) == 0),
-                    F.transform(profile.rank, lambda r: (r == 1).cast("int"))).otherwise(base)
-    slots = df.withColumn("_slots", bumped).select(
+                    F.transform("_rank", lambda r: (r == 1).cast("int"))).otherwise(base)
+    slots = _split(df, daily, profile).withColumn("_slots", bumped).select(
         *[c for c in df.columns if c != daily], F.posexplode("_slots").alias("hour", daily))
     return slots.withColumn("hour_block", F.format_string("%02d:00–%02d:59", "hour", "hour"))
 
@@ -119,8 +123,7 @@ def allocate_hourly_remainder(df: DataFrame, profile: HourProfile, daily: str =
                               out: str = "hourly") -> DataFrame:
     """24-slot array per roster row: floors, then one more officer in each of the
     busiest hours until the day's number is reached (at most one extra per hour)."""
-    base = _split(daily, profile)
-    lacking = F.col(daily) - _total(base)
-    filled = F.zip_with(base, profile.rank, lambda b, r: b + (r <= lacking).cast("int"))
-    return df.withColumn(out, F.when(F.col(daily) > 0, filled).otherwise(
-        F.array_repeat(F.lit(0), 24)))
+    lacking = F.col(daily) - _total(F.col("_base"))
+    filled = F.zip_with("_base", "_rank", lambda b, r: b + (r <= lacking).cast("int"))
+    return _split(df, daily, profile).withColumn(out, F.when(F.col(daily) > 0, filled).otherwise(
+        F.array_repeat(F.lit(0), 24))).drop("_share", "_rank", "_base")

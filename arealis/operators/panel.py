@@ -14,7 +14,8 @@ def normalize_time(df: DataFrame, date_col: str = "Month") -> DataFrame:
 
     The index is scaled by whole years times 12 (at least 1), so its maximum is 1
     only when the data end in the month they started in. The bounds are a scalar
-    subquery: one aggregate row, no global window and no join.
+    subquery: one aggregate row, no global window and no join. Column names ignore
+    case in Spark, so a text column called ``Month`` is kept as ``Month_text``.
     """
     day = cal.month_start(F.col(date_col))
     year, month = F.year(day), F.month(day)
@@ -24,6 +25,8 @@ def normalize_time(df: DataFrame, date_col: str = "Month") -> DataFrame:
     span = (F.year(bounds["last"]) - first_year) * 12
     offset = cal.month_index(year, month) - cal.month_index(
         first_year, F.month(bounds["first"]))
+    if date_col.lower() in MONTH_COLUMNS:
+        df = df.withColumn(f"{date_col}_text", F.col(date_col))
     return df.withColumns({
         "year": year,
         "month": month,
@@ -58,8 +61,14 @@ def densify_grid(df: DataFrame, location: str = "loc", count: str = "count", *,
     key = cal.month_index(F.col("year"), F.col("month"))
     observed = counts.groupBy(location).agg(
         F.map_from_entries(F.collect_list(F.struct(key, F.col(count)))).alias("_observed"))
-    axis = _calendar_axis(df) if calendar else (
-        df.select(F.sort_array(F.collect_set(F.struct(*cols))).alias("m")).scalar())
+    if calendar:
+        bounds = df.select(F.struct(
+            F.min(key).alias("lo"), F.max(key).alias("hi"),
+            F.min("year").alias("y0"), F.max("year").alias("y1")).alias("b")).scalar()
+        observed = observed.withColumn("_b", bounds)
+        axis = _calendar_axis(F.col("_b"))
+    else:
+        axis = df.select(F.sort_array(F.collect_set(F.struct(*cols))).alias("m")).scalar()
     grid = observed.select(location, "_observed", F.explode(axis).alias("_m"))
     at = cal.month_index(F.col("_m.year"), F.col("_m.month"))
     return grid.select(
@@ -67,12 +76,8 @@ def densify_grid(df: DataFrame, location: str = "loc", count: str = "count", *,
         F.coalesce(F.try_element_at("_observed", at), F.lit(0)).cast("bigint").alias(count))
 
 
-def _calendar_axis(df: DataFrame) -> Column:
+def _calendar_axis(bounds: Column) -> Column:
     """All months between the first and the last one, with their encodings."""
-    key = cal.month_index(F.col("year"), F.col("month"))
-    bounds = df.select(F.struct(
-        F.min(key).alias("lo"), F.max(key).alias("hi"),
-        F.min("year").alias("y0"), F.max("year").alias("y1")).alias("b")).scalar()
     span = (bounds["y1"] - bounds["y0"]) * 12
 
     def month_row(k: Column) -> Column:

@@ -126,10 +126,10 @@ def _nearest_in_row(spots: DataFrame, q: Sequence[str], few: DataFrame, t: Seque
                     k: int) -> DataFrame:
     """Same result for a counted, small target set carried as one array."""
     posts = few.select(F.collect_list(F.struct(*t, "_key"))).scalar()
-    ordered = F.array_sort(F.transform(posts, lambda s: F.struct(
+    ordered = F.array_sort(F.transform("_posts", lambda s: F.struct(
         F.sqrt(_sum([_square(F.col(q[i]) - s[t[i]]) for i in range(len(q))])).alias("_d"),
         s["_key"].alias("neighbor"))))
-    return (spots.select(*q, F.posexplode(F.slice(ordered, 1, k)).alias("_pos", "_e"))
+    return (spots.withColumn("_posts", posts).select(*q, F.posexplode(F.slice(ordered, 1, k)).alias("_pos", "_e"))
             .select(*q, "_e._d", "_e.neighbor", (F.col("_pos") + 1).alias("rank")))
 
 
@@ -176,11 +176,12 @@ def nearest_station(points: DataFrame, lat: str, lon: str, stations: DataFrame,
         F.col(station_lon).cast("double").alias("o"))
     if is_small(located, small):
         posts = located.select(F.collect_list(F.struct("k", "a", "o"))).scalar()
-        best = F.array_min(F.transform(posts, lambda s: F.struct(
+        best = F.array_min(F.transform("_posts", lambda s: F.struct(
             geo.haversine_m(F.col(lat), F.col(lon), s["a"], s["o"]).alias("d"), s["k"].alias("k"))))
         usable = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-        return points.withColumn("_best", F.when(usable, best)).withColumns({
-            "nearest_station": F.col("_best.k"), "distance_m": F.col("_best.d")}).drop("_best")
+        found = points.withColumn("_posts", posts).withColumn("_best", F.when(usable, best))
+        return found.withColumns({"nearest_station": F.col("_best.k"),
+                                  "distance_m": F.col("_best.d")}).drop("_best", "_posts")
     found = _nearest_on_sphere(points, lat, lon, located)
     return (points.join(found, (points[lat].cast("double") == found["_a"])
                         & (points[lon].cast("double") == found["_o"]), "left").drop("_a", "_o"))

@@ -45,6 +45,9 @@ def build_features(events: DataFrame, *, location: str = "loc", target: str = "c
     years = panel.select("year").distinct()
     if edges is not None:
         panel = spatial.add_neighbor_features(panel, edges, location, target, f"neighbor_{target}")
+    if snapshots is not None:
+        # Months before the first snapshot are not part of any series.
+        panel = panel.filter(F.col("year") >= snapshots.select(F.min("valid_from")).scalar())
     if classes is not None:
         panel = lookup.semi_filter(panel, location, classes, class_key or location)
     panel = temporal.add_temporal_features(panel, location, target, risk=True,
