@@ -52,7 +52,8 @@ def collect_events(raw: DataFrame, lookup: DataFrame, *, kind: str, id_col: str
         raw.schema[code].dataType))
     recoded = recode_location(kept, code, lookup, old, new, flag)
     valid = lookup.select(F.col(new).alias(code)).distinct()
-    return dedup_first(recoded.join(valid, code, "left_semi"), [id_col])
+    inside = recoded.join(valid, code, "left_semi").select(*[F.col(f"`{c}`") for c in raw.columns])
+    return dedup_first(inside, [id_col])
 
 
 def semi_filter(df: DataFrame, location: str, classes: DataFrame, key: str,
