@@ -1,4 +1,4 @@
 """All checked queries, one module per subject."""
 
-from . import panels, places, rosters, sources_joins, windows  # noqa: F401
+from . import models, panels, places, rosters, sources_joins, statistics, windows  # noqa: F401
 from .core import ORACLES, QUERIES  # noqa: F401

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from arealis.functions import calendar as cal
 from arealis.operators import allocate, dashboard as dash, eda, panel as p, tree
 from arealis.plans import roster as plan
 
@@ -177,26 +178,27 @@ def tree_summary(spark, sf):
 # -- dashboard ------------------------------------------------------------
 
 @query("list_areas", f"""WITH {s.AREAS_SQL} SELECT 'lad' AS level, lad AS code, lad_name AS name FROM areas
-UNION SELECT 'ward', ward, ward_name FROM areas WHERE lad = 1 UNION SELECT 'loc', loc, loc_name FROM areas WHERE lad = 1""")
+UNION SELECT 'ward', ward, ward_name FROM areas UNION SELECT 'loc', loc, loc_name FROM areas""")
 def list_areas(spark, sf):
+    """Boroughs, the wards of every borough and the areas of every ward."""
     a = s.areas(spark, sf)
-    out = None
-    for level, lad in (("lad", None), ("ward", 1), ("loc", 1)):
-        rows = dash.list_areas(a, level, lad).select(F.lit(level).alias("level"), F.col("code").cast("bigint")
-                                                     .alias("code"), "name")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = [dash.list_areas(a, level).select(F.lit(level).alias("level"), F.col("code").cast("bigint").alias("code"),
+                                             "name") for level in ("lad", "ward", "loc")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-@query("lookup_series", f"""WITH {BASE}, {SCORES} SELECT p.loc, p.ym AS month_key, p.x AS historical, sc.score AS prediction
-FROM panel p LEFT JOIN sc ON sc.loc = p.loc AND sc.ym = p.ym WHERE p.loc = 1""")
+@query("lookup_series", f"""WITH {BASE}, {SCORES},
+top AS (SELECT loc FROM ev GROUP BY loc ORDER BY count(*) DESC, loc LIMIT 1)
+SELECT p.loc, p.ym AS month_key, p.x AS historical, sc.score AS prediction
+FROM panel p LEFT JOIN sc ON sc.loc = p.loc AND sc.ym = p.ym WHERE p.loc = (SELECT loc FROM top)""")
 def lookup_series(spark, sf):
-    from arealis.functions import calendar as cal
-
+    """Both series of the busiest location."""
+    code = eda.top_locations(s.events(spark, sf), "loc", 1).select("loc").scalar()
     long = s.panel(spark, sf).select("loc", cal.month_key(F.col("year"), F.col("month")).alias("month_key"),
                                      F.col("x").alias("historical"))
     preds = scores(spark, sf).withColumnRenamed("score", "prediction")
-    return dash.lookup_series(long, "loc", 1).join(dash.lookup_series(preds, "loc", 1), ["loc", "month_key"], "left")
+    return dash.lookup_series(long, "loc", code).join(dash.lookup_series(preds, "loc", code),
+                                                      ["loc", "month_key"], "left")
 
 
 @query("points_in_range", f"""WITH {s.ev_sql()} SELECT loc, ym, lon, lat, count(*) AS n FROM ev
@@ -236,7 +238,8 @@ def merged_timeline(spark, sf):
 
 
 @query("officers_by_hour", ALLOC + f""", {HOURS}, {REMAINDER} SELECT loc, ym AS month_key, h AS hour, n AS officers FROM hourly
-WHERE ym = '1997-05'""")
+WHERE ym = (SELECT max(ym) FROM ev)""")
 def officers_by_hour(spark, sf):
     d = allocate.allocate_hourly_remainder(daily(spark, sf), allocate.hour_profile())
-    return dash.officers_by_hour(d, "loc", "month_key", month_key="1997-05")
+    last = s.events(spark, sf).select(F.max("ym")).scalar()
+    return dash.officers_by_hour(d, "loc", "month_key", month_key=last)
