@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    An expression used inside a lambda is evaluated for every array element, and
+    adjacent projections are merged, so naming it as a column does not help; bound
+    as a lambda variable it is computed once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """``num / den``; NULL when the denominator is 0 or NULL."""
     return F.try_divide(num.cast("double"), den.cast("double"))

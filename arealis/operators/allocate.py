@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalars import safe_div
+from ..functions.scalars import let, safe_div
 
 # Reference counts of events per hour of the day, hours 0 to 23.
 HOURLY_COUNTS = (
@@ -98,10 +98,15 @@ def allocate_daily(df: DataFrame, group: Sequence[str] = ("lad", "ward", "month_
     return df.join(totals, list(group)).withColumn("officers_assigned", given).drop("_total")
 
 
-def _split(df: DataFrame, daily: str, profile: HourProfile) -> DataFrame:
-    """Adds the rank array and the floors of the day's number times each hour's share."""
-    return (df.withColumns({"_share": profile.share, "_rank": profile.rank})
-            .withColumn("_base", F.transform("_share", lambda f: F.floor(F.col(daily) * f).cast("int"))))
+def _slots(df: DataFrame, daily: str, profile: HourProfile, finish) -> DataFrame:
+    """Adds ``_slots``: ``finish(floors, their sum, rank array)`` per roster row."""
+    def floors(share: Column) -> Column:
+        return F.transform(share, lambda f: F.floor(F.col(daily) * f).cast("int"))
+
+    bound = df.withColumns({"_share": profile.share, "_rank": profile.rank})
+    slots = let(floors(F.col("_share")), lambda base: let(
+        _total(base), lambda total: finish(base, total, F.col("_rank"))))
+    return bound.withColumn("_slots", slots).drop("_share", "_rank")
 
 
 def _total(values: Column) -> Column:
@@ -111,10 +116,11 @@ def _total(values: Column) -> Column:
 def allocate_hourly_bump(df: DataFrame, profile: HourProfile, daily: str = "officers_assigned") -> DataFrame:
     """24 rows per roster row; a positive day that floors to nothing gets one officer
     in the busiest hour (the first of equals)."""
-    base = F.col("_base")
-    bumped = F.when((F.col(daily) > 0) & (_total(base) == 0),
-                    F.transform("_rank", lambda r: (r == 1).cast("int"))).otherwise(base)
-    slots = _split(df, daily, profile).withColumn("_slots", bumped).select(
+    def bump(base: Column, total: Column, rank: Column) -> Column:
+        return F.when((F.col(daily) > 0) & (total == 0),
+                      F.transform(rank, lambda r: (r == 1).cast("int"))).otherwise(base)
+
+    slots = _slots(df, daily, profile, bump).select(
         *[c for c in df.columns if c != daily], F.posexplode("_slots").alias("hour", daily))
     return slots.withColumn("hour_block", F.format_string("%02d:00–%02d:59", "hour", "hour"))
 
@@ -123,7 +129,8 @@ def allocate_hourly_remainder(df: DataFrame, profile: HourProfile, daily: str =
                               out: str = "hourly") -> DataFrame:
     """24-slot array per roster row: floors, then one more officer in each of the
     busiest hours until the day's number is reached (at most one extra per hour)."""
-    lacking = F.col(daily) - _total(F.col("_base"))
-    filled = F.zip_with("_base", "_rank", lambda b, r: b + (r <= lacking).cast("int"))
-    return _split(df, daily, profile).withColumn(out, F.when(F.col(daily) > 0, filled).otherwise(
-        F.array_repeat(F.lit(0), 24))).drop("_share", "_rank", "_base")
+    def fill(base: Column, total: Column, rank: Column) -> Column:
+        more = F.when(F.col(daily) > 0, F.col(daily) - total).otherwise(0)
+        return let(more, lambda m: F.zip_with(base, rank, lambda b, r: b + (r <= m).cast("int")))
+
+    return _slots(df, daily, profile, fill).withColumnRenamed("_slots", out)

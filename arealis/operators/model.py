@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import (Imputer, SQLTransformer, StringIndexer, TargetEncoder,
+                                VectorAssembler)
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
@@ -67,13 +68,16 @@ def location_stages(location: str, label: str) -> list:
     areas as bins would blow up the histograms, one encoded column does not.
     """
     return [StringIndexer(inputCol=location, outputCol="_loc_index", handleInvalid="keep"),
-            TargetEncoder(inputCols=["_loc_index"], outputCols=["location_effect"], labelCol=label,
-                          targetType="continuous", smoothing=10.0, handleInvalid="keep")]
+            TargetEncoder(inputCols=["_loc_index"], outputCols=["_loc_mean"], labelCol=label,
+                          targetType="continuous", smoothing=10.0, handleInvalid="keep"),
+            # A plain expression drops the category metadata, which would make the
+            # encoded column a categorical feature again.
+            SQLTransformer(statement="SELECT *, _loc_mean + 0.0D AS location_effect FROM __THIS__")]
 
 
 def encode_location(df: DataFrame, location: str, label: str) -> DataFrame:
     model = Pipeline(stages=location_stages(location, label)).fit(df)
-    return model.transform(df).drop("_loc_index")
+    return model.transform(df).drop("_loc_index", "_loc_mean")
 
 
 def _preparation(features: Sequence[str], location: str | None, label: str) -> list:

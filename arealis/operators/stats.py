@@ -14,6 +14,8 @@ from statistics import NormalDist
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.scalars import let
+
 
 def pearson(df: DataFrame, x: str, y: str, out: str = "corr") -> DataFrame:
     return df.agg(F.corr(x, y).alias(out))
@@ -158,23 +160,31 @@ def _nearest_points(frame: Column, x: Column, k: Column) -> Column:
 
 
 def _local_line(near: Column, x: Column, own: Column) -> Column:
-    """Value at x of the tricube-weighted line through the nearest points."""
-    radius = F.element_at(near, -1)["d"]
+    """Value at x of the tricube-weighted line through the nearest points.
+
+    Five weighted sums of the points (relative to x) in one pass give the line's
+    value at x in closed form.
+    """
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("s0", "s1", "s2", "t0", "t1")])
+
+    def line(points: Column) -> Column:
+        return let(F.element_at(points, -1)["d"], lambda radius: let(
+            F.aggregate(points, zero, lambda acc, p: add(acc, p, radius)), value))
 
-    def weigh(p: Column) -> Column:
+    def add(acc: Column, p: Column, radius: Column) -> Column:
         u = F.try_divide(p["d"], radius)
-        tricube = F.when(u.isNull() | (u <= 0.001), 1.0).when(u > 0.999, 0.0).otherwise(
+        weight = p["r"] * F.when(u.isNull() | (u <= 0.001), 1.0).when(u > 0.999, 0.0).otherwise(
             F.pow(1 - u * u * u, 3))
-        return F.struct((tricube * p["r"]).alias("w"), p["x"].alias("x"), p["y"].alias("y"))
-
-    def total(points: Column, value) -> Column:
-        return F.aggregate(points, F.lit(0.0), lambda acc, p: acc + value(p))
-
-    points = F.transform(near, weigh)
-    sw = total(points, lambda p: p["w"])
-    mx = total(points, lambda p: p["w"] * p["x"]) / sw
-    my = total(points, lambda p: p["w"] * p["y"]) / sw
-    sxx = total(points, lambda p: p["w"] * (p["x"] - mx) * (p["x"] - mx))
-    sxy = total(points, lambda p: p["w"] * (p["x"] - mx) * (p["y"] - my))
-    line = my + F.coalesce(F.try_divide(sxy, sxx), F.lit(0.0)) * (x - mx)
-    return F.when(F.size(near) == 0, own).when(sw > 0, line).otherwise(own)
+        dx = p["x"] - x
+        return F.struct((acc["s0"] + weight).alias("s0"), (acc["s1"] + weight * dx).alias("s1"),
+                        (acc["s2"] + weight * dx * dx).alias("s2"),
+                        (acc["t0"] + weight * p["y"]).alias("t0"),
+                        (acc["t1"] + weight * dx * p["y"]).alias("t1"))
+
+    def value(s: Column) -> Column:
+        spread = s["s0"] * s["s2"] - s["s1"] * s["s1"]
+        level = (s["s2"] * s["t0"] - s["s1"] * s["t1"]) / F.when(
+            F.abs(spread) > 1e-12 * s["s0"] * s["s2"], spread)
+        return F.when(s["s0"] > 0, F.coalesce(level, s["t0"] / s["s0"]))
+
+    return F.coalesce(F.when(F.size(near) > 0, let(near, line)), own)

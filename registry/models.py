@@ -122,24 +122,24 @@ def explained(spark, sf):
 
 
 @query("explain_contributions", f"""WITH {CONTRIB} SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
-  round(cq, 5) AS contrib_l_quantity, round(cd, 5) AS contrib_l_discount, round(ct, 5) AS contrib_l_tax,
-  round(base, 5) AS base_value, round(base + cq + cd + ct, 5) AS prediction FROM c""")
+  round(cq, 6) AS contrib_l_quantity, round(cd, 6) AS contrib_l_discount, round(ct, 6) AS contrib_l_tax,
+  round(base, 6) AS base_value, round(base + cq + cd + ct, 6) AS prediction FROM c""")
 def explain_contributions(spark, sf):
-    return explained(spark, sf).select(*CASE, *[r6(f"contrib_{c}", f"contrib_{c}", 5) for c in COEF],
-                                       r6("base_value", "base_value", 5), r6("prediction", "prediction", 5))
+    return explained(spark, sf).select(*CASE, *[r6(f"contrib_{c}", f"contrib_{c}", 6) for c in COEF],
+                                       r6("base_value", "base_value", 6), r6("prediction", "prediction", 6))
 
 
 @query("top_contributions", f"""WITH {CONTRIB}, g AS (SELECT l_partkey, sum(cq) AS cq, sum(cd) AS cd, sum(ct) AS ct FROM c GROUP BY ALL),
 u AS (SELECT l_partkey, unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature, unnest([cq, cd, ct]) AS value FROM g),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY value DESC, feature) AS rank_positive,
   row_number() OVER (PARTITION BY l_partkey ORDER BY value, feature) AS rank_negative FROM u)
-SELECT l_partkey, feature, round(value, 4) AS value, rank_positive, rank_negative FROM r WHERE rank_positive <= 1 OR rank_negative <= 1""")
+SELECT l_partkey, feature, round(value, 6) AS value, rank_positive, rank_negative FROM r WHERE rank_positive <= 1 OR rank_negative <= 1""")
 def top_contributions(spark, sf):
     """Strongest feature on either side of every part."""
     cases = explained(spark, sf).groupBy("l_partkey").agg(
         *[F.sum(f"contrib_{c}").alias(f"contrib_{c}") for c in COEF])
     d = m.top_contributions(cases, ["l_partkey"], list(COEF), 1)
-    return d.select("l_partkey", "feature", r6("value", "value", 4), "rank_positive", "rank_negative")
+    return d.select("l_partkey", "feature", r6("value", "value", 6), "rank_positive", "rank_negative")
 
 
 @query("forecast_months", f"""WITH {PARTS}, f AS (SELECT *, lag(x, 1) OVER {W} AS l1, lag(x, 12) OVER {W} AS l12 FROM panel),

@@ -72,15 +72,15 @@ def monthly(spark, sf):
 
 @query("lowess", f"""WITH {s.panel_sql()}, d AS (SELECT loc, datediff('day', DATE '1970-01-01', make_date(year, month, 1)) AS day, x AS y FROM panel),
 k AS (SELECT loc, floor(count(*) * 0.1::DOUBLE + 1e-10::DOUBLE) AS k FROM d GROUP BY loc),
-r AS (SELECT a.loc, a.day, b.day AS bx, b.y AS by, abs(a.day - b.day)::DOUBLE AS dist,
+r AS (SELECT a.loc, a.day, b.day AS bx, b.y AS yy, abs(a.day - b.day)::DOUBLE AS dist,
   row_number() OVER (PARTITION BY a.loc, a.day ORDER BY abs(a.day - b.day), b.day) AS rn, k.k
   FROM d a JOIN d b ON b.loc = a.loc JOIN k ON k.loc = a.loc),
 n AS (SELECT *, max(dist) OVER (PARTITION BY loc, day) AS h FROM r WHERE rn <= k),
 w AS (SELECT *, CASE WHEN dist <= 0.001 * h THEN 1.0::DOUBLE WHEN dist > 0.999 * h THEN 0.0::DOUBLE
   ELSE power(1 - power(dist / h, 3), 3) END AS w FROM n),
-m AS (SELECT loc, day, sum(w) AS sw, sum(w * bx) / sum(w) AS mx, sum(w * by) / sum(w) AS my FROM w GROUP BY ALL),
+m AS (SELECT loc, day, sum(w) AS sw, sum(w * bx) / sum(w) AS mx, sum(w * yy) / sum(w) AS my FROM w GROUP BY ALL),
 f AS (SELECT w.loc, w.day, any_value(m.mx) AS mx, any_value(m.my) AS my, sum(w * (bx - mx) * (bx - mx)) AS sxx,
-  sum(w * (bx - mx) * (by - my)) AS sxy FROM w JOIN m ON m.loc = w.loc AND m.day = w.day GROUP BY ALL)
+  sum(w * (bx - mx) * (yy - my)) AS sxy FROM w JOIN m ON m.loc = w.loc AND m.day = w.day GROUP BY ALL)
 SELECT loc, day, round(my + coalesce(sxy / nullif(sxx, 0), 0) * (day - mx), 6) AS smooth FROM f""")
 def lowess(spark, sf):
     d = stats.lowess(monthly(spark, sf), "loc", "day", "y", iterations=0)
