@@ -37,8 +37,7 @@ def lag_features(spark, sf):
     return t.add_lags(panel(spark, sf), "loc", "x", ORDER).drop("x")
 
 
-EWM_SQL = f"""WITH RECURSIVE {PANEL},
-e AS (SELECT loc, t, x::DOUBLE AS e6, x::DOUBLE AS e12, x::DOUBLE AS a, x::DOUBLE AS b, x::DOUBLE AS c
+EWM_CTE = """e AS (SELECT loc, t, x::DOUBLE AS e6, x::DOUBLE AS e12, x::DOUBLE AS a, x::DOUBLE AS b, x::DOUBLE AS c
   FROM panel WHERE t = 0
   UNION ALL
   SELECT p.loc, p.t, e.e6 * (1 - 2.0::DOUBLE / 7) + 2.0::DOUBLE / 7 * p.x,
@@ -48,6 +47,7 @@ e AS (SELECT loc, t, x::DOUBLE AS e6, x::DOUBLE AS e12, x::DOUBLE AS a, x::DOUBL
     e.c * (1 - 2.0::DOUBLE / 7) + 2.0::DOUBLE / 7 * (e.b * (1 - 2.0::DOUBLE / 7) + 2.0::DOUBLE / 7
       * (e.a * (1 - 2.0::DOUBLE / 7) + 2.0::DOUBLE / 7 * p.x))
   FROM e JOIN panel p ON p.loc = e.loc AND p.t = e.t + 1)"""
+EWM_SQL = f"WITH RECURSIVE {PANEL}, {EWM_CTE}"
 
 
 @query("ewm_mean", EWM_SQL + """ SELECT p.loc, p.year, p.month, round(e.e6, 6) AS x_ewm_6,
@@ -83,14 +83,14 @@ def wma(spark, sf):
                                    r6(ser.wma(F.col("x"), 4, w), "wma_4"))
 
 
-HULL_SQL = f"""{PANEL},
-h AS (SELECT *, (2.0::DOUBLE * x + lag(x, 1) OVER {W}) / 3 AS w2,
+HULL_CTE = f"""h AS (SELECT *, (2.0::DOUBLE * x + lag(x, 1) OVER {W}) / 3 AS w2,
   (4.0::DOUBLE * x + 3 * lag(x, 1) OVER {W} + 2 * lag(x, 2) OVER {W} + lag(x, 3) OVER {W}) / 10 AS w4,
   (5.0::DOUBLE * x + 4 * lag(x, 1) OVER {W} + 3 * lag(x, 2) OVER {W} + 2 * lag(x, 3) OVER {W}
     + lag(x, 4) OVER {W}) / 15 AS w5 FROM panel),
 g AS (SELECT *, 2 * w2 - w4 AS d4, 2 * w2 - w5 AS d5 FROM h),
 hull AS (SELECT *, (2 * lag(d4, 1) OVER {W} + lag(d4, 2) OVER {W}) / 3 AS r4,
   (2 * lag(d5, 1) OVER {W} + lag(d5, 2) OVER {W}) / 3 AS r5 FROM g)"""
+HULL_SQL = f"{PANEL}, {HULL_CTE}"
 
 
 @query("hma", f"""WITH {HULL_SQL} SELECT loc, year, month,
@@ -159,7 +159,7 @@ def revictimization_risk(spark, sf):
 
 FEATURES = ["x_ewm_6", "x_ewm_12", "x_tema_6", "x_hma_4", "x_hma_5", "x_pct_change", "x_volatility_6m",
             "x_trend_ratio", "revictimization_risk"]
-ALL_SQL = EWM_SQL.replace(PANEL, HULL_SQL) + f""" SELECT p.loc, p.year, p.month, p.x,
+ALL_SELECT = f"""SELECT p.loc, p.year, p.month, p.x,
   lag(p.x, 1) OVER w AS x_lag_1, lag(p.x, 3) OVER w AS x_lag_3, lag(p.x, 6) OVER w AS x_lag_6,
   lag(p.x, 12) OVER w AS x_lag_12, round(e.e6, 6) AS x_ewm_6, round(e.e12, 6) AS x_ewm_12,
   round(CASE WHEN e.loc IS NOT NULL THEN greatest(3 * e.a - 3 * e.b + e.c, 0.0) END, 6) AS x_tema_6,
@@ -172,6 +172,7 @@ ALL_SQL = EWM_SQL.replace(PANEL, HULL_SQL) + f""" SELECT p.loc, p.year, p.month,
     round({TREND_SQL}, 6) AS x_trend_ratio, round({RISK_SQL}, 6) AS revictimization_risk FROM panel) f
     ON f.loc = p.loc AND f.t = p.t
   WINDOW w AS (PARTITION BY p.loc ORDER BY p.t)"""
+ALL_SQL = f"WITH RECURSIVE {PANEL}, {EWM_CTE}, {HULL_CTE} {ALL_SELECT}"
 
 
 @query("temporal_features", ALL_SQL)
