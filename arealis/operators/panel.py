@@ -68,7 +68,8 @@ def densify_grid(df: DataFrame, location: str = "loc", count: str = "count", *,
         observed = observed.withColumn("_b", bounds)
         axis = _calendar_axis(F.col("_b"))
     else:
-        axis = df.select(F.sort_array(F.collect_set(F.struct(*cols))).alias("m")).scalar()
+        axis = df.select(*cols).distinct().select(
+            F.sort_array(F.collect_list(F.struct(*cols))).alias("m")).scalar()
     grid = observed.select(location, "_observed", F.explode(axis).alias("_m"))
     at = cal.month_index(F.col("_m.year"), F.col("_m.month"))
     return grid.select(

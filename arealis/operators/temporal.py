@@ -60,10 +60,11 @@ def add_temporal_features(df: DataFrame, location: str = "loc", target: str = "c
                           risk: bool = False, long_series: bool = False) -> DataFrame:
     """All series features; ``risk=True`` adds the repeat-event risk in the same pass.
 
-    Features that depend on each other are staged (row number; first-order
-    features; second pass of the exponential and Hull means; third pass), and every
-    stage is one Window operator on the same partitioning and ordering, so the
-    panel is shuffled and sorted once.
+    Features that depend on each other are staged (row number; first pass of the
+    exponential and Hull means; second; third), and every stage is one Window
+    operator on the same partitioning and ordering, so the panel is shuffled and
+    sorted once. The independent features are spread over the stages: a projection
+    with all of them would exceed the method size the JVM compiles.
     """
     w = s.series_window(location, *order)
     x = F.col(target)
@@ -73,17 +74,16 @@ def add_temporal_features(df: DataFrame, location: str = "loc", target: str = "c
     first.update({f"{target}_ewm_{n}": s.ewm_mean(x, n, w, t, shift=1) for n in EWM_SPANS})
     first["_e1"] = s.ewm_mean(x, TEMA_SPAN, w, t)
     first.update({f"_h{n}": s.hull_inner(x, n, w) for n in HULL_PERIODS})
-    first[f"{target}_sum_12"] = s.rolling_sum(x, 12, w)
-    first[f"{target}_active_3"] = s.active(x, 3, w)
-    first[f"{target}_pct_change"] = s.pct_change(x, 3, 6, w)
-    first[f"{target}_volatility_6m"] = s.volatility(x, 6, w, shift=3)
-    first[f"{target}_trend_ratio"] = s.trend_ratio(x, 3, w, near=3, far=9)
-    if risk:
-        first["revictimization_risk"] = s.repeat_risk(x, w)
     df = df.withColumns(first)
 
-    hull = {f"{target}_hma_{n}": s.hull_outer(F.col(f"_h{n}"), n, w) for n in HULL_PERIODS}
-    df = _tema_tail(df, target, TEMA_SPAN, w, t, hull)
+    second = {f"{target}_hma_{n}": s.hull_outer(F.col(f"_h{n}"), n, w) for n in HULL_PERIODS}
+    second[f"{target}_sum_12"] = s.rolling_sum(x, 12, w)
+    second[f"{target}_active_3"] = s.active(x, 3, w)
+    second[f"{target}_pct_change"] = s.pct_change(x, 3, 6, w)
+    second[f"{target}_volatility_6m"] = s.volatility(x, 6, w, shift=3)
+    second[f"{target}_trend_ratio"] = s.trend_ratio(x, 3, w, near=3, far=9)
+    third = {"revictimization_risk": s.repeat_risk(x, w)} if risk else {}
+    df = _tema_tail(df, target, TEMA_SPAN, w, t, second, third)
     return df.select(*feature_order(df, target))
 
 
@@ -106,16 +106,17 @@ def _position(df: DataFrame, w, long_series: bool) -> tuple[DataFrame, Column |
 
 
 def _tema_tail(df: DataFrame, target: str, span: int, w, t: Column | None,
-               extra: dict[str, Column] | None = None) -> DataFrame:
+               second_extra: dict[str, Column] | None = None,
+               third_extra: dict[str, Column] | None = None) -> DataFrame:
     """Second and third exponential pass; everything ends one row back."""
     second = {
         "_e1_back": s.lagged(F.col("_e1"), 1, w),
         "_e2": s.ewm_mean(F.col("_e1"), span, w, t),
     }
-    df = df.withColumns({**second, **(extra or {})})
+    df = df.withColumns({**second, **(second_extra or {})})
     df = df.withColumns({
         "_e2_back": s.lagged(F.col("_e2"), 1, w),
-        "_e3_back": s.ewm_mean(F.col("_e2"), span, w, t, shift=1),
+        "_e3_back": s.ewm_mean(F.col("_e2"), span, w, t, shift=1), **(third_extra or {}),
     })
     value = F.col("_e1_back") * 3 - F.col("_e2_back") * 3 + F.col("_e3_back")
     return df.withColumn(f"{target}_tema_{span}", clip_lower(value)).drop(
