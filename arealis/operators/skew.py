@@ -56,8 +56,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.count(c).alias(f"n{i}"), F.min(F.col(c).cast("double")).alias(f"lo{i}"),
         F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
 
-    # One search per needed order statistic: (column, rank) -> [low, high, rows below low]
-    search: dict[tuple[int, int], list[float]] = {}
+    # One search per needed order statistic: (column, rank) -> (low, high, rows below low)
+    search: dict[tuple[int, int], tuple[float, float, int]] = {}
     found: dict[tuple[int, int], float] = {}
     wanted: dict[int, list[tuple[int, int, float]]] = {}
     for i in range(len(cols)):
@@ -71,35 +71,34 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             high = min(low + 1, n - 1)
             wanted[i].append((low, high, at - low))
             for rank in (low, high):
-                search[(i, rank)] = [stats[f"lo{i}"], stats[f"hi{i}"], 0]
+                search[(i, rank)] = (stats[f"lo{i}"], stats[f"hi{i}"], 0)
 
-    while search:
+    while True:
         for key in [k for k, (low, high, _) in search.items() if low == high]:
             found[key] = search.pop(key)[0]
         if not search:
             break
-        keys = list(search)
+        # Searches of one column often share their interval: count its bins once.
+        intervals = sorted({(i, low, high) for (i, _), (low, high, _) in search.items()})
         probes = []
-        for j, (i, rank) in enumerate(keys):
-            low, high, _ = search[(i, rank)]
+        for j, (i, low, high) in enumerate(intervals):
             x = F.col(cols[i]).cast("double")
             at = F.least(F.floor((x / 2 - low / 2) / ((high / 2 - low / 2) / bins)),
                          F.lit(bins - 1)).cast("int")
             probes.append(F.when(x.between(low, high), F.struct(
                 F.lit(j).alias("j"), at.alias("bin"), x.alias("x"))))
         counted = (
-            df.select(F.explode(F.array_compact(F.array(*probes))).alias("p")).select("p.*")
+            df.select(F.explode(F.array(*probes)).alias("p")).filter("p IS NOT NULL").select("p.*")
             .groupBy("j", "bin").agg(F.count("*").alias("n"), F.min("x").alias("lo"),
                                      F.max("x").alias("hi"))
             .collect())
-        by_search: dict[int, list] = {}
-        for row in counted:
-            by_search.setdefault(row["j"], []).append(row)
-        for j, key in enumerate(keys):
-            below = search[key][2]
-            for row in sorted(by_search[j], key=lambda r: r["bin"]):
-                if key[1] < below + row["n"]:
-                    search[key] = [row["lo"], row["hi"], below]
+        by_interval: dict[int, list] = {}
+        for row in sorted(counted, key=lambda r: (r["j"], r["bin"])):
+            by_interval.setdefault(row["j"], []).append(row)
+        for (i, rank), (low, high, below) in list(search.items()):
+            for row in by_interval[intervals.index((i, low, high))]:
+                if rank < below + row["n"]:
+                    search[(i, rank)] = (row["lo"], row["hi"], below)
                     break
                 below += row["n"]
 

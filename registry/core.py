@@ -26,6 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def r6(c: Column | str, name: str, digits: int = 6) -> Column:
-    """Rounded for comparison: sums of doubles depend on their order in the last digits."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), digits).alias(name)
+    """Rounded for comparison: sums of doubles depend on their order in the last digits.
+
+    Half away from zero like ``round``, which goes through decimals and is much slower.
+    """
+    x = (F.col(c) if isinstance(c, str) else c).cast("double") * F.lit(10.0 ** digits)
+    whole = F.when(x >= 0, F.floor(x + 0.5)).otherwise(F.ceil(x - 0.5))
+    return (whole.cast("double") / F.lit(10.0 ** digits)).alias(name)
