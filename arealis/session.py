@@ -37,10 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a session without that setting (a test, a laptop) gets a private folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="arealis-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="arealis-"))
+        folder = sc.getCheckpointDir()
     return folder.rstrip("/")
 
 
