@@ -55,17 +55,25 @@ def hierarchy_counts(lookup: DataFrame, levels: Sequence[str], unchanged: tuple[
 
 
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: count, nulls, mean, deviation, minimum, quartiles, maximum."""
-    quart = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    """One row per column: count, nulls, mean, deviation, minimum, quartiles, maximum.
+
+    Text columns have their smallest and greatest value in ``min_text``/``max_text``.
+    """
+    text = [f.name for f in df.schema.fields if f.name in columns and f.dataType.typeName() == "string"]
+    quart = exact_quantiles(df, [c for c in columns if c not in text], (0.25, 0.5, 0.75))
+    none, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     rows = []
     for c in columns:
-        x = F.col(c).cast("double")
-        q1, q2, q3 = (F.lit(v).cast("double") for v in quart[c])
+        number = c not in text
+        x = F.col(c).cast("double") if number else none
+        q1, q2, q3 = (F.lit(v).cast("double") for v in (quart[c] if number else (None,) * 3))
         rows.append(F.struct(
             F.lit(c).alias("column_name"), F.count(c).alias("n"),
             F.count(F.when(F.col(c).isNull(), 1)).alias("n_null"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q1.alias("p25"), q2.alias("p50"),
-            q3.alias("p75"), F.max(x).alias("max")))
+            q3.alias("p75"), F.max(x).alias("max"),
+            F.min(no_text if number else F.col(c)).alias("min_text"),
+            F.max(no_text if number else F.col(c)).alias("max_text")))
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 

@@ -284,15 +284,23 @@ def explain_contributions(df: DataFrame, coefficients: dict[str, float], interce
 
 
 def top_contributions(df: DataFrame, keys: Sequence[str], features: Sequence[str], n: int = 8) -> DataFrame:
-    """The n greatest and the n smallest contributions of every case."""
-    long = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"contrib_{f}").alias("value")) for f in features]))
-        .alias("e")).select(*keys, "e.*")
-    w = Window.partitionBy(*keys)
-    ranked = long.withColumns({
-        "rank_positive": F.row_number().over(w.orderBy(F.desc("value"), "feature")),
-        "rank_negative": F.row_number().over(w.orderBy(F.asc("value"), "feature"))})
-    return ranked.filter((F.col("rank_positive") <= n) | (F.col("rank_negative") <= n))
+    """The n greatest and the n smallest contributions of every case (ranked inside the row)."""
+    def ranked(sign: int) -> Column:
+        return F.array_sort(F.array(*[F.struct(
+            (F.col(f"contrib_{f}") * sign).alias("order"), F.lit(f).alias("feature")) for f in features]))
+
+    falling, rising = ranked(-1), F.transform(ranked(1), lambda e: e["feature"])
+    long = df.select(*keys, rising.alias("_rising"), F.posexplode(falling).alias("_at", "_e"))
+    return long.select(
+        *keys, F.col("_e.feature").alias("feature"), (-F.col("_e.order")).alias("value"),
+        (F.col("_at") + 1).alias("rank_positive"),
+        F.array_position("_rising", F.col("_e.feature")).cast("int").alias("rank_negative")
+    ).filter((F.col("rank_positive") <= n) | (F.col("rank_negative") <= n))
+
+
+def sample_cases(df: DataFrame, keys: Sequence[str], n: int, seed: int = SEED) -> DataFrame:
+    """n cases in the order of a seeded hash of their key: the same on every run."""
+    return df.orderBy(stable_fraction(keys, seed), *keys).limit(n)
 
 
 # -- forecasting ----------------------------------------------------------

@@ -211,7 +211,7 @@ def neighbor_self_join(panel: DataFrame, edges: DataFrame, location: str, target
 
 def add_neighbor_features(panel: DataFrame, edges: DataFrame, location: str = "loc",
                           target: str = "count", prefix: str = "neighbor", *,
-                          only_present: bool = False) -> DataFrame:
+                          only_present: bool = False, hub: int = 10_000) -> DataFrame:
     """Mean, maximum, deviation, inverse-distance mean and nearest count of the
     neighbours in the same month.
 
@@ -220,12 +220,23 @@ def add_neighbor_features(panel: DataFrame, edges: DataFrame, location: str = "l
     That denominator depends on the location alone and comes from the edge list, so
     the panel is expanded over the edges once and aggregated right away; the
     location's own row is not needed in the expansion.
+
+    A place with very many copies makes a few locations the neighbour of all of them.
+    The edges to a location with more than ``hub`` of them are spread over salts, and
+    its few panel rows are repeated once per salt.
     """
     weight = 1 / (F.col("distance") + 100)
     links = edges.select(F.col("location").alias("_to"), F.col("neighbor").alias(location),
                          "distance", "neighbor_rank")
     counts = panel.select(location, "year", "month", F.col(target).alias("_c"))
-    seen = counts.join(links, location)
+    hubs = links.groupBy(location).agg(F.count("*").alias("_in")).filter(F.col("_in") > hub).select(
+        location, F.ceil(F.col("_in") / hub).cast("int").alias("_parts"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    links = links.join(hubs, location, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("_to"), parts).cast("int")).drop("_parts")
+    counts = counts.join(hubs, location, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    seen = counts.join(links, [location, "_salt"])
     stats = seen.groupBy(F.col("_to").alias(location), "year", "month").agg(
         F.avg("_c").alias(f"{prefix}_avg"),
         F.max("_c").alias(f"{prefix}_max"),

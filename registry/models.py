@@ -173,10 +173,28 @@ def scored(model, data):
     return m.regression_metrics(done, "x", "prediction", "part")
 
 
-@query("encode_location")
+@query("encode_location", f"""WITH {PANEL}, {s.TIME_SQL}, tr AS (SELECT p.loc, p.year, p.month, p.x FROM panel p
+  JOIN norm n ON n.year = p.year AND n.month = p.month WHERE n.tin <= 0.7::DOUBLE * (SELECT max(tin) FROM norm)),
+c AS (SELECT loc, count(*) AS n, avg(x) AS mean FROM tr GROUP BY loc), g AS (SELECT avg(x) AS mean FROM tr)
+SELECT tr.loc::VARCHAR AS loc, year, month, round(c.n / (c.n + 10.0::DOUBLE) * c.mean + 10.0::DOUBLE / (c.n + 10.0::DOUBLE) * g.mean, 6)
+  AS location_effect FROM tr JOIN c ON c.loc = tr.loc CROSS JOIN g""")
 def encode_location(spark, sf):
     d = learning_table(spark, sf)
-    return m.encode_location(d.filter("part = 'train'"), "loc", "x").select(*KEYS, "location_effect")
+    return m.encode_location(d.filter("part = 'train'"), "loc", "x").select(
+        *KEYS, r6("location_effect", "location_effect"))
+
+
+@query("explain_sample", f"""WITH {CONTRIB}, h AS (SELECT p_partkey, CAST('0x' || substr(md5(p_partkey || '|42'), 1, 8) AS BIGINT) AS h FROM part),
+k AS (SELECT p_partkey FROM h ORDER BY h, p_partkey LIMIT 50)
+SELECT l_partkey, round(any_value(base), 6) AS base_value, round(sum(cq + cd + ct), 6) AS total FROM c
+WHERE l_partkey IN (SELECT p_partkey FROM k) GROUP BY l_partkey""")
+def explain_sample(spark, sf):
+    """Summed contributions of a seeded sample of parts."""
+    chosen = m.sample_cases(table(spark, sf, "part").select("p_partkey"), ["p_partkey"], 50)
+    cases = explained(spark, sf).join(chosen.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", "left_semi")
+    total = F.col("contrib_l_quantity") + F.col("contrib_l_discount") + F.col("contrib_l_tax")
+    d = cases.groupBy("l_partkey").agg(F.first("base_value").alias("base_value"), F.sum(total).alias("total"))
+    return d.select("l_partkey", r6("base_value", "base_value"), r6("total", "total"))
 
 
 @query("train_forest")

@@ -138,15 +138,20 @@ def year_month_pivot(spark, sf):
     return eda.year_month_pivot(s.dated(spark, sf))
 
 
+DESCRIBED = ("l_quantity", "l_extendedprice", "l_tax")
+
+
 @query("describe_table", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, count({c}) AS n,
   count(*) - count({c}) AS n_null, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 5) AS std,
   round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS p25,
   round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50, round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75,
-  round(max({c})::DOUBLE, 6) AS max FROM lineitem""" for c in ("l_quantity", "l_extendedprice", "l_tax")))
+  round(max({c})::DOUBLE, 6) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM lineitem"""
+    for c in DESCRIBED) + """ UNION ALL SELECT 'l_returnflag', count(l_returnflag), count(*) - count(l_returnflag),
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, min(l_returnflag), max(l_returnflag) FROM lineitem""")
 def describe_table(spark, sf):
-    d = eda.describe_table(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
+    d = eda.describe_table(table(spark, sf, "lineitem"), [*DESCRIBED, "l_returnflag"])
     return d.select("column_name", "n", "n_null", r6("mean", "mean"), r6("std", "std", 5),
-                    *[r6(c, c) for c in ("min", "p25", "p50", "p75", "max")])
+                    *[r6(c, c) for c in ("min", "p25", "p50", "p75", "max")], "min_text", "max_text")
 
 
 @query("max_normalise", f"""WITH {EV}, m AS (SELECT ym, count(*) AS n FROM ev GROUP BY ym)

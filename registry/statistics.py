@@ -70,23 +70,36 @@ def monthly(spark, sf):
     return d
 
 
-@query("lowess", f"""WITH {s.panel_sql()}, d AS (SELECT loc, datediff('day', DATE '1970-01-01', make_date(year, month, 1)) AS day, x AS y FROM panel),
+def lowess_sql(iterations: int) -> str:
+    """Fit, then re-weight by the bisquare of the residuals and fit again."""
+    parts = [f"""{s.panel_sql()}, d AS (SELECT loc, datediff('day', DATE '1970-01-01', make_date(year, month, 1)) AS day, x AS y FROM panel),
 k AS (SELECT loc, floor(count(*) * 0.1::DOUBLE + 1e-10::DOUBLE) AS k FROM d GROUP BY loc),
 r AS (SELECT a.loc, a.day, b.day AS bx, b.y AS yy, abs(a.day - b.day)::DOUBLE AS dist,
   row_number() OVER (PARTITION BY a.loc, a.day ORDER BY abs(a.day - b.day), b.day) AS rn, k.k
   FROM d a JOIN d b ON b.loc = a.loc JOIN k ON k.loc = a.loc),
 n AS (SELECT *, max(dist) OVER (PARTITION BY loc, day) AS h FROM r WHERE rn <= k),
-w AS (SELECT *, CASE WHEN dist <= 0.001 * h THEN 1.0::DOUBLE WHEN dist > 0.999 * h THEN 0.0::DOUBLE
-  ELSE power(1 - power(dist / h, 3), 3) END AS w FROM n),
-m AS (SELECT loc, day, sum(w) AS sw, sum(w * bx) / sum(w) AS mx, sum(w * yy) / sum(w) AS my FROM w GROUP BY ALL),
-f AS (SELECT w.loc, w.day, any_value(m.mx) AS mx, any_value(m.my) AS my, sum(w * (bx - mx) * (bx - mx)) AS sxx,
-  sum(w * (bx - mx) * (yy - my)) AS sxy FROM w JOIN m ON m.loc = w.loc AND m.day = w.day GROUP BY ALL)
-SELECT loc, day, round(my + coalesce(sxy / nullif(sxx, 0), 0) * (day - mx), 6) AS smooth FROM f""")
+tri AS (SELECT *, CASE WHEN dist <= 0.001 * h THEN 1.0::DOUBLE WHEN dist > 0.999 * h THEN 0.0::DOUBLE
+  ELSE power(1 - power(dist / h, 3), 3) END AS w0 FROM n),
+q0 AS (SELECT loc, day, 1.0::DOUBLE AS q FROM d)"""]
+    for i in range(iterations + 1):
+        parts.append(f"""w{i} AS (SELECT t.loc, t.day, t.bx, t.yy, t.w0 * q.q AS w FROM tri t JOIN q{i} q ON q.loc = t.loc AND q.day = t.bx),
+m{i} AS (SELECT loc, day, sum(w) AS sw, sum(w * bx) / nullif(sum(w), 0) AS mx, sum(w * yy) / nullif(sum(w), 0) AS my FROM w{i} GROUP BY ALL),
+s{i} AS (SELECT w.loc, w.day, any_value(m.sw) AS sw, any_value(m.mx) AS mx, any_value(m.my) AS my, sum(w * (bx - mx) * (bx - mx)) AS sxx,
+  sum(w * (bx - mx) * (yy - my)) AS sxy FROM w{i} w JOIN m{i} m ON m.loc = w.loc AND m.day = w.day GROUP BY ALL),
+f{i} AS (SELECT s.loc, s.day, d.y, CASE WHEN sw > 0 THEN my + CASE WHEN sxx > 1e-6 THEN sxy / sxx ELSE 0 END * (s.day - mx) ELSE d.y END AS fit
+  FROM s{i} s JOIN d ON d.loc = s.loc AND d.day = s.day),
+u{i} AS (SELECT loc, day, abs(y - fit) / nullif(6 * median(abs(y - fit)) OVER (PARTITION BY loc), 0) AS u FROM f{i}),
+q{i + 1} AS (SELECT loc, day, CASE WHEN u >= 0.999 THEN 0.0::DOUBLE WHEN u <= 0.001 THEN 1.0::DOUBLE
+  ELSE coalesce(power(1 - u * u, 2), 1.0::DOUBLE) END AS q FROM u{i})""")
+    return "WITH " + ",\n".join(parts) + f" SELECT loc, day, round(fit, 5) AS smooth FROM f{iterations}"
+
+
+@query("lowess", lowess_sql(0))
 def lowess(spark, sf):
     d = stats.lowess(monthly(spark, sf), "loc", "day", "y", iterations=0)
-    return d.select("loc", "day", r6("smooth", "smooth"))
+    return d.select("loc", "day", r6("smooth", "smooth", 5))
 
 
-@query("lowess_robust")
+@query("lowess_robust", lowess_sql(3))
 def lowess_robust(spark, sf):
-    return stats.lowess(monthly(spark, sf), "loc", "day", "y", iterations=3).select("loc", "day", "smooth")
+    return stats.lowess(monthly(spark, sf), "loc", "day", "y", iterations=3).select("loc", "day", r6("smooth", "smooth", 5))
