@@ -31,7 +31,8 @@ def build_features(events: DataFrame, *, location: str = "loc", target: str = "c
                    date_col: str = "Month", population: DataFrame | None = None,
                    snapshots: DataFrame | None = None, housing: DataFrame | None = None,
                    edges: DataFrame | None = None, classes: DataFrame | None = None,
-                   class_key: str | None = None, calendar: bool = False,
+                   class_key: str | None = None, neighbor_prefix: str | None = None,
+                   calendar: bool = False,
                    long_series: bool = False) -> DataFrame:
     """The modelling table.
 
@@ -44,7 +45,8 @@ def build_features(events: DataFrame, *, location: str = "loc", target: str = "c
     panel = base_panel(events, location, target, date_col, calendar)
     years = panel.select("year").distinct()
     if edges is not None:
-        panel = spatial.add_neighbor_features(panel, edges, location, target, f"neighbor_{target}")
+        panel = spatial.add_neighbor_features(panel, edges, location, target,
+                                              neighbor_prefix or f"neighbor_{target}")
     if snapshots is not None:
         # Months before the first snapshot are not part of any series.
         panel = panel.filter(F.col("year") >= snapshots.select(F.min("valid_from")).scalar())

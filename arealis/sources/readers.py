@@ -21,6 +21,14 @@ def to_dataframe(spark: SparkSession, source) -> DataFrame:
     raise TypeError("source must be a path or a DataFrame")
 
 
+def find_location(df: DataFrame, candidates: Sequence[str] = schemas.LOCATION_NAMES) -> str:
+    """First known name of the location column."""
+    for name in candidates:
+        if name in df.columns:
+            return name
+    raise ValueError(f"no location column among {', '.join(candidates)}")
+
+
 def scan_lookup(spark: SparkSession, path: str, columns: Sequence[str], schema: T.StructType | None = None,
                 **options) -> DataFrame:
     """Named columns of a CSV; the projection is pushed into the scan.

@@ -61,5 +61,8 @@ IMD_2019_HEADERS = {"Index of Multiple Deprivation (IMD) Score": "IMD Score"}
 # Validity of the deprivation versions: first and last panel year.
 IMD_YEARS = {2010: (2010, 2014), 2015: (2015, 2018), 2019: (2019, None)}
 
+# Names under which the location key appears.
+LOCATION_NAMES = ("LSOA_code", "LSOA code", "lsoa_code", "LSOA21CD", "LSOA 2021 Code")
+
 RESIDENTIAL_COLUMNS = ("Continuous urban fabric [111] (2018)", "Discontinuous urban fabric [112] (2018)")
 HOUSING_TEXT = ("GEOGRAPHY", "ECODE", "AREA_NAME", "BAND")
