@@ -70,7 +70,7 @@ def nearest(queries: DataFrame, query_axes: Sequence[Column], targets: DataFrame
         if settled is not None:
             pairs = pairs.unionByName(settled)
         one = Window.partitionBy(*q)
-        pairs = pairs.withColumn("_sure", F.sum("_n").over(one.orderBy("_reach", "_cell")))
+        pairs = pairs.withColumn("_sure", F.sum("_n").over(one.orderBy("_reach")))
         pairs = pairs.withColumn("_limit", F.min(F.when(F.col("_sure") >= k, F.col("_reach"))).over(one))
         pairs = pairs.filter(F.col("_limit").isNull()
                              | (F.col("_gap") <= F.col("_limit") * (1 + 1e-9)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arealis.operators import spatial
 from arealis.plans.feature_table import build_features
 
 from . import standins as s, windows as w
@@ -42,7 +41,7 @@ def feature_table(spark, sf):
     d = build_features(
         s.events(spark, sf), target="x", date_col="ym", population=s.population(spark, sf),
         snapshots=s.snapshots(spark, sf), housing=s.housing(spark, sf).drop("AREA_NAME"),
-        edges=spatial.knn_edges(s.centroids(spark, sf), "vec_id", "x", "y"),
+        edges=s.edges(spark, sf),
         classes=s.classes(spark, sf), class_key="loc")
     return d.drop("month_sin", "month_cos").select(*[
         r6(c, c) if c in NUMBERS else r6(c, c, 4) if c == "population_density" else F.col(c)

@@ -109,11 +109,12 @@ def confusion_matrix(spark, sf):
     return m.confusion_matrix(table(spark, sf, "labels"), "quality", "toxic")
 
 
-COEF = {"l_quantity": 12.5, "l_discount": -340.0, "l_tax": 75.0}
+# Thirds: decimals that never end do not sit on a rounding boundary.
+COEF = {"l_quantity": 25 / 3, "l_discount": -340 / 3, "l_tax": 76 / 3}
 MEANS = "mn AS (SELECT avg(l_quantity) AS q, avg(l_discount) AS d, avg(l_tax) AS t FROM lineitem)"
-CONTRIB = f"""{MEANS}, c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, 12.5::DOUBLE * (l_quantity - q) AS cq,
-  -340.0::DOUBLE * (l_discount - d) AS cd, 75.0::DOUBLE * (l_tax - t) AS ct,
-  100.0::DOUBLE + 12.5 * q - 340.0 * d + 75.0 * t AS base FROM lineitem CROSS JOIN mn)"""
+CONTRIB = f"""{MEANS}, c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, 25.0::DOUBLE / 3 * (l_quantity - q) AS cq,
+  -340.0::DOUBLE / 3 * (l_discount - d) AS cd, 76.0::DOUBLE / 3 * (l_tax - t) AS ct,
+  100.0::DOUBLE + 25.0::DOUBLE / 3 * q - 340.0::DOUBLE / 3 * d + 76.0::DOUBLE / 3 * t AS base FROM lineitem CROSS JOIN mn)"""
 CASE = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
 
 

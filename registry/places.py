@@ -39,7 +39,7 @@ SELECT loc, year, month, round(avg(c), 6) AS neighbor_avg, max(c) AS neighbor_ma
 
 @query("neighbor_features", NEIGHBOR_SQL)
 def neighbor_features(spark, sf):
-    edges = spatial.knn_edges(s.centroids(spark, sf), "vec_id", "x", "y")
+    edges = s.edges(spark, sf)
     d = spatial.add_neighbor_features(s.panel(spark, sf), edges, "loc", "x")
     return d.select("loc", "year", "month", r6("neighbor_avg", "neighbor_avg"), "neighbor_max",
                     r6("neighbor_std", "neighbor_std"), r6("neighbor_weighted_avg", "neighbor_weighted_avg"),

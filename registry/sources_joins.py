@@ -275,7 +275,7 @@ SELECT p.loc, p.year, p.month, p.x, e.neighbor, e.neighbor_rank, q.x AS x_neighb
 FROM panel p LEFT JOIN edges e ON e.location = p.loc
 LEFT JOIN panel q ON q.loc = e.neighbor AND q.year = p.year AND q.month = p.month""")
 def neighbor_self_join(spark, sf):
-    edges = spatial.knn_edges(s.centroids(spark, sf), "vec_id", "x", "y")
+    edges = s.edges(spark, sf)
     d = spatial.neighbor_self_join(s.panel(spark, sf), edges, "loc", "x")
     return d.select("loc", "year", "month", "x", "neighbor", "neighbor_rank", "x_neighbor")
 

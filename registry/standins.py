@@ -211,6 +211,14 @@ def centroids(spark: SparkSession, sf: str) -> DataFrame:
         F.col("embedding")[1].cast("double").alias("y"), "label")
 
 
+def edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbour edges, written once: the features read them several times."""
+    from arealis.operators.spatial import knn_edges
+    from arealis.session import cut_lineage
+
+    return cut_lineage(knn_edges(centroids(spark, sf), "vec_id", "x", "y"))
+
+
 def geo_points(spark: SparkSession, sf: str) -> DataFrame:
     return centroids(spark, sf).select(
         "vec_id", (F.lit(51.5) + F.col("x")).alias("lat"), F.col("y").alias("lon"), "label")
