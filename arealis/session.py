@@ -21,6 +21,8 @@ def local_session(cpus: int | str = 8, app: str = "arealis", memory: str = "12g"
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Local tables are small but the window and array work on them is not: keep the threads busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # Projections of many window features exceed what the JVM compiles as one method.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", memory)
