@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -37,12 +40,19 @@ def local_session(cpus: int | str = 8, app: str = "arealis", memory: str = "12g"
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a session without that setting (a test, a laptop) gets a private folder.
+    A session with a local master and without that setting (a test, a laptop) gets a
+    private folder that goes when the process ends. On a cluster the setting is
+    required: a machine-local folder would leave each executor with a part of a table.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="arealis-"))
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share")
+        private = tempfile.mkdtemp(prefix="arealis-")
+        atexit.register(shutil.rmtree, private, ignore_errors=True)
+        sc.setCheckpointDir(private)
         folder = sc.getCheckpointDir()
     return folder.rstrip("/")
 
