@@ -26,8 +26,6 @@ from .pieces import safe_pieces
 WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: A blank between two other characters always begins a word; these blanks do not.
-_ODD_BLANK = regex.compile(r"\A\p{White_Space}|\p{White_Space}\Z|\A\Z")
 
 PIECE_CHARS = 1 << 16
 #: Parts and words a worker remembers (about 250 bytes each) before it forgets them and starts anew.
@@ -81,7 +79,7 @@ class Vocabulary:
         self._longest_matches(set(self.special.values()))
 
     def _longest_matches(self, special: set[int]) -> None:
-        """Tokens that their own merges give back, and the longest of them by first two bytes."""
+        """Tokens that their own merges give back, and the longest of them by first five bytes."""
         made = np.flatnonzero(self.made >= 0)
         good = np.ones(self.size, bool)
         good[made] = self.stays(self.left[made], self.right[made], 2 * self.made[made])
@@ -92,7 +90,8 @@ class Vocabulary:
         for i, token in enumerate(self.bytes):
             if token and good[i] and i not in special and (self.made[i] >= 0 or len(token) == 1):
                 self.known[token] = i
-                self.reach[token[:2]] = max(self.reach.get(token[:2], 1), len(token))
+                if len(token) > 4:
+                    self.reach[token[:5]] = max(self.reach.get(token[:5], 4), len(token))
 
     def stays(self, left: np.ndarray, right: np.ndarray, limit: np.ndarray | int = NEVER) -> np.ndarray:
         """True where merging the bytes of both tokens leaves the two tokens as they are.
@@ -122,13 +121,14 @@ class Vocabulary:
 
     def propose(self, word: bytes) -> list[int]:
         """Longest known token at each place."""
-        known, reach, out, at = self.known, self.reach, [], 0
-        while at < len(word):
-            end = min(len(word), at + reach.get(word[at:at + 2], 1))
-            while (token := known.get(word[at:end])) is None:
+        known, reach, out, at, n = self.known.get, self.reach.get, [], 0, len(word)
+        while at < n:
+            # Most places have no token of five bytes: then only the shorter ones are tried.
+            end = at + reach(word[at:at + 5], 4)
+            while (token := known(word[at:end])) is None:
                 end -= 1
             out.append(token)
-            at = end
+            at = min(end, n)
         return out
 
     def merged(self, word: bytes) -> list[int]:
@@ -226,7 +226,8 @@ class Codec:
             self.ids.clear()
             self.odd.clear()
             new = seen
-        self.odd.update(p for p in new if _ODD_BLANK.search(p))
+        # A blank between two visible characters always begins a word; other blanks may not.
+        self.odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
         # Where a blank stands beside white space, the whole text goes through the expression.
         whole = [not self.odd.isdisjoint(p[1:]) or p[0][-1:].isspace() or not p[0] for p in parts]
         fresh = list(new)
