@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .pieces import safe_pieces
+from .ship import map_arrow
 
 #: Fixed value: how the byte-level pre-tokenizer cuts a text into words.
 WORDS = regex.compile(
@@ -320,4 +321,4 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 start += len(texts)
 
-    return source.mapInArrow(run, T.StructType([*kept, *added]))
+    return map_arrow(source, run, T.StructType([*kept, *added]))

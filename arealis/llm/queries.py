@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_duplicates
+from .language_id import identify_languages
+from .line_templates import drop_recurring_lines
+from .mixing import mix_sources
+from .simhash import near_duplicates
 from .token_counts import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,10 +35,37 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("exact")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_bpe": op3_bpe,
+    "op6_simhash": op6_simhash,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
@@ -45,4 +77,18 @@ g AS (SELECT plain, count(*) AS group_size,
     first(doc_id ORDER BY length(text) DESC, doc_id) AS keep_id FROM t GROUP BY plain)
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.plain) AS text_sha256
 FROM t JOIN g ON t.plain = g.plain""",
+    "op8_line_dedup": r"""
+WITH l AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM l),
+t AS (SELECT doc_id, line, pos, array_to_string(list_transform(
+    string_split(trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')), ' '),
+    lambda x: CASE WHEN regexp_matches(x, '[0-9@]|^https?://') THEN '<*>' ELSE x END), ' ') AS template
+  FROM u),
+r AS (SELECT template, min(doc_id) AS first_doc FROM t WHERE template <> '' GROUP BY template
+  HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT t.*, r.template IS NOT NULL AND t.doc_id <> r.first_doc AS gone
+  FROM t LEFT JOIN r ON t.template = r.template)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
 }

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .pieces import safe_pieces
+from .ship import map_arrow
 
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 15
@@ -77,4 +78,4 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                          F.octet_length(text).cast("bigint").alias("n_bytes"), text.alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_tokens", T.LongType())])
-    return source.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return map_arrow(source, run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
