@@ -8,6 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .ann_forest import nearest
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_duplicates
 from .language_id import identify_languages
@@ -15,6 +16,7 @@ from .line_templates import drop_recurring_lines
 from .mixing import mix_sources
 from .simhash import near_duplicates
 from .token_counts import token_counts
+from .url_cascade import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -35,6 +37,20 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("exact")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+#: The rules of the query. A rule's path begins with the slash after its host.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_bpe": op3_bpe,
+    "op4_nearest": op4_nearest,
+    "op5_url_filter": op5_url_filter,
     "op6_simhash": op6_simhash,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
@@ -77,6 +95,19 @@ g AS (SELECT plain, count(*) AS group_size,
     first(doc_id ORDER BY length(text) DESC, doc_id) AS keep_id FROM t GROUP BY plain)
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.plain) AS text_sha256
 FROM t JOIN g ON t.plain = g.plain""",
+    "op5_url_filter": r"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rule_host, rule_path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (SELECT page_id, rule_host || rule_path AS rule, verdict, row_number() OVER (PARTITION BY page_id
+    ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS nth
+  FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM f WHERE nth = 1) f ON f.page_id = p.page_id""",
     "op8_line_dedup": r"""
 WITH l AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 u AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM l),

@@ -14,8 +14,8 @@ from pyspark.sql.types import StructType
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, function, schema: StructType | str) -> DataFrame:
-    """``df.mapInArrow``, after the package has been sent to the executors once.
+def ship(df: DataFrame) -> DataFrame:
+    """``df``, after the package has been sent to the executors once.
 
     A job submitted with ``--py-files`` or an installed package would not need this; a
     session that somebody else has started does.
@@ -32,4 +32,8 @@ def map_arrow(df: DataFrame, function, schema: StructType | str) -> DataFrame:
                 archive.write(file, file.relative_to(root.parent))
         context.addPyFile(str(path))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+    return df
+
+
+def map_arrow(df: DataFrame, function, schema: StructType | str) -> DataFrame:
+    return ship(df).mapInArrow(function, schema)
