@@ -15,6 +15,7 @@ from .language_id import identify_languages
 from .line_templates import drop_recurring_lines
 from .mixing import mix_sources
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .url_cascade import judge_urls
 
@@ -55,6 +56,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped",
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest": op4_nearest,
     "op5_url_filter": op5_url_filter,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
