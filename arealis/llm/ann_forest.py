@@ -21,7 +21,7 @@ from .ship import ship
 
 TREES = 48
 LETTERS = 4
-#: Candidates, counted once per tree, that end the ascent: this part of all rows, and at least so many.
+#: Different candidates that end the ascent: this part of all rows, and at least so many.
 CANDIDATE_PART = 0.1
 MIN_CANDIDATES = 1000
 #: Rows of a shard: a 32nd of the table, between these bounds.
@@ -68,19 +68,20 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             prefix = wanted_strings[t] // unit * unit
             low[depth, t] = np.searchsorted(strings[t], prefix)
             high[depth, t] = np.searchsorted(strings[t], prefix + unit)
-    # All trees ascend together: the longest prefix length with enough candidates.
-    enough = (high - low).sum(axis=1) >= wanted
-    enough[0] = True
-    depth = letters - enough[::-1].argmax(axis=0)
+    # All trees ascend together. No more candidates than this are below a prefix length:
+    most = (high - low).sum(axis=1)
     out_q, out_i, out_s = [], [], []
     for q in range(len(queries)):
-        if depth[q]:
-            seen = np.zeros(len(ids), bool)
-            for t in range(trees):
-                seen[order[t, low[depth[q], t, q]:high[depth[q], t, q]]] = True
-            at = np.flatnonzero(seen & (ids != query_ids[q]))
+        seen = np.zeros(len(ids), bool)
+        for depth in range(letters, 0, -1):
+            if most[depth, q] >= wanted:
+                for t in range(trees):
+                    seen[order[t, low[depth, t, q]:high[depth, t, q]]] = True
+                if seen.sum() >= wanted:
+                    break
         else:
-            at = np.flatnonzero(ids != query_ids[q])
+            seen[:] = True
+        at = np.flatnonzero(seen & (ids != query_ids[q]))
         scores = vectors[at] @ queries[q]
         if len(at) > k:
             least = np.partition(scores, len(at) - k)[len(at) - k]

@@ -104,7 +104,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
     langs = sorted(set(found["lang"]))
     place = {x: i for i, x in enumerate(langs)}
     counts = np.full((BUCKETS, len(langs) + 1), SMOOTHING)
-    counts[found["bucket"], [place[x] for x in found["lang"]]] += found["n"]
+    if langs:
+        counts[found["bucket"], [place[x] for x in found["lang"]]] += found["n"]
     counts[:, -1] = 1
     table = np.log(counts[1:] / counts[1:].sum(0))
     return langs, np.concatenate([np.zeros((1, len(langs) + 1)), table]).astype(np.float32)

@@ -61,22 +61,25 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A line is dropped if its template is in at least ``min_docs`` documents and this
     document is not the one with the smallest id among them. Blank lines stay. A null
-    text stays null (no lines). Rows that repeat an id count as one document.
+    text stays null (no lines). Rows that repeat an id count as one document. Columns
+    named n_lines or n_dropped are replaced.
     """
     lines = cut_lineage(parse_lines(docs, id_col, text_col, lead))
     path = ["n_tokens", "lead", "leaf"]
     hits = join_counted(lines, cut_lineage(recurring_templates(lines, min_docs)), path, "n").filter(
         ~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    dropped = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_set("pos").alias("_dropped"))
-    marked = docs.withColumn("_row_hash", F.xxhash64(text_col)).join(
-        dropped, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row_hash") == F.col("_hash")), "left")
-    split = F.split(F.col(text_col), "\n")
-    gone = F.coalesce(F.col("_dropped"), F.array().cast("array<int>"))
-    at = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone))
-    kept = F.when(F.size(gone) == 0, F.col(text_col)).otherwise(
-        F.array_join(F.transform(at, lambda i: F.get("_lines", i)), "\n"))
-    return marked.withColumn("_lines", split).select(
-        *[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint").alias("n_lines"),
+    dropped = hits.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("dropped"))
+    kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"),
+                       F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"),
+                       F.split(F.col(text_col), "\n").alias("lines"))
+    marked = rows.join(dropped, rows["id"].eqNullSafe(dropped["doc_id"])
+                       & (rows["hash"] == dropped["text_hash"]), "left")
+    gone = F.coalesce(F.col("dropped"), F.array().cast("array<int>"))
+    at = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone))
+    text = F.when(F.size(gone) == 0, F.col(f"row.`{text_col}`")).otherwise(
+        F.array_join(F.transform(at, lambda i: F.get("lines", i)), "\n"))
+    return marked.select(
+        *[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in kept_columns],
+        F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.size(gone).cast("bigint").alias("n_dropped"))

@@ -70,11 +70,15 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     mixture ends when the last source has come to its end, and sources that are ahead by
     then start again (``epoch`` 1, 2, ...), so that the shares hold to the end. Rows of
     sources without a positive weight are left out. Inside a source the order is that of
-    the hashed id. Sort by ``position`` to read the mixture.
+    the hashed id. Sort by ``position`` to read the mixture. Columns of ``docs`` named like
+    the four added ones are replaced.
     """
     spark = docs.sparkSession
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
-    rows = docs.withColumn("_source", key).withColumn("_hash", F.xxhash64(id_col))
+    added = ("position", "slot", "block", "epoch")
+    kept = [c for c in docs.columns if c not in added]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), key.alias("_source"),
+                       F.col(id_col).alias("_id"), F.xxhash64(id_col).alias("_hash"))
     sizes = {r["_source"]: r["count"] for r in
              rows.groupBy("_source").count().limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
@@ -106,7 +110,7 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
         F.coalesce(F.sum("count").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))
     numbered = rows.withColumn("_nth", F.row_number().over(
-        Window.partitionBy("_source", "_bucket").orderBy("_hash", id_col)))
+        Window.partitionBy("_source", "_bucket").orderBy("_hash", "_id")))
     placed = numbered.join(before, (F.col("_source") == F.col("bs")) & (F.col("_bucket") == F.col("bb"))).withColumn(
         "_at", F.col("_before") + F.col("_nth") - 1)
     # At most MAX_SOURCES rows, and a period of at most ten slots for each.
@@ -117,6 +121,5 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
              .join(F.broadcast(places), (F.col("_source") == F.col("ps"))
                    & (F.col("_turn") % F.col("part") == F.col("nth")))
              .withColumn("slot", F.floor(F.col("_turn") / F.col("part")) * grid + F.col("place")))
-    return timed.select(*[f"`{c}`" for c in docs.columns],
-                        (F.col("slot") * block_rows + F.col("_at") % block_rows).alias("position"),
-                        "slot", "block", "epoch")
+    return timed.select(*[F.col(f"row.`{c}`") for c in kept],
+                        (F.col("slot") * block_rows + F.col("_at") % block_rows).alias("position"), *added[1:])
