@@ -9,6 +9,7 @@ feature at row t depend on rows before t only.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, Window, WindowSpec, functions as F
 
@@ -91,38 +92,35 @@ def hull_outer(inner: Column, n: int, w: WindowSpec, shift: int = 1) -> Column:
     return wma(inner, int(math.isqrt(n)), w, shift)
 
 
-def ewm_row_limit(span: int) -> int:
-    """Longest series for which the closed form stays inside double range."""
-    return int(700 / math.log((span + 1) / (span - 1)))
+def ewm_block(spans: Sequence[int]) -> int:
+    """Rows of a block in which the closed form of ``ewm_inner`` stays inside double range
+    for every span, while what a block leaves to the next but one is below 1e-16."""
+    block = int(350 / math.log((min(spans) + 1) / (min(spans) - 1)))
+    if block * math.log((max(spans) + 1) / (max(spans) - 1)) < 37:
+        raise ValueError(f"spans too far apart for one pass: {sorted(spans)}")
+    return block
 
 
-def ewm_mean(x: Column, span: int, w: WindowSpec, t: Column | None = None,
-             shift: int = 0) -> Column:
-    """Exponential mean: e0 = x0, e_t = (1-a) e_(t-1) + a x_t with a = 2/(span+1).
+def ewm_inner(x: Column, span: int, t: Column, block: int, inner: WindowSpec) -> Column:
+    """Part of the exponential mean that comes from the row's own block.
 
-    With the 0-based row number ``t`` the recurrence is unrolled into
-    ``r^t * cumulative sum(a * x_i / r^i)``: one running sum, O(1) per row, on the
-    same sort as every other feature. The power leaves double range after
-    ``ewm_row_limit(span)`` rows, where the job stops with an error. Without ``t``
-    the recurrence runs over a trailing frame long enough for the dropped weight to
-    be below 1e-16: O(frame) per row and no limit on the series length.
+    e0 = x0, e_t = (1-a) e_(t-1) + a x_t with a = 2/(span+1). Unrolled inside a block of
+    rows (row ``j`` of it), that is ``r^j * cumulative sum(a * x_i / r^i)``: one running
+    sum, O(1) per row. ``inner`` is the window of one block.
     """
     alpha = 2.0 / (span + 1)
     r = 1.0 - alpha
-    x = x.cast("double")
-    if t is None:
-        reach = math.ceil(math.log(1e-16) / math.log(r))
-        values = F.collect_list(x).over(w.rowsBetween(-reach - shift, -shift))
-        rest = F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0)))
-        folded = F.aggregate(rest, F.element_at(values, 1),
-                             lambda acc, v: acc * F.lit(r) + v * F.lit(alpha))
-        return F.when(F.size(values) > 0, folded)
-    limit = ewm_row_limit(span)
-    term = x * F.pow(F.lit(1.0 / r), t) * F.when(t == 0, 1.0).otherwise(alpha)
-    total = F.sum(term).over(w.rowsBetween(Window.unboundedPreceding, -shift))
-    value = total * F.pow(F.lit(r), t - shift)
-    message = f"series longer than {limit} rows: use long_series=True"
-    return F.when(t > limit, F.raise_error(F.lit(message)).cast("double")).otherwise(value)
+    j = t % block
+    term = x.cast("double") * F.pow(F.lit(1.0 / r), j) * F.when(t == 0, 1.0).otherwise(alpha)
+    return F.sum(term).over(inner.rowsBetween(Window.unboundedPreceding, 0)) * F.pow(F.lit(r), j)
+
+
+def ewm_whole(part: Column, span: int, t: Column, block: int, w: WindowSpec) -> Column:
+    """The exponential mean: ``part`` (of ``ewm_inner``) and what the block before has left."""
+    j = t % block
+    ends = F.when(j == block - 1, part)
+    left = F.last(ends, True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return part + F.coalesce(left, F.lit(0.0)) * F.pow(F.lit(1.0 - 2.0 / (span + 1)), j + 1)
 
 
 def repeat_weight(lag: int) -> float:

@@ -9,8 +9,8 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (Imputer, SQLTransformer, StringIndexer, TargetEncoder,
-                                VectorAssembler)
+from pyspark.ml.feature import (
+    Imputer, IndexToString, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler)
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
@@ -75,9 +75,20 @@ def location_stages(location: str, label: str) -> list:
             SQLTransformer(statement="SELECT *, _loc_mean + 0.0D AS location_effect FROM __THIS__")]
 
 
-def encode_location(df: DataFrame, location: str, label: str) -> DataFrame:
-    model = Pipeline(stages=location_stages(location, label)).fit(df)
-    return model.transform(df).drop("_loc_index", "_loc_mean")
+def encode_location(df: DataFrame, location: str, label: str, smoothing: float = 10.0) -> DataFrame:
+    """Adds ``location_effect``: mean target of the location, drawn towards the mean of all.
+
+    A grouped mean and a join: no list of locations on the driver or in a task. The
+    pipelines of the trainers use the ML stages of ``location_stages``, whose fitted model
+    can be saved.
+    """
+    y = F.col(label).cast("double")
+    overall = df.select(F.avg(y)).scalar()
+    weight = F.count(y) / (F.count(y) + F.lit(float(smoothing)))
+    effect = df.groupBy(location).agg(weight.alias("_weight"), F.avg(y).alias("_mean")).withColumn(
+        "location_effect", F.coalesce(F.col("_weight") * F.col("_mean"), F.lit(0.0)) + (1 - F.col("_weight")) * overall)
+    return df.join(effect.select(F.col(location).alias("_loc"), "location_effect"),
+                   F.col(location).eqNullSafe(F.col("_loc"))).drop("_loc")
 
 
 def _preparation(features: Sequence[str], location: str | None, label: str) -> list:
@@ -117,9 +128,17 @@ def train_poisson(train: DataFrame, features: Sequence[str], label: str, locatio
 
 def train_classifier(train: DataFrame, features: Sequence[str], label: str, location: str | None = None,
                      **params) -> PipelineModel:
-    """Counts as classes."""
-    learner = RandomForestClassifier(labelCol=label, seed=SEED, **params)
-    return Pipeline(stages=_preparation(features, location, label) + [learner]).fit(train)
+    """Counts as classes: any values, any number of them.
+
+    The learner sees the index of each class that the training rows have; ``prediction``
+    is the class itself again.
+    """
+    index = StringIndexer(inputCol=label, outputCol="_class", handleInvalid="keep",
+                          stringOrderType="alphabetAsc").fit(train)
+    learner = RandomForestClassifier(labelCol="_class", predictionCol="_predicted", seed=SEED, **params)
+    names = IndexToString(inputCol="_predicted", outputCol="_name", labels=index.labels)
+    value = SQLTransformer(statement="SELECT *, CAST(_name AS DOUBLE) AS prediction FROM __THIS__")
+    return Pipeline(stages=_preparation(features, location, label) + [index, learner, names, value]).fit(train)
 
 
 TRAINERS = {"squared_error": train_boosted, "poisson": train_poisson, "forest": train_forest}
@@ -231,11 +250,11 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     from its few cells. Undefined ratios count as 0.
     """
     cells = confusion_matrix(df, label, prediction)
-    sides = cells.select(F.col("label").alias("c"), F.col("n").alias("support"), F.lit(0).alias("chosen"),
-                         F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0).alias("hit")
+    sides = cells.select(F.col("label").alias("c"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("chosen"),
+                         F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(F.lit(0).cast("bigint")).alias("hit")
                          ).unionByName(
         cells.select(F.col("predicted").alias("c"), F.lit(0).cast("bigint").alias("support"),
-                     F.col("n").cast("int").alias("chosen"), F.lit(0).cast("bigint").alias("hit")))
+                     F.col("n").alias("chosen"), F.lit(0).cast("bigint").alias("hit")))
     per = sides.groupBy("c").agg(F.sum("support").alias("support"), F.sum("chosen").alias("chosen"),
                                  F.sum("hit").alias("hit"))
     zero = F.lit(0.0)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def is_small(df: DataFrame, limit: int) -> bool:
     """True if ``df`` has at most ``limit`` rows; reads no more than limit + 1 of them."""
@@ -13,32 +15,33 @@ def is_small(df: DataFrame, limit: int) -> bool:
 
 
 def numbered_rows(df: DataFrame, group: Sequence[str], order: str, out: str,
-                  size: str | None = None, bins: int = 256) -> DataFrame:
+                  size: str | None = None) -> DataFrame:
     """Exact 1-based ordinal of each row in its group, without one task per group.
 
-    ``order`` is a unique number. Its range is cut into equal bins; rows are
-    numbered inside (group, bin), and the counts of the earlier bins of the group
-    (at most ``bins`` numbers) are added. A group of any size is spread over
-    ``bins`` tasks.
+    ``order`` is a unique number. The rows are range-partitioned by group and order, by
+    counted samples, so that a group of any size and with any values is spread over as
+    many partitions as its rows need. Each partition is numbered as it is sorted, and the
+    rows of the group in the partitions before are added.
     """
-    bounds = df.select(F.struct(
-        F.min(order).alias("lo"), F.max(order).alias("hi")).alias("b")).scalar()
-    width = (bounds["hi"] - bounds["lo"] + 1) / bins
-    df = df.withColumn("_bin", F.least(
-        F.floor((F.col(order) - bounds["lo"]) / width), F.lit(bins - 1)).cast("int"))
-    per_bin = df.groupBy(*group, "_bin").agg(F.count("*").alias("_n"))
+    placed = cut_lineage(df.repartitionByRange(*group, order).sortWithinPartitions(*group, order)
+                         .withColumn("_id", F.monotonically_increasing_id())
+                         .withColumn("_part", F.shiftright("_id", 33)))
+    per_part = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     before = F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)),
+        Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))
-    offsets = per_bin.select(*group, "_bin", before.alias("_before"), F.sum("_n").over(
-        Window.partitionBy(*group)).alias("_size"))
-    inner = F.row_number().over(Window.partitionBy(*group, "_bin").orderBy(order))
-    numbered = (df.withColumn("_inner", inner)
-                .join(offsets, [*group, "_bin"])
-                .withColumn(out, (F.col("_before") + F.col("_inner")).cast("bigint")))
+    offsets = per_part.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_part").alias("_at"), "_first",
+        before.alias("_before"), F.sum("_n").over(Window.partitionBy(*group)).alias("_size"))
+    on = F.col("_part") == F.col("_at")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    numbered = placed.join(offsets, on).withColumn(
+        out, (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("bigint"))
     if size is not None:
         numbered = numbered.withColumn(size, F.col("_size").cast("bigint"))
-    return numbered.drop("_bin", "_inner", "_before", "_size")
+    return numbered.drop("_id", "_part", "_at", "_first", "_before", "_size",
+                         *[f"_g{i}" for i in range(len(group))])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -49,12 +52,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     Here each wanted rank is narrowed down instead: one aggregate counts the values
     per bin of the current interval, the bin that holds the rank becomes the next
     interval (tightened to the smallest and largest value seen in it), until one
-    value is left. Only bin counts reach the driver.
+    value is left. Only bin counts reach the driver. Infinities and NaN, which sorts
+    last, are counted once and take their ranks; the search is for finite values only.
     """
     cols = list(columns)
+    inf = float("inf")
+
+    def finite(c: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x) & (x > -inf) & (x < inf), x)
+
     stats = df.agg(*[f for i, c in enumerate(cols) for f in (
-        F.count(c).alias(f"n{i}"), F.min(F.col(c).cast("double")).alias(f"lo{i}"),
-        F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
+        F.count(c).alias(f"n{i}"), F.min(finite(c)).alias(f"lo{i}"), F.max(finite(c)).alias(f"hi{i}"),
+        F.count(F.when(F.col(c).cast("double") == -inf, 1)).alias(f"low{i}"),
+        F.count(finite(c)).alias(f"mid{i}"),
+        F.count(F.when(F.col(c).cast("double") == inf, 1)).alias(f"high{i}"))]).first()
 
     # One search per needed order statistic: (column, rank) -> (low, high, rows below low)
     search: dict[tuple[int, int], tuple[float, float, int]] = {}
@@ -70,8 +82,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             low = int(at)
             high = min(low + 1, n - 1)
             wanted[i].append((low, high, at - low))
+            first = stats[f"low{i}"]
             for rank in (low, high):
-                search[(i, rank)] = (stats[f"lo{i}"], stats[f"hi{i}"], 0)
+                if rank < first:
+                    found[(i, rank)] = -inf
+                elif rank < first + stats[f"mid{i}"]:
+                    search[(i, rank)] = (stats[f"lo{i}"], stats[f"hi{i}"], first)
+                else:
+                    found[(i, rank)] = (inf if rank < first + stats[f"mid{i}"] + stats[f"high{i}"]
+                                        else float("nan"))
 
     while True:
         for key in [k for k, (low, high, _) in search.items() if low == high]:
@@ -82,7 +101,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         intervals = sorted({(i, low, high) for (i, _), (low, high, _) in search.items()})
         probes = []
         for j, (i, low, high) in enumerate(intervals):
-            x = F.col(cols[i]).cast("double")
+            x = finite(cols[i])
             at = F.least(F.floor((x / 2 - low / 2) / ((high / 2 - low / 2) / bins)),
                          F.lit(bins - 1)).cast("int")
             probes.append(F.when(x.between(low, high), F.struct(
@@ -110,7 +129,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         result[c] = []
         for low, high, part in wanted[i]:
             a, b = found[(i, low)], found[(i, high)]
-            result[c].append(a + (b - a) * part)
+            result[c].append(a if a == b or not part or a == -inf else a + (b - a) * part)
     return result
 
 

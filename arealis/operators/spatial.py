@@ -163,41 +163,28 @@ def knn_edges(points: DataFrame, key: str, x: str, y: str, k: int = 5, *,
 
 
 def nearest_station(points: DataFrame, lat: str, lon: str, stations: DataFrame, station: str,
-                    station_lat: str, station_lon: str, *, small: int = 2000) -> DataFrame:
+                    station_lat: str, station_lon: str, *, small: int = 1000) -> DataFrame:
     """Nearest station of every point and its great-circle distance in metres.
 
-    A station table of at most ``small`` rows (counted, not assumed) travels as one
-    array, and the nearest entry is picked inside each row without a shuffle. A
-    larger one is searched with the refined grid on the unit sphere, where the
-    straight-line order equals the great-circle order.
+    The search runs on the unit sphere, where the straight-line order equals the
+    great-circle order. A station is its name and its place together: the same name at
+    two places is two stations, and ties go to the smaller name, then place. Points
+    without a finite position get NULL, stations without one are left out. ``small``
+    (see ``nearest``) chooses the plan, not the result.
     """
-    located = stations.filter(F.col(station_lat).isNotNull() & F.col(station_lon).isNotNull()).select(
+    located = stations.select(F.struct(
         F.col(station).alias("k"), F.col(station_lat).cast("double").alias("a"),
-        F.col(station_lon).cast("double").alias("o"))
-    if is_small(located, small):
-        posts = located.select(F.collect_list(F.struct("k", "a", "o"))).scalar()
-        best = F.array_min(F.transform("_posts", lambda s: F.struct(
-            geo.haversine_m(F.col(lat), F.col(lon), s["a"], s["o"]).alias("d"), s["k"].alias("k"))))
-        usable = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-        found = points.withColumn("_posts", posts).withColumn("_best", F.when(usable, best))
-        return found.withColumns({"nearest_station": F.col("_best.k"),
-                                  "distance_m": F.col("_best.d")}).drop("_best", "_posts")
-    found = _nearest_on_sphere(points, lat, lon, located)
-    return (points.join(found, (points[lat].cast("double") == found["_a"])
-                        & (points[lon].cast("double") == found["_o"]), "left").drop("_a", "_o"))
-
-
-def _nearest_on_sphere(points: DataFrame, lat: str, lon: str, located: DataFrame) -> DataFrame:
-    places = points.select(F.col(lat).cast("double").alias("_a"),
-                           F.col(lon).cast("double").alias("_o")).distinct()
+        F.col(station_lon).cast("double").alias("o")).alias("post"))
+    places = _finite(points.select(F.col(lat).cast("double").alias("_a"),
+                                   F.col(lon).cast("double").alias("_o")), ["_a", "_o"]).distinct()
     axes = geo.unit_sphere(F.col("_a"), F.col("_o"))
-    found = nearest(places, axes, located, geo.unit_sphere(F.col("a"), F.col("o")), "k", 1)
     placed = places.withColumns({f"_q{i}": axes[i] for i in range(3)})
-    hit = placed.join(found, ["_q0", "_q1", "_q2"]).join(
-        located.withColumnRenamed("k", "neighbor"), "neighbor")
-    return hit.select("_a", "_o", F.col("neighbor").alias("nearest_station"),
-                      geo.haversine_m(F.col("_a"), F.col("_o"), F.col("a"), F.col("o"))
-                      .alias("distance_m"))
+    hit = placed.join(nearest(places, axes, located, geo.unit_sphere(F.col("post.a"), F.col("post.o")),
+                              "post", 1, small=small), ["_q0", "_q1", "_q2"])
+    found = hit.select("_a", "_o", F.col("neighbor.k").alias("nearest_station"), geo.haversine_m(
+        F.col("_a"), F.col("_o"), F.col("neighbor.a"), F.col("neighbor.o")).alias("distance_m"))
+    return points.join(found, (points[lat].cast("double") == found["_a"])
+                       & (points[lon].cast("double") == found["_o"]), "left").drop("_a", "_o")
 
 
 def neighbor_self_join(panel: DataFrame, edges: DataFrame, location: str, target: str) -> DataFrame:

@@ -34,68 +34,124 @@ def _products(df: DataFrame, columns: Sequence[Column], weight: Column | None =
     m = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
-            m[i, j] = m[j, i] = row[f"s{i}_{j}"]
+            m[i, j] = m[j, i] = row[f"s{i}_{j}"] or 0.0
     return m
 
 
+def _means(data: DataFrame, columns: Sequence[str]) -> tuple[int, np.ndarray]:
+    row = data.agg(F.count("*"), *[F.avg(c) for c in columns]).first()
+    return row[0], np.array([0.0 if v is None else v for v in row[1:]])
+
+
+def _centred_inverse(m: np.ndarray, names: Sequence[str], means: np.ndarray, n: int) -> np.ndarray:
+    """Inverse of centred sums of products; columns that depend on the others are named in the error."""
+    spread = np.sqrt(np.diag(m))
+    flat = [c for c, s, mean in zip(names, spread, means) if s <= 1e-13 * np.sqrt(n) * max(abs(mean), 1e-300)]
+    if flat:
+        raise ValueError(f"constant columns: {', '.join(flat)}")
+    corr = m / np.outer(spread, spread)
+    values, vectors = np.linalg.eigh(corr)
+    if values[0] < 1e-12:
+        part = [c for c, v in zip(names, np.abs(vectors[:, 0])) if v > 1e-3]
+        raise ValueError(f"columns that depend on each other: {', '.join(part)}")
+    return np.linalg.inv(corr) / np.outer(spread, spread)
+
+
 def ols_hc3(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """Least squares with constant and HC3 standard errors.
 
-    Rows: term, coef, se, z, p_value, r_squared, n. The first aggregate gives the
-    normal equations, the second the sandwich's middle, where leverage and residual
-    are plain column arithmetic.
+    Rows: term, coef, se, z, p_value, r_squared, n. One aggregate gives the means, one
+    the centred normal equations and one the sandwich's middle, where leverage and
+    residual are plain column arithmetic. Centring keeps the digits of columns whose
+    mean is large against their deviation.
     """
     data = _complete(df, [y, *xs])
-    terms = [F.lit(1.0)] + [F.col(c) for c in xs]
-    k = len(terms)
-    m = _products(data, terms + [F.col(y)])
-    xtx, xty, yty, n = m[:k, :k], m[:k, k], m[k, k], m[0, 0]
-    inv = np.linalg.inv(xtx)
-    beta = inv @ xty
-    residual = F.col(y)
-    for b, t in zip(beta, terms):
-        residual = residual - F.lit(float(b)) * t
-    leverage = F.lit(0.0)
-    for i in range(k):
-        for j in range(k):
-            leverage = leverage + F.lit(float(inv[i, j])) * terms[i] * terms[j]
-    middle = _products(data, terms, F.pow(residual / (1 - leverage), 2))
-    se = np.sqrt(np.diag(inv @ middle @ inv))
-    r2 = 1 - (yty - beta @ xty) / (yty - xty[0] ** 2 / n)
+    n, means = _means(data, [y, *xs])
+    centred = [F.col(c) - F.lit(float(m)) for c, m in zip([y, *xs], means)]
+    m = _products(data, centred)
+    inv = _centred_inverse(m[1:, 1:], xs, means[1:], n)
+    slopes = inv @ m[1:, 0]
+    residual, leverage = centred[0], F.lit(1.0 / n)
+    for b, x in zip(slopes, centred[1:]):
+        residual = residual - F.lit(float(b)) * x
+    for i, u in enumerate(centred[1:]):
+        for j, v in enumerate(centred[1:]):
+            leverage = leverage + F.lit(float(inv[i, j])) * u * v
+    middle = _products(data, [F.lit(1.0), *centred[1:]], F.pow(residual / (1 - leverage), 2))
+    # Back from the centred columns: the constant is the mean of y less the slopes' parts.
+    k = len(xs) + 1
+    bread = np.zeros((k, k))
+    bread[0, 0], bread[1:, 1:] = 1.0 / n, inv
+    back = np.eye(k)
+    back[0, 1:] = -means[1:]
+    se = np.sqrt(np.diag(back @ bread @ middle @ bread @ back.T))
+    beta = back @ np.concatenate([[means[0]], slopes])
+    r2 = slopes @ m[1:, 0] / m[0, 0]
     rows = []
-    for name, b, s in zip(["const", *xs], beta, se):
-        z = b / s
-        rows.append((name, float(b), float(s), float(z), math.erfc(abs(z) / math.sqrt(2)),
+    for name, b, e in zip(["const", *xs], beta, se):
+        z = b / e
+        rows.append((name, float(b), float(e), float(z), math.erfc(abs(z) / math.sqrt(2)),
                      float(r2), int(n)))
     return df.sparkSession.createDataFrame(
         rows, "term string, coef double, se double, z double, p_value double, r_squared double, n bigint")
 
 
 def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
-    """Variance inflation of each regressor and of the constant.
+    """Variance inflation of each regressor and of the constant, from centred sums.
 
     Regressors use the centred R-squared of their auxiliary regression; the
     constant, whose auxiliary regression has no constant, the uncentred one.
     """
     data = _complete(df, xs)
-    m = _products(data, [F.lit(1.0)] + [F.col(c) for c in xs])
-    rows = []
-    for j, name in enumerate(["const", *xs]):
-        others = [i for i in range(len(m)) if i != j]
-        beta = np.linalg.solve(m[np.ix_(others, others)], m[others, j])
-        left = m[j, j] - beta @ m[others, j]
-        total = m[j, j] if j == 0 else m[j, j] - m[0, j] ** 2 / m[0, 0]
-        rows.append((name, float(total / left)))
+    n, means = _means(data, xs)
+    m = _products(data, [F.col(c) - F.lit(float(v)) for c, v in zip(xs, means)])
+    inv = _centred_inverse(m, xs, means, n)
+    rows = [("const", float(1 + n * means @ inv @ means))]
+    rows += [(name, float(inv[j, j] * m[j, j])) for j, name in enumerate(xs)]
     return df.sparkSession.createDataFrame(rows, "term string, vif double")
 
 
+def _t_upper(t: float, dof: float) -> float:
+    """P(T > t) for t >= 0: half the incomplete beta function, by its continued fraction."""
+    x, a, b = dof / (dof + t * t), dof / 2, 0.5
+    if x >= 1:
+        return 0.5
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+                     + a * math.log(x) + b * math.log1p(-x))
+    if x > (a + 1) / (a + b + 2):
+        return 0.5 * (1 - front * _beta_fraction(b, a, 1 - x) / b)
+    return 0.5 * front * _beta_fraction(a, b, x) / a
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz evaluation)."""
+    tiny = 1e-300
+    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1) or tiny)
+    value = d
+    for m in range(1, 500):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / (1 + term * d or tiny)
+            c = 1 + term / c or tiny
+            value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return value
+
+
 def t_quantile(p: float, dof: float) -> float:
-    """Student-t quantile by expansion around the normal one (4 terms)."""
-    z = NormalDist().inv_cdf(p)
-    a = (z ** 3 + z) / 4
-    b = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96
-    c = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384
-    return z + a / dof + b / dof ** 2 + c / dof ** 3
+    """Student-t quantile, by bisection of the distribution function."""
+    if p < 0.5:
+        return -t_quantile(1 - p, dof)
+    if dof > 1e7:  # equal to the normal quantile in all digits used
+        return NormalDist().inv_cdf(p)
+    low, high = 0.0, 1.0
+    while _t_upper(high, dof) > 1 - p:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _t_upper(middle, dof) > 1 - p else (low, middle)
+    return (low + high) / 2
 
 
 def calibration_line(df: DataFrame, actual: str, fitted: str, points: int = 400,

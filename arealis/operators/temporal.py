@@ -1,10 +1,10 @@
-"""Time-series features of a panel: one shuffle by location, one sort."""
+"""Time-series features of a panel: one shuffle by location."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import series as s
 from ..functions.scalars import clip_lower
@@ -22,21 +22,23 @@ def add_lags(df: DataFrame, location: str, target: str, order: Sequence[str],
 
 
 def add_ewm(df: DataFrame, location: str, target: str, order: Sequence[str],
-            spans: Sequence[int] = EWM_SPANS, long_series: bool = False) -> DataFrame:
-    w = s.series_window(location, *order)
-    df, t = _position(df, w, long_series)
-    return df.withColumns({
-        f"{target}_ewm_{n}": s.ewm_mean(F.col(target), n, w, t, shift=1) for n in spans
-    }).drop("_t")
+            spans: Sequence[int] = EWM_SPANS) -> DataFrame:
+    """Exponential means up to the row before, for series of any length."""
+    df, t, block, inner, w = _blocks(df, location, order, spans)
+    x = F.col(target)
+    df = df.withColumns({f"_p{n}": s.ewm_inner(x, n, t, block, inner) for n in spans})
+    df = df.withColumns({f"_p{n}": s.ewm_whole(F.col(f"_p{n}"), n, t, block, w) for n in spans})
+    df = df.withColumns({f"{target}_ewm_{n}": s.lagged(F.col(f"_p{n}"), 1, w) for n in spans})
+    return df.drop("_t", "_block", *[f"_p{n}" for n in spans])
 
 
 def add_tema(df: DataFrame, location: str, target: str, order: Sequence[str],
-             span: int = TEMA_SPAN, long_series: bool = False) -> DataFrame:
-    w = s.series_window(location, *order)
-    df, t = _position(df, w, long_series)
-    df = df.withColumn("_e1", s.ewm_mean(F.col(target), span, w, t))
-    df = _tema_tail(df, target, span, w, t)
-    return df.drop("_t")
+             span: int = TEMA_SPAN) -> DataFrame:
+    df, t, block, inner, w = _blocks(df, location, order, (span,))
+    df = df.withColumn("_e1", s.ewm_inner(F.col(target), span, t, block, inner))
+    df = df.withColumn("_e1", s.ewm_whole(F.col("_e1"), span, t, block, w))
+    df = _tema_tail(df, target, span, t, block, inner, w)
+    return df.drop("_t", "_block")
 
 
 def add_hull(df: DataFrame, location: str, target: str, order: Sequence[str],
@@ -57,33 +59,35 @@ def add_repeat_risk(df: DataFrame, location: str, target: str, order: Sequence[s
 
 def add_temporal_features(df: DataFrame, location: str = "loc", target: str = "count",
                           order: Sequence[str] = ("year", "month"), *,
-                          risk: bool = False, long_series: bool = False) -> DataFrame:
+                          risk: bool = False) -> DataFrame:
     """All series features; ``risk=True`` adds the repeat-event risk in the same pass.
 
-    Features that depend on each other are staged (row number; first pass of the
-    exponential and Hull means; second; third), and every stage is one Window
-    operator on the same partitioning and ordering, so the panel is shuffled and
-    sorted once. The independent features are spread over the stages: a projection
-    with all of them would exceed the method size the JVM compiles.
+    Features that depend on each other are staged (row number; parts of the exponential
+    means within blocks of rows; the means; and so on), and every stage is a Window
+    operator on the same partitioning. All but the row number use one order, location,
+    block and time, so the panel is shuffled once and sorted twice. The independent
+    features are spread over the stages: a projection with all of them would exceed the
+    method size the JVM compiles.
     """
-    w = s.series_window(location, *order)
+    spans = sorted({*EWM_SPANS, TEMA_SPAN})
+    df, t, block, inner, w = _blocks(df, location, order, spans)
     x = F.col(target)
-    df, t = _position(df, w, long_series)
 
+    df = df.withColumns({f"_p{n}": s.ewm_inner(x, n, t, block, inner) for n in spans})
     first: dict[str, Column] = {f"{target}_lag_{k}": s.lagged(x, k, w) for k in LAGS}
-    first.update({f"{target}_ewm_{n}": s.ewm_mean(x, n, w, t, shift=1) for n in EWM_SPANS})
-    first["_e1"] = s.ewm_mean(x, TEMA_SPAN, w, t)
+    first.update({f"_p{n}": s.ewm_whole(F.col(f"_p{n}"), n, t, block, w) for n in spans})
     first.update({f"_h{n}": s.hull_inner(x, n, w) for n in HULL_PERIODS})
-    df = df.withColumns(first)
+    df = df.withColumns(first).withColumn("_e1", F.col(f"_p{TEMA_SPAN}"))
 
-    second = {f"{target}_hma_{n}": s.hull_outer(F.col(f"_h{n}"), n, w) for n in HULL_PERIODS}
+    second = {f"{target}_ewm_{n}": s.lagged(F.col(f"_p{n}"), 1, w) for n in EWM_SPANS}
+    second.update({f"{target}_hma_{n}": s.hull_outer(F.col(f"_h{n}"), n, w) for n in HULL_PERIODS})
     second[f"{target}_sum_12"] = s.rolling_sum(x, 12, w)
     second[f"{target}_active_3"] = s.active(x, 3, w)
     second[f"{target}_pct_change"] = s.pct_change(x, 3, 6, w)
     second[f"{target}_volatility_6m"] = s.volatility(x, 6, w, shift=3)
     second[f"{target}_trend_ratio"] = s.trend_ratio(x, 3, w, near=3, far=9)
     third = {"revictimization_risk": s.repeat_risk(x, w)} if risk else {}
-    df = _tema_tail(df, target, TEMA_SPAN, w, t, second, third)
+    df = _tema_tail(df, target, TEMA_SPAN, t, block, inner, w, second, third)
     return df.select(*feature_order(df, target))
 
 
@@ -95,32 +99,34 @@ def feature_order(df: DataFrame, target: str) -> list[str]:
         + [f"{target}_{n}" for n in ("sum_12", "active_3", "pct_change", "volatility_6m",
                                      "trend_ratio")]
         + [c for c in ("revictimization_risk",) if c in df.columns])
-    hidden = {"_t"} | {f"_h{n}" for n in HULL_PERIODS}
+    hidden = {"_t", "_block"} | {f"_h{n}" for n in HULL_PERIODS} | {
+        f"_p{n}" for n in {*EWM_SPANS, TEMA_SPAN}}
     return [c for c in df.columns if c not in features and c not in hidden] + features
 
 
-def _position(df: DataFrame, w, long_series: bool) -> tuple[DataFrame, Column | None]:
-    if long_series:
-        return df, None
-    return df.withColumn("_t", F.row_number().over(w) - 1), F.col("_t")
+def _blocks(df: DataFrame, location: str, order: Sequence[str], spans: Sequence[int]):
+    """Adds the row number ``_t`` and its block; the windows of a block and of the series.
+
+    The block grows with the time, so ordering by it first changes nothing, and both
+    windows share one sort.
+    """
+    block = s.ewm_block(spans)
+    df = df.withColumn("_t", F.row_number().over(s.series_window(location, *order)) - 1)
+    df = df.withColumn("_block", F.floor(F.col("_t") / block))
+    inner = Window.partitionBy(location, "_block").orderBy(*order)
+    return df, F.col("_t"), block, inner, s.series_window(location, "_block", *order)
 
 
-def _tema_tail(df: DataFrame, target: str, span: int, w, t: Column | None,
+def _tema_tail(df: DataFrame, target: str, span: int, t: Column, block: int, inner, w,
                second_extra: dict[str, Column] | None = None,
                third_extra: dict[str, Column] | None = None) -> DataFrame:
     """Second and third exponential pass; everything ends one row back."""
-    second = {
-        "_e1_back": s.lagged(F.col("_e1"), 1, w),
-        "_e2": s.ewm_mean(F.col("_e1"), span, w, t),
-    }
-    df = df.withColumns({**second, **(second_extra or {})})
-    df = df.withColumns({
-        "_e2_back": s.lagged(F.col("_e2"), 1, w),
-        "_e3_back": s.ewm_mean(F.col("_e2"), span, w, t, shift=1), **(third_extra or {}),
-    })
-    value = F.col("_e1_back") * 3 - F.col("_e2_back") * 3 + F.col("_e3_back")
-    return df.withColumn(f"{target}_tema_{span}", clip_lower(value)).drop(
-        "_e1", "_e1_back", "_e2", "_e2_back", "_e3_back")
+    df = df.withColumns({"_e2": s.ewm_inner(F.col("_e1"), span, t, block, inner)})
+    df = df.withColumns({"_e2": s.ewm_whole(F.col("_e2"), span, t, block, w), **(second_extra or {})})
+    df = df.withColumns({"_e3": s.ewm_inner(F.col("_e2"), span, t, block, inner)})
+    df = df.withColumns({"_e3": s.ewm_whole(F.col("_e3"), span, t, block, w), **(third_extra or {})})
+    value = s.lagged(F.col("_e1") * 3 - F.col("_e2") * 3 + F.col("_e3"), 1, w)
+    return df.withColumn(f"{target}_tema_{span}", clip_lower(value)).drop("_e1", "_e2", "_e3")
 
 
 def last_row_per_location(df: DataFrame, location: str, order: Sequence[str]) -> DataFrame:

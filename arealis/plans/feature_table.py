@@ -32,8 +32,7 @@ def build_features(events: DataFrame, *, location: str = "loc", target: str = "c
                    snapshots: DataFrame | None = None, housing: DataFrame | None = None,
                    edges: DataFrame | None = None, classes: DataFrame | None = None,
                    class_key: str | None = None, neighbor_prefix: str | None = None,
-                   calendar: bool = False,
-                   long_series: bool = False) -> DataFrame:
+                   calendar: bool = False) -> DataFrame:
     """The modelling table.
 
     Order of the stages: neighbour features need every location, so they come first,
@@ -52,8 +51,7 @@ def build_features(events: DataFrame, *, location: str = "loc", target: str = "c
         panel = panel.filter(F.col("year") >= snapshots.select(F.min("valid_from")).scalar())
     if classes is not None:
         panel = lookup.semi_filter(panel, location, classes, class_key or location)
-    panel = temporal.add_temporal_features(panel, location, target, risk=True,
-                                           long_series=long_series)
+    panel = temporal.add_temporal_features(panel, location, target, risk=True)
     if population is not None:
         panel = population_join(panel, population, location, panel_years=years)
     if snapshots is not None:

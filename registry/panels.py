@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions import calendar as cal
+from arealis.operators.skew import exact_quantiles
 from arealis.operators import eda, lookup, panel as p
 
 from . import standins as s
@@ -92,7 +93,7 @@ def densify_grid(spark, sf):
 
 
 @query("densify_grid_calendar", """WITH ev AS (SELECT o_custkey AS loc, CAST(year(o_orderdate) AS INTEGER) AS year,
-  CAST(month(o_orderdate) AS INTEGER) AS month FROM orders WHERE o_orderpriority = '1-URGENT'),
+  CAST(month(o_orderdate) AS INTEGER) AS month FROM orders),
 span AS (SELECT min(year * 12 + month - 1) AS lo, max(year * 12 + month - 1) AS hi FROM ev),
 axis AS (SELECT unnest(generate_series(lo, hi)) AS k FROM span)
 SELECT l.loc, CAST(k // 12 AS INTEGER) AS year, CAST(k % 12 + 1 AS INTEGER) AS month, count(e.loc) AS x
@@ -100,7 +101,7 @@ FROM (SELECT DISTINCT loc FROM ev) l CROSS JOIN axis
 LEFT JOIN ev e ON e.loc = l.loc AND e.year * 12 + e.month - 1 = k GROUP BY ALL""")
 def densify_grid_calendar(spark, sf):
     """Months nobody has are filled too."""
-    o = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(
+    o = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("loc"), F.date_format("o_orderdate", "yyyy-MM").alias("ym"))
     return p.densify_grid(p.normalize_time(o, "ym"), "loc", "x", calendar=True).select("loc", "year", "month", "x")
 
@@ -138,22 +139,40 @@ def year_month_pivot(spark, sf):
     return eda.year_month_pivot(s.dated(spark, sf))
 
 
-DESCRIBED = ("l_quantity", "l_extendedprice", "l_tax")
+NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+NAMES = ("l_returnflag", "l_linestatus")
 
 
-@query("describe_table", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, count({c}) AS n,
-  count(*) - count({c}) AS n_null, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 5) AS std,
+@query("describe_table", " UNION ALL ".join([f"""SELECT '{c}' AS column_name, count({c}) AS n,
+  count(*) - count({c}) AS n_null, round(avg({c}), 5) AS mean, round(stddev_samp({c}), 4) AS std,
   round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS p25,
   round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50, round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75,
   round(max({c})::DOUBLE, 6) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM lineitem"""
-    for c in DESCRIBED) + """ UNION ALL SELECT 'l_returnflag', count(l_returnflag), count(*) - count(l_returnflag),
-  NULL, NULL, NULL, NULL, NULL, NULL, NULL, min(l_returnflag), max(l_returnflag) FROM lineitem""")
+    for c in NUMBERS] + [f"""SELECT '{c}', count({c}), count(*) - count({c}),
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem""" for c in NAMES]))
 def describe_table(spark, sf):
-    d = eda.describe_table(table(spark, sf, "lineitem"), [*DESCRIBED, "l_returnflag"])
-    return d.select("column_name", "n", "n_null", r6("mean", "mean"), r6("std", "std", 5),
+    d = eda.describe_table(table(spark, sf, "lineitem"), [*NUMBERS, *NAMES])
+    return d.select("column_name", "n", "n_null", r6("mean", "mean", 5), r6("std", "std", 4),
                     *[r6(c, c) for c in ("min", "p25", "p50", "p75", "max")], "min_text", "max_text")
 
 
+# One value in seventeen is infinite or no number; these have their ranks too.
+@query("describe_not_finite", """WITH d AS (SELECT CASE WHEN l_orderkey % 51 = 0 THEN 'NaN'::DOUBLE WHEN l_orderkey % 51 = 17 THEN 'Infinity'::DOUBLE
+  WHEN l_orderkey % 51 = 34 THEN '-Infinity'::DOUBLE ELSE l_extendedprice END AS x FROM lineitem),
+r AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS r, count(*) OVER () - 1 AS n FROM d)
+SELECT q, max(CASE WHEN r = floor(q * n) THEN x END)
+  + CASE WHEN max(CASE WHEN r = floor(q * n) THEN x END) = max(CASE WHEN r = ceil(q * n) THEN x END) THEN 0
+    ELSE (max(CASE WHEN r = ceil(q * n) THEN x END) - max(CASE WHEN r = floor(q * n) THEN x END)) * (any_value(q * n) - floor(any_value(q * n))) END AS v
+FROM r CROSS JOIN (SELECT unnest([0.0::DOUBLE, 0.25, 0.5, 0.75, 0.97, 1.0]) AS q) GROUP BY q""")
+def describe_not_finite(spark, sf):
+    key = F.col("l_orderkey") % 51
+    x = (F.when(key == 0, float("nan")).when(key == 17, float("inf")).when(key == 34, float("-inf"))
+         .otherwise(F.col("l_extendedprice")))
+    probs = (0.0, 0.25, 0.5, 0.75, 0.97, 1.0)
+    found = exact_quantiles(table(spark, sf, "lineitem").select(x.alias("x")), ["x"], probs)["x"]
+    return spark.createDataFrame(list(zip(probs, found)), "q double, v double")
+
+
 @query("max_normalise", f"""WITH {EV}, m AS (SELECT ym, count(*) AS n FROM ev GROUP BY ym)
 SELECT ym, n, round(n::DOUBLE / (SELECT max(n) FROM m), 6) AS share FROM m""")
 def max_normalise(spark, sf):

@@ -28,8 +28,7 @@ HOURS = f"""hrs AS (SELECT h.h, c / sum(c) OVER () AS f, row_number() OVER (ORDE
   FROM (SELECT unnest([{COUNTS}])::DOUBLE AS c, generate_subscripts([{COUNTS}], 1) - 1 AS h) h)"""
 EVENT_HOURS = """hrs AS (SELECT h, CASE WHEN sum(n) OVER () > 0 THEN n::DOUBLE / sum(n) OVER () ELSE 1.0 / 24 END AS f,
   row_number() OVER (ORDER BY n DESC, h) AS r, n FROM (SELECT g.h, count(e.event_id) AS n
-  FROM (SELECT unnest(generate_series(0, 23)) AS h) g LEFT JOIN events e ON hour(e.ts) = g.h
-    AND e.event_type = 'click' GROUP BY g.h))"""
+  FROM (SELECT unnest(generate_series(0, 23)) AS h) g LEFT JOIN events e ON hour(e.ts) = g.h GROUP BY g.h))"""
 ALLOC = f"WITH {BASE}, {SCORES}"
 
 
@@ -50,13 +49,13 @@ def daily(spark, sf):
 
 @query("hourly_profile", f"WITH {EVENT_HOURS} SELECT h AS hour, n FROM hrs WHERE n > 0")
 def hourly_profile(spark, sf):
-    d = allocate.hourly_counts(table(spark, sf, "events").filter("event_type = 'click'"), "ts")
+    d = allocate.hourly_counts(table(spark, sf, "events"), "ts")
     return d.select("hour", "n")
 
 
 def event_hours(spark, sf):
     return allocate.hourly_fractions(
-        allocate.hourly_counts(table(spark, sf, "events").filter("event_type = 'click'"), "ts"))
+        allocate.hourly_counts(table(spark, sf, "events"), "ts"))
 
 
 @query("hourly_fractions", f"WITH {EVENT_HOURS} SELECT h AS hour, n, round(f, 9) AS fraction, r AS rank FROM hrs")

@@ -282,8 +282,7 @@ def neighbor_self_join(spark, sf):
 
 @query("inner_merge_rate", f"""WITH {s.AREAS_SQL}, {EV}, c AS (SELECT a.ward_name AS borough, count(*) AS n_events
   FROM ev JOIN areas a ON a.loc = ev.loc GROUP BY ALL),
-r AS (SELECT n_name AS borough, round(avg(c_acctbal), 6) AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey
-  WHERE c_mktsegment = 'BUILDING' GROUP BY ALL)
+r AS (SELECT n_name AS borough, round(avg(c_acctbal), 6) AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL)
 SELECT c.borough, c.n_events, r.rate FROM c JOIN r ON r.borough = c.borough""")
 def inner_merge_rate(spark, sf):
     ev = s.events(spark, sf).join(s.areas(spark, sf), "loc")
@@ -292,8 +291,8 @@ def inner_merge_rate(spark, sf):
 
 
 def rates(spark, sf):
-    """A rate per nation name, from the customers of one segment."""
-    return (table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'")
+    """A rate per nation name."""
+    return (table(spark, sf, "customer")
             .join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
             .groupBy(F.col("n_name").alias("borough")).agg(r6(F.avg("c_acctbal"), "rate")))
 
@@ -355,9 +354,9 @@ def union_snapshots(spark, sf):
 
 
 @query("intersect_locations", f"""WITH {EV}, {s.LAND_SQL} SELECT DISTINCT loc FROM ev
-WHERE kind = 'R' AND loc IN (SELECT loc FROM classes WHERE dominant)""")
+WHERE loc IN (SELECT loc FROM classes WHERE dominant)""")
 def intersect_locations(spark, sf):
-    ev = s.events(spark, sf).filter("kind = 'R'")
+    ev = s.events(spark, sf)
     return lookup.allowed_locations(ev, "loc", s.classes(spark, sf), "loc")
 
 

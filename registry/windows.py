@@ -9,7 +9,7 @@ from arealis.functions.scalars import safe_div
 from arealis.operators import cleaning, temporal as t
 
 from . import standins as s
-from .core import query, r6
+from .core import query, r6, table
 
 ORDER = ["year", "month"]
 PANEL = s.panel_sql("l_partkey")
@@ -57,12 +57,24 @@ def ewm_mean(spark, sf):
     return d.select(*KEYS, r6("x_ewm_6", "x_ewm_6"), r6("x_ewm_12", "x_ewm_12"))
 
 
-@query("ewm_mean_long_series", EWM_SQL + """ SELECT p.loc, p.year, p.month, round(e.e6, 6) AS x_ewm_6,
-  round(e.e12, 6) AS x_ewm_12 FROM panel p LEFT JOIN e ON e.loc = p.loc AND e.t = p.t - 1""")
+# Weights of more than 300 rows back are below 1e-16 for both spans.
+LONG_SQL = """WITH s AS (SELECT l_returnflag AS loc, l_orderkey, l_linenumber, l_quantity::DOUBLE AS x,
+  row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS t FROM lineitem),
+e AS (SELECT a.loc, a.t, a.l_orderkey, a.l_linenumber,
+  sum(b.x * power(5.0::DOUBLE / 7, a.t - 1 - b.t) * CASE WHEN b.t = 0 THEN 1 ELSE 2.0::DOUBLE / 7 END) AS e6,
+  sum(b.x * power(11.0::DOUBLE / 13, a.t - 1 - b.t) * CASE WHEN b.t = 0 THEN 1 ELSE 2.0::DOUBLE / 13 END) AS e12
+  FROM s a LEFT JOIN (SELECT s.*, unnest(generate_series(1, 300)) AS k FROM s) b ON b.loc = a.loc AND b.t + b.k = a.t
+  GROUP BY ALL)
+SELECT loc, l_orderkey, l_linenumber, round(e6, 6) AS x_ewm_6, round(e12, 6) AS x_ewm_12 FROM e"""
+
+
+@query("ewm_mean_long_series", LONG_SQL)
 def ewm_mean_long_series(spark, sf):
-    """The form for series of any length."""
-    d = t.add_ewm(panel(spark, sf), "loc", "x", ORDER, long_series=True)
-    return d.select(*KEYS, r6("x_ewm_6", "x_ewm_6"), r6("x_ewm_12", "x_ewm_12"))
+    """Three series of many thousand rows each."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    d = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("loc"), *order, F.col("l_quantity").alias("x"))
+    d = t.add_ewm(d, "loc", "x", order)
+    return d.select("loc", "l_orderkey", "l_linenumber", r6("x_ewm_6", "x_ewm_6"), r6("x_ewm_12", "x_ewm_12"))
 
 
 @query("tema", EWM_SQL + """ SELECT p.loc, p.year, p.month,

@@ -108,16 +108,20 @@ def test_falling_series_changes_are_negative(got):
     assert got[("falling", 10)]["n_pct_change"] < 0
 
 
-def test_long_series_need_the_trailing_form(spark):
-    n = 2500
+@pytest.mark.parametrize("span", [6, 40])
+def test_series_of_any_length(spark, span):
+    n = 7000
     df = spark.range(n).select(F.lit("a").alias("loc"), F.col("id").cast("int").alias("i"),
                                (F.col("id") * 7 % 11).cast("long").alias("n"))
-    exact = ewm([i * 7 % 11 for i in range(n)], 6)
-    rows = t.add_ewm(df, "loc", "n", ["i"], (6,), long_series=True).orderBy("i").collect()
-    assert rows[0]["n_ewm_6"] is None
-    assert all(abs(rows[i]["n_ewm_6"] - exact[i - 1]) < 1e-9 for i in range(1, n))
-    with pytest.raises(Exception, match="long_series"):
-        t.add_ewm(df, "loc", "n", ["i"], (6,)).collect()
+    exact = ewm([i * 7 % 11 for i in range(n)], span)
+    rows = t.add_ewm(df, "loc", "n", ["i"], (span,)).orderBy("i").collect()
+    assert rows[0][f"n_ewm_{span}"] is None
+    assert all(abs(rows[i][f"n_ewm_{span}"] - exact[i - 1]) < 1e-9 for i in range(1, n))
+
+
+def test_spans_that_need_separate_passes():
+    with pytest.raises(ValueError, match="too far apart"):
+        s.ewm_block((2, 400))
 
 
 def test_period_and_weights():

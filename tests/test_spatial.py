@@ -78,7 +78,7 @@ def test_neighbour_features(spark):
 
 def test_numbering_of_a_hot_group(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") < 2500, "hot").otherwise("cold").alias("g"))
-    rows = numbered_rows(df, ["g"], "id", "pos", "size", bins=16).collect()
+    rows = numbered_rows(df, ["g"], "id", "pos", "size").collect()
     for g, size in (("hot", 2500), ("cold", 500)):
         part = sorted((r["id"], r["pos"], r["size"]) for r in rows if r["g"] == g)
         assert [p for _, p, _ in part] == list(range(1, size + 1)) and {s for _, _, s in part} == {size}
@@ -96,6 +96,27 @@ def test_exact_quantiles(spark):
     assert got["v"] == pytest.approx(list(np.quantile(kept, (0.0, 0.25, 0.5, 0.9, 1.0))))
 
 
+def test_exact_quantiles_with_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in (nan, inf, -inf, 3.0, 1.0, None, 2.0)], "v double")
+    got = exact_quantiles(df, ["v"], (0.0, 0.1, 0.2, 0.4, 0.5, 0.8, 1.0))["v"]
+    assert got[:2] == [-inf, -inf] and got[2:6] == [1.0, 2.0, 2.5, inf] and got[6] != got[6]
+    only = spark.createDataFrame([(inf,), (inf,)], "v double")
+    assert exact_quantiles(only, ["v"], (0.3,))["v"] == [inf]
+
+
+def test_stations_of_one_name_and_unusable_points(spark):
+    nan = float("nan")
+    points = spark.createDataFrame([(1, 51.0, 0.0), (2, nan, 0.0), (3, None, 0.0), (4, 52.0, float("inf")),
+                                    (5, 51.5, 0.5), (5, 51.5, 0.5)], "id long, lat double, lon double")
+    posts = spark.createDataFrame([("x", 51.0, 0.1), ("x", 53.0, 0.0), ("b", 51.5, 0.5), ("a", 51.5, 0.5),
+                                   ("c", nan, 0.0)], "s string, slat double, slon double")
+    for small in (1000, 0):
+        got = sp.nearest_station(points, "lat", "lon", posts, "s", "slat", "slon", small=small).collect()
+        found = sorted((r.id, r.nearest_station, r.distance_m and round(r.distance_m)) for r in got)
+        assert found == [(1, "x", 6998), (2, None, None), (3, None, None), (4, None, None), (5, "a", 0), (5, "a", 0)]
+
+
 def test_colocated_and_histogram(spark):
     df = spark.createDataFrame([(1, 1.00000001, 2.0), (2, 1.0, 2.0), (3, 1.1, 2.0)], "id long, lat double, lon double")
     got = {r["id"]: (r["ordinal"], r["place_size"]) for r in sp.colocated_points(df, "lat", "lon", "id").collect()}

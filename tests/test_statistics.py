@@ -45,6 +45,10 @@ def test_vif(data):
 
 def test_t_quantile():
     assert stats.t_quantile(0.975, 30) == pytest.approx(2.042272, abs=1e-5)
+    assert stats.t_quantile(0.975, 1) == pytest.approx(12.706205, abs=1e-5)
+    assert stats.t_quantile(0.975, 2) == pytest.approx(4.302653, abs=1e-5)
+    assert stats.t_quantile(0.9, 5) == pytest.approx(1.475884, abs=1e-5)
+    assert stats.t_quantile(0.025, 10) == pytest.approx(-2.228139, abs=1e-5)
     assert stats.t_quantile(0.975, 1e9) == pytest.approx(1.959964, abs=1e-6)
 
 
@@ -88,3 +92,11 @@ def test_lowess(spark, iterations):
     df = spark.createDataFrame(rows, "s string, x double, y double")
     for r in stats.lowess(df, "s", "x", "y", 0.2, iterations).collect():
         assert r["smooth"] == pytest.approx(expected[(r["s"], r["x"])], abs=1e-7)
+
+
+def test_dependent_columns_are_named(spark):
+    df = spark.range(50).selectExpr("id * 1.0 AS a", "id * 2.0 AS b", "id % 7 * 1.0 AS c", "1.0 AS k", "id % 3 * 1.0 AS y")
+    with pytest.raises(ValueError, match="a, b"):
+        stats.ols_hc3(df, "y", ["a", "b", "c"])
+    with pytest.raises(ValueError, match="constant columns: k"):
+        stats.vif(df, ["a", "k"])
