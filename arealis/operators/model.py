@@ -186,6 +186,14 @@ def tune_random(train: DataFrame, features: Sequence[str], label: str, keys: Seq
         "trial int, objective string, params string, rmse double, best boolean")
 
 
+def refit_best(train: DataFrame, features: Sequence[str], label: str, scores: DataFrame,
+               location: str | None = None) -> PipelineModel:
+    """The winner of ``tune_random``, fitted on all rows of ``train``."""
+    best = scores.filter("best").orderBy("trial", "objective").first()
+    options = {} if location is None or best["objective"] == "forest" else {"location": location}
+    return TRAINERS[best["objective"]](train, features, label, **options, **json.loads(best["params"]))
+
+
 def tune_halving(train: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], *,
                  candidates: int = 20, factor: int = 3, folds: int = 5, space: dict | None = None,
                  seed: int = SEED) -> DataFrame:

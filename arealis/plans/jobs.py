@@ -6,6 +6,10 @@
     ... dataset --events P --out DIR [--population P] [--imd P P P] [--housing P] [--edges P] [--classes CSV]
     ... forecast --model DIR --features P --lookup P --start YYYY-MM --end YYYY-MM --out DIR
     ... rosters --predictions DIR --history P --months YYYY-MM ... --out DIR
+    ... train --features P --model DIR --report DIR [--trials N] [--objectives O ...] [--columns C ...]
+    ... csv-rosters --predictions DIR --months YYYY-MM ... --out DIR
+
+On a cluster set spark.checkpoint.dir to a folder that all executors share.
 """
 
 from __future__ import annotations
@@ -17,8 +21,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import calendar as cal
-from ..operators import lookup, model, spatial, tree
+from ..operators import allocate, lookup, model, spatial, tree
 from ..operators.demographics import population_long
+from ..session import cut_lineage, job_session
 from ..sources import readers, schemas, sinks
 from . import roster
 from .feature_table import build_features
@@ -105,6 +110,38 @@ def forecast(spark: SparkSession, model_path: str, features: str, lookup_path: s
     sinks.write_json_tree(tree.nest_hierarchy(tree.attach(areas, maps), ["predictions"]), out)
 
 
+def train(spark: SparkSession, features: str, model_path: str, report: str, trials: int = 30,
+          objectives: Sequence[str] = ("squared_error", "poisson"), columns: Sequence[str] = ()) -> None:
+    """Feature table -> tuned and fitted model, its scores, and the search table.
+
+    Split by time, random search inside the training rows, the winner refitted on all of
+    them, metrics on both parts. ``columns``: features; by default every numeric column
+    but the target and the time of the split.
+    """
+    rows = readers.to_dataframe(spark, features)
+    location = readers.find_location(rows)
+    parts = model.temporal_split(rows)
+    numeric = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)]
+    names = list(columns) or [c for c in numeric if c not in (TARGET, location)]
+    learn = cut_lineage(parts.filter("part = 'train'"))
+    scores = cut_lineage(model.tune_random(learn, names, TARGET, [location, "year", "month"], trials=trials,
+                                           objectives=tuple(objectives)))
+    fitted = model.refit_best(learn, names, TARGET, scores)
+    fitted.write().overwrite().save(model_path)
+    done = model.clip_predictions(fitted.transform(parts))
+    sinks.write_csv(model.regression_metrics(done, TARGET, "prediction", "part"), f"{report}/metrics")
+    sinks.write_csv(scores, f"{report}/search")
+
+
+def csv_rosters(spark: SparkSession, predictions: str | Sequence[str], months: Sequence[str], out: str) -> None:
+    """Prediction tree -> daily and hourly roster files."""
+    entry = T.StructType([f for f in tree.entry_schema().fields if f.name in ("name", "predictions")])
+    flat = tree.flatten_tree(readers.read_json_tree(spark, predictions, entry))
+    scores = flat.select("loc", F.explode("entry.predictions").alias("month_key", "score"))
+    daily = roster.daily_roster(flat.select(*tree.AREA_COLUMNS), scores, months)
+    roster.export_rosters(daily, allocate.hour_profile(), f"{out}/daily", f"{out}/hourly")
+
+
 def rosters(spark: SparkSession, predictions: str | Sequence[str], history: str, months: Sequence[str],
             out: str) -> None:
     """Prediction tree and feature table -> tree with history and officer assignments."""
@@ -135,10 +172,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     job("dataset", "events", "out", population={}, imd={"nargs": 3, "default": ()}, housing={}, edges={}, classes={})
     job("forecast", "model", "features", "lookup", "start", "end", "out")
     job("rosters", "history", "out", predictions=many, months=many)
+    job("train", "features", "model", "report", trials={"type": int, "default": 30},
+        objectives={"nargs": "+", "default": ("squared_error", "poisson")}, columns={"nargs": "*", "default": ()})
+    job("csv-rosters", "out", predictions=many, months=many)
     a = parser.parse_args(argv)
     if a.job == "forecast" and cal.parse_year_month(a.end) < cal.parse_year_month(a.start):
         parser.error("the last month must not precede the first month")
-    spark = SparkSession.builder.appName(f"arealis-{a.job}").getOrCreate()
+    spark = job_session(f"arealis-{a.job}")
     if a.job == "collect":
         collect(spark, a.events, a.lookup, a.out, a.kind)
     elif a.job == "lookup":
@@ -149,6 +189,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         dataset(spark, a.events, a.out, a.population, a.imd, a.housing, a.edges, a.classes)
     elif a.job == "forecast":
         forecast(spark, a.model, a.features, a.lookup, a.start, a.end, a.out)
+    elif a.job == "train":
+        train(spark, a.features, a.model, a.report, a.trials, a.objectives, a.columns)
+    elif a.job == "csv-rosters":
+        csv_rosters(spark, a.predictions, a.months, a.out)
     else:
         rosters(spark, a.predictions, a.history, a.months, a.out)
 

@@ -37,6 +37,15 @@ def local_session(cpus: int | str = 8, app: str = "arealis", memory: str = "12g"
     return spark
 
 
+def job_session(app: str) -> SparkSession:
+    """Session of a submitted job: master and resources are the submitter's, the time zone
+    and the method size are what the operators assume."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -225,6 +225,58 @@ def train_classifier(spark, sf):
     return m.classification_report(fitted.transform(d.filter("part = 'test'")), "x", "prediction")
 
 
+# -- facts about fitted models that SQL can compute -----------------------
+
+PLAIN = ["month_sin", "month_cos", "time_index_norm"]
+TRAIN_SQL = f"""WITH {PANEL}, {s.TIME_SQL}, tr AS (SELECT p.*, n.month_sin, n.month_cos, n.tin AS time_index_norm FROM panel p
+  JOIN norm n ON n.year = p.year AND n.month = p.month WHERE n.tin <= 0.7::DOUBLE * (SELECT max(tin) FROM norm))"""
+
+
+def training_rows(spark, sf):
+    d = learning_table(spark, sf)
+    return d.filter("part = 'train'")
+
+
+@query("train_poisson_balance", TRAIN_SQL + " UNION ALL ".join(
+    [" SELECT 'const' AS term, round(sum(x), 1)::DOUBLE AS total FROM tr"]
+    + [f"SELECT '{c}', round(sum(x * {c}), 1) FROM tr" for c in PLAIN]))
+def train_poisson_balance(spark, sf):
+    """Without a penalty the predictions keep the sums of the target times each feature."""
+    d = training_rows(spark, sf)
+    fitted = m.train_poisson(d, PLAIN, "x", regParam=0.0, maxIter=50, tol=1e-12).transform(d)
+    sums = fitted.select(F.explode(F.array(*[F.struct(F.lit(c).alias("term"), (F.col("prediction") * x).alias("v"))
+                                             for c, x in [("const", F.lit(1.0)), *((c, F.col(c)) for c in PLAIN)]])).alias("t"))
+    return sums.groupBy("t.term").agg(r6(F.sum("t.v"), "total", 1))
+
+
+TOTAL_SQL = TRAIN_SQL + " SELECT year, round(sum(x), 3)::DOUBLE AS total FROM tr GROUP BY year"
+
+
+@query("train_forest_total", TOTAL_SQL)
+def train_forest_total(spark, sf):
+    """A tree on the year alone, all rows: each leaf predicts the mean, so every year keeps its total."""
+    d = training_rows(spark, sf).withColumn("y", F.col("year").cast("double"))
+    fitted = m.train_forest(d, ["y"], "x", numTrees=1, bootstrap=False, maxDepth=10)
+    return fitted.transform(d).groupBy("year").agg(r6(F.sum("prediction"), "total", 3))
+
+
+@query("train_boosted_total", TOTAL_SQL)
+def train_boosted_total(spark, sf):
+    """Boosting on the residuals of the year's means keeps the totals too."""
+    d = training_rows(spark, sf).withColumn("y", F.col("year").cast("double"))
+    fitted = m.train_boosted(d, ["y"], "x", maxIter=5, maxDepth=5, subsamplingRate=1.0)
+    return fitted.transform(d).groupBy("year").agg(r6(F.sum("prediction"), "total", 3))
+
+
+@query("train_classifier_exact", TRAIN_SQL + """ SELECT 60 + 10 * month::BIGINT AS label, 60 + 10 * month::BIGINT AS predicted,
+  count(*) AS n FROM tr GROUP BY month""")
+def train_classifier_exact(spark, sf):
+    """A label that the features separate, with classes above 100: the matrix is diagonal."""
+    d = training_rows(spark, sf).withColumn("label", F.col("month").cast("bigint") * 10 + 60)
+    fitted = m.train_classifier(d, ["month_sin", "month_cos"], "label", numTrees=20, maxDepth=10).transform(d)
+    return m.confusion_matrix(fitted.withColumn("prediction", F.col("prediction").cast("bigint")), "label", "prediction")
+
+
 SMALL = {"squared_error": {"maxIter": ("int", 3, 6), "maxDepth": ("int", 2, 4), "stepSize": ("float", 0.05, 0.5)},
          "poisson": {"regParam": ("log", 1e-4, 1.0)},
          "forest": {"numTrees": ("int", 5, 10), "maxDepth": ("int", 3, 5)}}

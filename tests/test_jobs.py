@@ -77,6 +77,15 @@ def test_from_extracts_to_rosters(spark, region):
     fitted.save(at("model"))
     jobs.main(["forecast", "--model", at("model"), "--features", at("data/X_test.parquet"), "--lookup", at("areas"),
                "--start", "2018-01", "--end", "2018-02", "--out", at("tree")])
+    jobs.main(["train", "--features", at("data/features.parquet"), "--model", at("tuned"), "--report", at("report"),
+               "--trials", "1", "--objectives", "poisson", "--columns", *features])
+    parts = {r["part"] for r in spark.read.option("header", True).csv(at("report/metrics")).collect()}
+    assert parts == {"train", "test"}
+    jobs.main(["forecast", "--model", at("tuned"), "--features", at("data/X_test.parquet"), "--lookup", at("areas"),
+               "--start", "2018-01", "--end", "2018-02", "--out", at("tree2")])
+    jobs.main(["csv-rosters", "--predictions", at("tree2"), "--months", "2018-01", "2018-02", "--out", at("csv")])
+    daily = spark.read.option("header", True).csv(at("csv/daily"))
+    assert daily.count() > 0 and "officers_assigned" in daily.columns
     jobs.main(["rosters", "--predictions", at("nothing"), at("tree"), "--history", at("data/features.parquet"),
                "--months", "2018-01", "2018-02", "--out", at("full")])
     doc = json.loads(spark.read.text(at("full")).first()["value"])
