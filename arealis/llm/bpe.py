@@ -263,9 +263,9 @@ class Codec:
 
 
 @lru_cache(maxsize=1)
-def codec(path: str) -> Codec:
+def codec(path: str, cache_parts: int) -> Codec:
     """One codec for all tasks of a worker process."""
-    return Codec(path)
+    return Codec(path, cache_parts)
 
 
 def _groups(values: pa.Array, limit: int) -> Iterator[list[str]]:
@@ -283,14 +283,15 @@ def _groups(values: pa.Array, limit: int) -> Iterator[list[str]]:
 
 def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                    keep: tuple[str, ...] = (), with_ids: bool = False,
-                   batch_chars: int = 1 << 20) -> DataFrame:
+                   batch_chars: int = 1 << 20, cache_parts: int = CACHE_PARTS) -> DataFrame:
     """Encode each whole text and decode the ids again.
 
     One row per row of ``docs``: doc_id, the columns ``keep``, n_tokens, ids_sha256 (of
     the decimal ids joined by commas), decoded_sha256, exact (decoded text = text) and,
     if ``with_ids``, token_ids. Null texts count as empty. ``tokenizer`` is the path of
     a ``tokenizers`` .json file with byte-level BPE, present on every node. A special
-    token's string inside a text becomes that token, the library's default.
+    token's string inside a text becomes that token, the library's default. A worker
+    remembers ``cache_parts`` words and as many parts of texts, about 250 bytes each.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).alias("doc_id"), *keep, text.alias("_text"))
@@ -302,7 +303,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     names = [f.name for f in [*kept, *added]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(tokenizer)
+        coder = codec(tokenizer, cache_parts)
         for batch in batches:
             start = 0
             for texts in _groups(batch.column(len(kept)), batch_chars):

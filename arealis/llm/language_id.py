@@ -26,7 +26,7 @@ SMOOTHING = 0.5
 #: Bits of evidence a further language has to bring, besides half the log of the segments.
 PENALTY = 6.0
 MAX_LANGUAGES = 256
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -161,8 +161,9 @@ def mixtures(texts: list[bytes], table: np.ndarray) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
-            text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, lang_pred, score, noise and shares of each row of ``docs``.
+            text_col: str = "text", keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """doc_id, the columns ``keep``, lang_pred, score and noise of each row of ``docs``, and with
+    ``keep_text`` the text itself (null as empty), which then need not be in ``keep`` as well.
 
     ``lang_pred`` is the language with the largest share, ``und`` if the text is null or
     has no letter or if the model knows no language; ``score`` is its share. ``noise`` is
@@ -174,6 +175,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
     kept = list(source.schema)[:-1]
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
              T.StructField("noise", T.DoubleType())]
+    if keep_text:
+        added.append(T.StructField("_text", T.BinaryType()))
     names = [f.name for f in [*kept, *added]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,9 +193,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(first, len(texts)) for i in range(len(kept))]
                     + [pa.array([langs[b] if ok else UNKNOWN for b, ok in zip(best, known)]),
-                       pa.array(np.clip(score, 0, 1)), pa.array(np.clip(noise, 0, 1))], names=names)
+                       pa.array(np.clip(score, 0, 1)), pa.array(np.clip(noise, 0, 1))]
+                    + ([batch.column(len(kept)).slice(first, len(texts))] if keep_text else []), names=names)
 
-    return map_arrow(source, run, T.StructType([*kept, *added]))
+    found = map_arrow(source, run, T.StructType([*kept, *added]))
+    return found.withColumn("_text", F.col("_text").cast("string")) if keep_text else found
 
 
 def held_out(id_col: str) -> Column:
@@ -201,9 +206,11 @@ def held_out(id_col: str) -> Column:
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
+                       lang_col: str = "lang", keep: tuple[str, ...] = (),
+                       keep_text: bool = False) -> DataFrame:
     """Fit on the rows that are not held out and predict every row: doc_id, ``keep``, held_out,
-    lang_pred, score, noise."""
+    lang_pred, score, noise, and ``_text`` if asked for."""
     model = fit(docs.filter(~held_out(id_col)), text_col, lang_col)
-    out = predict(docs, model, id_col, text_col, keep)
-    return out.select("doc_id", *keep, held_out("doc_id").alias("held_out"), "lang_pred", "score", "noise")
+    out = predict(docs, model, id_col, text_col, keep, keep_text)
+    return out.select("doc_id", *keep, held_out("doc_id").alias("held_out"), "lang_pred", "score", "noise",
+                      *(["_text"] if keep_text else []))
