@@ -28,9 +28,9 @@ from .ship import map_arrow
 
 LENGTH = 50
 GRAM = 16
-GROUP_BYTES = 1 << 21
-#: Contexts that one suffix array holds.
-ARRAY_CONTEXTS = 1 << 16
+GROUP_BYTES = 1 << 20
+#: Contexts that one suffix array holds at least, if there are as many; whole keys only.
+ARRAY_CONTEXTS = 1 << 14
 _POS_BITS = 40
 
 
