@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions import calendar as cal
 from ..operators import allocate, lookup, model, spatial, tree
 from ..operators.demographics import population_long
-from ..session import cut_lineage, job_session
+from ..session import cut_lineage, job_session, remove_tables, tables_written
 from ..sources import readers, schemas, sinks
 from . import roster
 from .feature_table import build_features
@@ -178,23 +178,26 @@ def main(argv: Sequence[str] | None = None) -> None:
     a = parser.parse_args(argv)
     if a.job == "forecast" and cal.parse_year_month(a.end) < cal.parse_year_month(a.start):
         parser.error("the last month must not precede the first month")
-    spark = job_session(f"arealis-{a.job}")
-    if a.job == "collect":
-        collect(spark, a.events, a.lookup, a.out, a.kind)
-    elif a.job == "lookup":
-        area_lookup(spark, a.files, a.out, a.prefix)
-    elif a.job == "neighbors":
-        neighbors(spark, a.centroids, a.out, a.k)
-    elif a.job == "dataset":
-        dataset(spark, a.events, a.out, a.population, a.imd, a.housing, a.edges, a.classes)
-    elif a.job == "forecast":
-        forecast(spark, a.model, a.features, a.lookup, a.start, a.end, a.out)
-    elif a.job == "train":
-        train(spark, a.features, a.model, a.report, a.trials, a.objectives, a.columns)
-    elif a.job == "csv-rosters":
-        csv_rosters(spark, a.predictions, a.months, a.out)
-    else:
-        rosters(spark, a.predictions, a.history, a.months, a.out)
+    spark, before = job_session(f"arealis-{a.job}"), tables_written()
+    try:
+        if a.job == "collect":
+            collect(spark, a.events, a.lookup, a.out, a.kind)
+        elif a.job == "lookup":
+            area_lookup(spark, a.files, a.out, a.prefix)
+        elif a.job == "neighbors":
+            neighbors(spark, a.centroids, a.out, a.k)
+        elif a.job == "dataset":
+            dataset(spark, a.events, a.out, a.population, a.imd, a.housing, a.edges, a.classes)
+        elif a.job == "forecast":
+            forecast(spark, a.model, a.features, a.lookup, a.start, a.end, a.out)
+        elif a.job == "train":
+            train(spark, a.features, a.model, a.report, a.trials, a.objectives, a.columns)
+        elif a.job == "csv-rosters":
+            csv_rosters(spark, a.predictions, a.months, a.out)
+        else:
+            rosters(spark, a.predictions, a.history, a.months, a.out)
+    finally:
+        remove_tables(spark, before)
 
 
 if __name__ == "__main__":

@@ -37,6 +37,26 @@ def local_session(cpus: int | str = 8, app: str = "arealis", memory: str = "12g"
     return spark
 
 
+_written: list[str] = []
+
+
+def tables_written() -> int:
+    """How many tables ``cut_lineage`` has written in this process and not removed."""
+    return len(_written)
+
+
+def remove_tables(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that ``cut_lineage`` has written, but for the first ``since``.
+
+    For the end of a job, when its results have been written: frames built on these
+    tables cannot be read afterwards.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_written) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def job_session(app: str) -> SparkSession:
     """Session of a submitted job: master and resources are the submitter's, the time zone
     and the method size are what the operators assume."""
@@ -75,5 +95,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

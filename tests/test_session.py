@@ -1,10 +1,11 @@
 """Where intermediate tables go."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from arealis.session import cut_lineage, shared_folder
+from arealis.session import cut_lineage, remove_tables, shared_folder, tables_written
 
 
 def fake(master, folder=None):
@@ -28,3 +29,12 @@ def test_written_table_keeps_rows_and_schema(spark):
     again = cut_lineage(df)
     assert again.schema.simpleString() == df.schema.simpleString()
     assert sorted(again.collect()) == sorted(df.collect())
+
+
+def test_tables_go_at_the_end(spark):
+    first = cut_lineage(spark.range(2))
+    before = tables_written()
+    path = Path(cut_lineage(spark.range(3)).inputFiles()[0].removeprefix("file://")).parent
+    assert path.exists()
+    remove_tables(spark, before)
+    assert not path.exists() and tables_written() == before and first.count() == 2
