@@ -14,12 +14,14 @@ Documents that equal an earlier one as a whole are found first and take no part.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from arealis.session import cut_lineage
 
@@ -363,6 +365,18 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the files of shuffles that nothing refers to any more.
+
+    It does so when the driver's JVM collects its garbage, which a driver with little to do
+    may put off until the disks are full. The second round finds what the first has freed.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
@@ -392,17 +406,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = cut_lineage(
         map_arrow(map_arrow(known, _find_anchors(length), "key bigint, doc bigint, ref bigint")
                   .repartition("key").sortWithinPartitions("key", "doc"), _shared,
-                  "key bigint, doc bigint, ref bigint")
-        .withColumn("tag", F.shiftright("ref", _POS_BITS)))
-    spark.sparkContext._jvm.System.gc()  # lets Spark delete the shuffle of all anchors now
-    wanted = shared.join(copies, ["doc", "tag"], "left_anti").groupBy("doc", "tag").agg(
+                  "key bigint, doc bigint, ref bigint"))
+    release_shuffles(spark)  # of all anchors
+    wanted = shared.withColumn("tag", F.shiftright("ref", _POS_BITS)).join(copies, ["doc", "tag"], "left_anti").groupBy("doc", "tag").agg(
         F.collect_list("ref").alias("refs"), F.collect_list("key").alias("keys"))
     contexts = map_arrow(known.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "refs", "keys"),
                          _cut_contexts(length),
                          "key bigint, context binary, docs array<bigint>, refs array<bigint>")
     spans = cut_lineage(map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _mark(length),
                                   "doc bigint, tag bigint, start bigint, end bigint").unionByName(copies))
-    spark.sparkContext._jvm.System.gc()
+    del wanted, contexts
+    release_shuffles(spark)
     marked = spans.groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"),
                                              F.collect_list("end").alias("ends"))
     final = rows.join(marked, ["doc", "tag"], "left").select(
