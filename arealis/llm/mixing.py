@@ -24,7 +24,7 @@ TEMPER = 0.9
 #: Sources whose names and sizes fit the driver; more than these are refused.
 MAX_SOURCES = 100_000
 #: Rows numbered by one task.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_000
 
 
 def grid_weights(weights: dict[str, float], grid: int) -> dict[str, int]:
@@ -99,8 +99,9 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     places = _rows(spark, [{"ps": s, "nth": i, "place": x} for s in parts for i, x in enumerate(slots[s])],
                    "ps string, nth bigint, place bigint")
 
-    # The ordinal of a row in its source: numbered in buckets of the hash, which are even
-    # whatever the sizes of the sources, plus the rows in the buckets before.
+    # The ordinal of a row in its source, in the order of the unsigned hash: numbered in
+    # buckets of its first bits, which are even whatever the sizes of the sources, plus the
+    # rows in the buckets before.
     bits = max(0, math.ceil(math.log2(max(sum(sizes.values()), 1) / BUCKET_ROWS)))
     bucket = F.shiftrightunsigned("_hash", 64 - bits) if bits else F.lit(0).cast("bigint")
     rows = rows.withColumn("_bucket", bucket)
@@ -110,7 +111,7 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
         F.coalesce(F.sum("count").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))
     numbered = rows.withColumn("_nth", F.row_number().over(
-        Window.partitionBy("_source", "_bucket").orderBy("_hash", "_id")))
+        Window.partitionBy("_source", "_bucket").orderBy(F.col("_hash").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint")), "_id")))
     placed = numbered.join(before, (F.col("_source") == F.col("bs")) & (F.col("_bucket") == F.col("bb"))).withColumn(
         "_at", F.col("_before") + F.col("_nth") - 1)
     # At most MAX_SOURCES rows, and a period of at most ten slots for each.
