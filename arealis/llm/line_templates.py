@@ -1,9 +1,11 @@
 """Line deduplication with a log-template tree, in DataFrame operations only.
 
 Every line is parsed to a fixed depth: the number of its tokens, its leading tokens, and
-the remaining tokens as the leaf. Tokens that vary from copy to copy (with a digit or an
-``@``, web addresses) are generalised to ``<*>`` on every level. A line's template is
-its path through the tree. A template that many documents share is boilerplate: it is
+the remaining tokens as the leaf. What varies from copy to copy (words with a digit,
+numbers, addresses) is generalised to ``<*>`` on every level; the rest of its token stays.
+A line with fewer than four constant letters for each such part is its own template, so
+that rows of numbers are not taken for copies of each other. A line's template is its
+path through the tree. A template that many documents share is boilerplate: it is
 dropped everywhere but in the document with the smallest id.
 """
 
@@ -15,15 +17,25 @@ from arealis.session import cut_lineage
 
 from .hot import join_counted
 
-#: A token that starts as a web address or that holds a digit or an @.
-VARIABLE = r"(?<![^ ])(?:https?://[^ ]*+|[^ 0-9@]*+[0-9@][^ ]*+)"
+#: A web address, a mail address or a Latin word with a digit; further numbers after one separator belong to it.
+VARIABLE = (r"(?<![^ ])https?://[!-~]*+|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*+@[A-Za-z0-9._-]*+"
+            r"|(?<![\p{IsLatin}0-9])\p{IsLatin}*+[0-9][\p{IsLatin}0-9]*+(?:[.,:/-][0-9][\p{IsLatin}0-9]*+)*+")
+#: With fewer constant letters than this for each variable part, a line is compared as it is.
+CONSTANT_LETTERS = 4
 MIN_DOCS = 10
 LEAD_TOKENS = 2
 
 
 def template(line: Column) -> Column:
-    """The line's tokens with variable ones generalised; empty for a blank line."""
-    return F.regexp_replace(F.trim(F.translate(line, "\t\r\x0b\x0c", "    ")), VARIABLE, "<*>")
+    """The line with variable parts generalised, or as it is if little else is in it; empty for a blank line."""
+    plain = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
+    masked = F.regexp_replace(plain, VARIABLE, "<*>")
+    constant = F.replace(masked, F.lit("<*>"), F.lit(""))
+    parts = (F.length(masked) - F.length(constant)) / 3
+    letters = F.length(F.regexp_replace(constant, r"\P{L}+", ""))
+    # Branches, not one condition: most lines have no variable part and need no masking.
+    return F.when(~plain.rlike("[0-9@]|https?://"), plain).when(
+        letters >= CONSTANT_LETTERS * parts, masked).otherwise(plain)
 
 
 def parse_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

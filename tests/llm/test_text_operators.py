@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from arealis.llm import bpe, language_id, line_templates
 from arealis.llm.exact_dedup import exact_duplicates
 from arealis.llm.pieces import safe_pieces
@@ -157,6 +158,21 @@ def test_recurring_lines(spark):
     assert got[None]["text"] == "x"
 
 
+def test_different_lines_of_numbers_and_without_blanks_stay(spark):
+    """Twelve documents each: years, rows of numbers, labelled rows, texts of one token with a digit."""
+    kinds = ["{0}", "{0} {1}\t{2}", "Total {0} {1} {2}", "{3}于202{1}年成立。", "{3}在 第{1}章 {3}里", "{3}เปิด202{1}"]
+    docs = [(20 * k + i, kind.format(2000 + i, i, 7 * i, "".join(chr(0x4E00 + 40 * i + j) for j in range(9))))
+            for k, kind in enumerate(kinds) for i in range(12)]
+    docs += [(500 + i, "12 34 56") for i in range(12)]  # the same numbers everywhere
+    docs += [(600 + i, f"版权所有，保留一切权利{i}") for i in range(12)]  # only the number differs
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'zh' AS lang", "'s' AS source", "cast(length(text) as bigint) AS n_chars")
+    want = {i for i, _ in docs if i < 500} | {500, 600}
+    got = line_templates.drop_recurring_lines(df).filter("n_dropped = 0")
+    assert {r.doc_id for r in got.collect()} == want
+    assert {r.doc_id for r in corpus_pipeline.line_dedup(spark, df, "").collect()} == want
+
+
 def test_lines_of_awkward_rows_stay(awkward, nothing):
     got = line_templates.drop_recurring_lines(awkward)
     assert Counter(r.text for r in got.collect()) == Counter(r.text for r in awkward.collect())
