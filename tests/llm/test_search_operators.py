@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -250,6 +251,35 @@ def test_mixture(spark, awkward, nothing):
     assert mixing.mix_sources(nothing).collect() == []
 
 
+@pytest.mark.parametrize("weights", [
+    {f"s{i:03}": 0.5 if i == 0 else 0.5 / 99 for i in range(100)}, {"hot": 2e6, "tiny": 1.0, "odd": 12345.678},
+    {f"s{i:02}": n ** 0.9 for i, n in enumerate([3_333_333] + [350_877] * 19)}])
+def test_every_prefix_is_within_one_block_of_the_targets(weights):
+    blocks = {s: 4000 if w == max(weights.values()) else 1 for s, w in weights.items()}
+    slots = mixing.slots_to_end(mixing.exact_parts(weights), blocks)
+    n, total = sum(map(len, slots.values())), sum(map(Fraction, weights.values()))
+    assert sorted(x for own in slots.values() for x in own) == list(range(n))
+    for source, own in slots.items():
+        share = Fraction(weights[source]) / total
+        assert len(own) >= blocks[source]
+        for k, slot in enumerate(own):  # the count changes at these slots only
+            assert abs(k - slot * share) < 1 and abs(k + 1 - (slot + 1) * share) < 1
+        assert abs(len(own) - n * share) < 1
+
+
+def test_targets_hold_for_tiny_and_many_sources(spark):
+    docs = spark.range(30_001).selectExpr("id AS doc_id", "CASE WHEN id = 0 THEN 'tiny' WHEN id < 15001 THEN 'hot' "
+                                          "ELSE concat('s', id % 99) END AS source")
+    got = mixing.mix_sources(docs, block_rows=5).toPandas()
+    assert set(got.doc_id) == set(range(30_001)) and got.position.is_unique
+    assert (got.source == "tiny").sum() == 1
+    sizes = docs.groupBy("source").count().toPandas().set_index("source")["count"] ** 0.9
+    order = got.sort_values("position").drop_duplicates("slot").source
+    for source in ("hot", "s0", "tiny"):
+        ahead = (order == source).cumsum().to_numpy() - np.arange(1, len(order) + 1) * sizes[source] / sizes.sum()
+        assert np.abs(ahead).max() < 1
+
+
 # ---------------------------------------------------------------- pipeline
 
 
