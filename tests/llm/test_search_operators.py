@@ -311,3 +311,34 @@ def test_near_copies_go_and_others_stay(spark, sample):
     full = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) as bigint) AS n_chars")
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, full, "").collect()}
     assert 8999 in kept and not kept & {i for i, _ in copies}
+
+
+def test_all_near_copies_down_to_the_limit_go(spark):
+    """Against brute force: appended, replaced and scattered edits, templated pages, one hot group, one id twice."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    text = lambda n: list(rng.choice(vocabulary, n))
+    docs = []
+    for _ in range(25):
+        base = text(200)
+        scattered = list(base)
+        for at in rng.choice(200, 4, replace=False):
+            scattered[at] = "edit"
+        docs += [base, base + text(int(rng.integers(44, 54))), base[:60] + text(int(rng.integers(16, 26))) + base[80:], scattered]
+    page = text(200)
+    for k in range(30):  # a template: neighbours are alike, ends are not
+        docs.append(page[:k * 6] + text(6) + page[k * 6 + 6:] + text(20))
+    docs += [page[:3 * k] + ["x"] + page[3 * k + 1:] for k in range(40)] + [["a", "b"], ["a", "b"], ["a", "c"]]
+    texts = [" ".join(d) for d in docs]
+    order = rng.permutation(len(texts))
+    rows = [(int(i), texts[j]) for i, j in enumerate(order)]
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(max(len(t.split()) - 4, 1))} for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) as bigint) AS n_chars")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(label)
