@@ -270,49 +270,19 @@ def near_links(fps: DataFrame, bits: int = LINK_BITS, block: int = NODE_BLOCK) -
         .sortWithinPartitions("mask", "value", "i", "j", "side", gray_rank(F.col("fp"))), run, schema)
 
 
-def similar(links: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str,
-            words: int, similarity: float) -> DataFrame:
-    """The ``links`` (u, v) whose texts share at least ``similarity`` of their distinct shingles.
-
-    ``firsts`` (fp, first): a document for each fingerprint.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingles(t.as_py(), words)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))],
-                                             names=["fp", "hashes"])
-
-    ends = links.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
-    wanted = cut_lineage(firsts.join(ends, "fp", "left_semi").select("fp", "first"))
-    texts = docs.select(F.col(id_col).alias("first"),
-                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).join(
-        wanted, "first").select("fp", "text")
-    sets = cut_lineage(map_arrow(texts, run, "fp bigint, hashes array<bigint>").dropDuplicates(["fp"]))
-    pairs = (links.join(sets.select(F.col("fp").alias("u"), F.col("hashes").alias("hu")), "u")
-             .join(sets.select(F.col("fp").alias("v"), F.col("hashes").alias("hv")), "v"))
-    shared = F.size(F.array_intersect("hu", "hv"))
-    return pairs.filter(shared >= similarity * (F.size("hu") + F.size("hv") - shared)).select("u", "v")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = SHINGLE_WORDS, bits: int = LINK_BITS, distinct: bool = False,
-                    check_words: int = 0, similarity: float = 0.8, block: int = NODE_BLOCK) -> DataFrame:
+                    block: int = NODE_BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
     Documents whose fingerprints differ in at most ``bits`` bits are linked;
     ``component_id`` is the smallest id in reach. A null or empty text has fingerprint
     zero. Rows with a null id are linked too, but a null id is no component id unless
     nothing else is in reach. Rows that repeat an id are separate documents.
-
-    With ``check_words`` a link also needs ``similarity`` (Jaccard) of the shingles of that
-    many words. The links checked are those of the closest spanning forest of each node.
     """
     rows = cut_lineage(fingerprints(docs, id_col, text_col, words, distinct))
     firsts = cut_lineage(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
     links = near_links(firsts.select("fp"), bits, block)
-    if check_words:
-        links = cut_lineage(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-        links = similar(links, firsts, docs, id_col, text_col, check_words, similarity)
     roots = components(links)
     linked = cut_lineage(firsts.join(roots.withColumnRenamed("v", "fp"), "fp", "left")
                          .withColumn("root", F.coalesce("root", "fp")))
