@@ -3,7 +3,7 @@
 1. language_id: drops documents without a language (no letters, or mostly noise).
 2. line_dedup: takes lines out whose template many documents share; a document of which
    nothing visible is left goes with them.
-3. near_dedup: of each group of near copies the document with the smallest id stays.
+3. near_dedup: of each group of near copies (SimHash) the document with the smallest id stays.
 4. mixing: interleaves the sources in blocks to their target weights; small sources start
    again until every document has been used.
 5. bpe: token ids of each text, checked by decoding them again.
@@ -12,13 +12,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arealis.llm.bpe import bpe_round_trip
 from arealis.llm.language_id import UNKNOWN, identify_languages
 from arealis.llm.line_templates import drop_recurring_lines
 from arealis.llm.mixing import mix_sources
-from arealis.llm.set_join import near_copies
+from arealis.llm.simhash import LINK_BITS, SHINGLE_WORDS, near_duplicates
 from arealis.session import cut_lineage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -45,15 +45,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words, similarity of 0.8 or more.
+    """One document of each group of near copies: fingerprints of four-word shingles, four bits.
 
-    Exact: no pair is left to chance. Rows with a null id stay; of rows with one id, one stays.
+    The smallest id of a group stays, the first of the rows that share it; a row without an
+    id stays only where no row of its group has one. Rows are told apart by a number of
+    their own, so different documents under one id are judged each for itself.
     """
-    classes = near_copies(docs, words=5, similarity=0.8)
-    stay = cut_lineage(classes.select(F.col("component_id").alias("doc_id")).distinct())
-    kept = docs.join(stay, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text", "lang", "source")))
-    return kept.filter("_nth = 1").select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rows = cut_lineage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                                   F.monotonically_increasing_id().alias("no")))
+    ids = rows.select(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), "no")
+                      .alias("doc_id"), F.col("row.text").alias("text"))
+    groups = near_duplicates(ids, words=SHINGLE_WORDS, bits=LINK_BITS)
+    stay = cut_lineage(groups.filter("doc_id = component_id").select("doc_id.no"))
+    return rows.join(stay, "no", "left_semi").select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +75,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
           ("mixing", mixing), ("bpe", bpe)]
 
-#: Expectation-maximisation, fingerprints' links and BPE have no SQL form.
+#: Expectation-maximisation, links of fingerprints and BPE have no SQL form.
 ORACLE_SQL = None
 
 
