@@ -40,3 +40,20 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str)
     near = rows.join(F.broadcast(hot.drop("_hot")), on(rows, hot)).select(*rows.columns, *values)
     far = rest.join(cold, on(rest, cold)).select(*rows.columns, *values)
     return near.unionByName(far)
+
+
+def join_salted(left: DataFrame, right: DataFrame, keys: Sequence[str], part: int = 1 << 12) -> DataFrame:
+    """Inner join in which the rows of ``left`` with one key are dealt to tasks of about ``part`` rows.
+
+    The rows of ``right`` with such a key are repeated once for each of these parts. For
+    many-to-many joins; keys are not null. ``left`` is read twice, so it should be a
+    written table.
+    """
+    large = left.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > part).select(
+        *keys, F.ceil(F.col("_n") / part).cast("int").alias("_parts"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    dealt = left.join(large, list(keys), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).drop("_parts")
+    repeated = right.join(large, list(keys), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(repeated, [*keys, "_salt"]).drop("_salt")
