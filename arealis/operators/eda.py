@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
+from ..session import cut_lineage
 from .skew import exact_quantiles
 
 
@@ -57,9 +59,10 @@ def hierarchy_counts(lookup: DataFrame, levels: Sequence[str], unchanged: tuple[
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: count, nulls, mean, deviation, minimum, quartiles, maximum.
 
-    Text columns have their smallest and greatest value in ``min_text``/``max_text``.
+    Columns that are no numbers (text, dates) have their smallest and greatest value, as
+    text, in ``min_text``/``max_text``.
     """
-    text = [f.name for f in df.schema.fields if f.name in columns and f.dataType.typeName() == "string"]
+    text = [f.name for f in df.schema.fields if f.name in columns and not isinstance(f.dataType, NumericType)]
     quart = exact_quantiles(df, [c for c in columns if c not in text], (0.25, 0.5, 0.75))
     none, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     rows = []
@@ -72,8 +75,8 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.count(F.when(F.col(c).isNull(), 1)).alias("n_null"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q1.alias("p25"), q2.alias("p50"),
             q3.alias("p75"), F.max(x).alias("max"),
-            F.min(no_text if number else F.col(c)).alias("min_text"),
-            F.max(no_text if number else F.col(c)).alias("max_text")))
+            (no_text if number else F.min(c).cast("string")).alias("min_text"),
+            (no_text if number else F.max(c).cast("string")).alias("max_text")))
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
@@ -81,6 +84,7 @@ def residential_stats(df: DataFrame, share: str = "residential_pct_2018",
                       flag: str = "is_residential_dominant",
                       advantage: str = "residential_advantage") -> DataFrame:
     """Mean and median share, flagged and total count, advantage among the flagged."""
+    df = cut_lineage(df.select(share, flag, advantage))
     median = exact_quantiles(df, [share], (0.5,))[share][0]
     lead = F.when(F.col(flag), F.col(advantage))
     return df.agg(

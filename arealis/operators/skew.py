@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from ..session import cut_lineage
 
@@ -44,16 +46,67 @@ def numbered_rows(df: DataFrame, group: Sequence[str], order: str, out: str,
                          *[f"_g{i}" for i in range(len(group))])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    bins: int = 4096) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles with bounded memory.
-
-    Built-in exact percentiles keep every distinct value of a group in one task.
-    Here each wanted rank is narrowed down instead: one aggregate counts the values
-    per bin of the current interval, the bin that holds the rank becomes the next
-    interval (tightened to the smallest and largest value seen in it), until one
-    value is left. Only bin counts reach the driver. Infinities and NaN, which sorts
-    last, are counted once and take their ranks; the search is for finite values only.
+#: Relative error of a quantile sketch is 1 / ACCURACY; values of one bracket that the driver takes.
+ACCURACY, BRACKET, GRID = 20_000, 1 << 16, 512
+
+
+class _Search:
+    """Bracket of the order statistics of one column around ``ranks`` (of its finite values)."""
+
+    def __init__(self, column: int, ranks: tuple[int, ...], low: float, high: float, inside: float):
+        self.column, self.ranks, self.low, self.high = column, ranks, low, high
+        #: Upper bound of the number of values strictly between the ends.
+        self.inside = inside
+        self.found: dict[int, float] = {}
+
+    @property
+    def collects(self) -> bool:
+        return self.inside <= BRACKET
+
+    def aggregates(self, x: Column, j: int) -> list[Column]:
+        between = F.when((x > self.low) & (x < self.high), x)
+        part = F.sort_array(F.collect_list(between)) if self.collects else F.percentile_approx(
+            between, [i / GRID for i in range(GRID + 1)], ACCURACY)
+        return [F.count(F.when(x < self.low, 1)).alias(f"below{j}"), F.count(F.when(x == self.low, 1)).alias(f"low{j}"),
+                F.count(between).alias(f"inside{j}"), F.count(F.when(x == self.high, 1)).alias(f"high{j}"),
+                part.alias(f"part{j}")]
+
+    def narrow(self, row: Row, j: int) -> list[_Search]:
+        """Takes a counted pass; gives back the searches that are still to be made."""
+        first = row[f"below{j}"] + row[f"low{j}"]
+        inside, part = row[f"inside{j}"], row[f"part{j}"]
+        rest = []
+        for r in self.ranks:
+            if row[f"below{j}"] <= r < first:
+                self.found[r] = self.low
+            elif first <= r < first + inside:
+                if self.collects:
+                    self.found[r] = part[r - first]
+                    continue
+                share, slack = (r - first) / inside, 2 / ACCURACY
+                a = math.floor((share - slack) * GRID)
+                b = math.ceil((share + slack) * GRID)
+                rest.append(_Search(self.column, (r,), part[a] if a >= 0 else self.low,
+                                    part[b] if b <= GRID else self.high, inside * ((b - a) / GRID + 2 * slack) + 2))
+            elif first + inside <= r < first + inside + row[f"high{j}"]:
+                self.found[r] = self.high
+            else:  # the sketch missed its bound
+                low, high = (-sys.float_info.max, self.low) if r < first else (self.high, sys.float_info.max)
+                rest.append(_Search(self.column, (r,), low, high, float("inf")))
+        return rest
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact interpolated quantiles with bounded memory, in two reads of ``df`` for up to 10^8 rows.
+
+    Built-in exact percentiles keep every distinct value of a group in one task. Here a
+    first read makes a mergeable sketch per column, which brackets every wanted rank
+    by two values of the data. A second read counts what is below each bracket and
+    brings what lies strictly between its ends, which is a known small part of the rows
+    however often a value repeats, to the driver. Where that part exceeds ``BRACKET`` values,
+    it is sketched instead, and another read is made of a bracket some 200 times narrower.
+    The counts prove every result. Infinities and NaN, which sorts last, are counted once
+    and take their ranks.
     """
     cols = list(columns)
     inf = float("inf")
@@ -62,64 +115,52 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         x = F.col(c).cast("double")
         return F.when(~F.isnan(x) & (x > -inf) & (x < inf), x)
 
-    stats = df.agg(*[f for i, c in enumerate(cols) for f in (
-        F.count(c).alias(f"n{i}"), F.min(finite(c)).alias(f"lo{i}"), F.max(finite(c)).alias(f"hi{i}"),
-        F.count(F.when(F.col(c).cast("double") == -inf, 1)).alias(f"low{i}"),
-        F.count(finite(c)).alias(f"mid{i}"),
-        F.count(F.when(F.col(c).cast("double") == inf, 1)).alias(f"high{i}"))]).first()
+    slack = 3 / ACCURACY
+    around = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
+    stats = df.agg(F.lit(1).alias("one"), *[f for i, c in enumerate(cols) for f in (
+        F.count(c).alias(f"n{i}"), F.count(F.when(F.col(c).cast("double") == -inf, 1)).alias(f"low{i}"),
+        F.count(finite(c)).alias(f"mid{i}"), F.count(F.when(F.col(c).cast("double") == inf, 1)).alias(f"high{i}"),
+        F.percentile_approx(finite(c), around or [0.5], ACCURACY).alias(f"cuts{i}"),
+        F.min(finite(c)).alias(f"min{i}"), F.max(finite(c)).alias(f"max{i}"))]).first()
 
-    # One search per needed order statistic: (column, rank) -> (low, high, rows below low)
-    search: dict[tuple[int, int], tuple[float, float, int]] = {}
-    found: dict[tuple[int, int], float] = {}
+    found: dict[tuple[int, int], float] = {}  # (column, rank) -> value
     wanted: dict[int, list[tuple[int, int, float]]] = {}
+    search: list[_Search] = []
     for i in range(len(cols)):
-        n = stats[f"n{i}"]
+        n, first, mid = stats[f"n{i}"], stats[f"low{i}"], stats[f"mid{i}"]
         if not n:
             continue
         wanted[i] = []
-        for p in probs:
+        for j, p in enumerate(probs):
             at = p * (n - 1)
             low = int(at)
-            high = min(low + 1, n - 1)
+            high = low + 1 if at > low else low
             wanted[i].append((low, high, at - low))
-            first = stats[f"low{i}"]
-            for rank in (low, high):
+            ranks = []
+            for rank in sorted({low, high}):
                 if rank < first:
-                    found[(i, rank)] = -inf
-                elif rank < first + stats[f"mid{i}"]:
-                    search[(i, rank)] = (stats[f"lo{i}"], stats[f"hi{i}"], first)
+                    found[i, rank] = -inf
+                elif rank in (first, first + mid - 1) and mid:
+                    found[i, rank] = stats[f"min{i}"] if rank == first else stats[f"max{i}"]
+                elif rank < first + mid:
+                    ranks.append(rank - first)
                 else:
-                    found[(i, rank)] = (inf if rank < first + stats[f"mid{i}"] + stats[f"high{i}"]
-                                        else float("nan"))
-
-    while True:
-        for key in [k for k, (low, high, _) in search.items() if low == high]:
-            found[key] = search.pop(key)[0]
-        if not search:
-            break
-        # Searches of one column often share their interval: count its bins once.
-        intervals = sorted({(i, low, high) for (i, _), (low, high, _) in search.items()})
-        probes = []
-        for j, (i, low, high) in enumerate(intervals):
-            x = finite(cols[i])
-            at = F.least(F.floor((x / 2 - low / 2) / ((high / 2 - low / 2) / bins)),
-                         F.lit(bins - 1)).cast("int")
-            probes.append(F.when(x.between(low, high), F.struct(
-                F.lit(j).alias("j"), at.alias("bin"), x.alias("x"))))
-        counted = (
-            df.select(F.explode(F.array(*probes)).alias("p")).filter("p IS NOT NULL").select("p.*")
-            .groupBy("j", "bin").agg(F.count("*").alias("n"), F.min("x").alias("lo"),
-                                     F.max("x").alias("hi"))
-            .collect())
-        by_interval: dict[int, list] = {}
-        for row in sorted(counted, key=lambda r: (r["j"], r["bin"])):
-            by_interval.setdefault(row["j"], []).append(row)
-        for (i, rank), (low, high, below) in list(search.items()):
-            for row in by_interval[intervals.index((i, low, high))]:
-                if rank < below + row["n"]:
-                    search[(i, rank)] = (row["lo"], row["hi"], below)
-                    break
-                below += row["n"]
+                    found[i, rank] = inf if rank < first + mid + stats[f"high{i}"] else float("nan")
+            if not ranks:
+                continue
+            if n == mid and n > BRACKET:
+                a, b = stats[f"cuts{i}"][2 * j:2 * j + 2]
+                search.append(_Search(i, tuple(ranks), a if p > slack else stats[f"min{i}"],
+                                      b if p < 1 - slack else stats[f"max{i}"], 3 * slack * n + 4))
+            else:  # few values, or infinities among which the share of a rank differs: from the ends
+                search.append(_Search(i, tuple(ranks), stats[f"min{i}"], stats[f"max{i}"], mid))
+    while search:
+        open_ = [s for s in search if len(s.found) < len(s.ranks)]
+        row = df.agg(*[f for j, s in enumerate(open_) for f in s.aggregates(finite(cols[s.column]), j)]).first() if open_ else None
+        rest = [new for j, s in enumerate(open_) for new in s.narrow(row, j)]
+        for s in search:
+            found.update({(s.column, r + stats[f"low{s.column}"]): v for r, v in s.found.items()})
+        search = rest
 
     result: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geo
+from ..functions.scalars import let
 from ..session import cut_lineage
 from .skew import is_small, numbered_rows
 
-# A crowded cell is cut into PARTS cells along each axis of its bounding box.
-PARTS = 4
-FIRST_PARTS = 6
+#: Places that a leaf of the split tree holds about; parts that one level cuts a cell into at most.
+LEAF, PARTS = 32, 256
 
 
 def nearest(queries: DataFrame, query_axes: Sequence[Column], targets: DataFrame,
             target_axes: Sequence[Column], target_key: str, k: int, *,
-            leaf_size: int = 32, small: int = 1000) -> DataFrame:
+            leaf_size: int = LEAF, small: int = 1000) -> DataFrame:
     """The k nearest targets of every distinct query position, exactly.
 
     Returns the distinct positions of ``queries`` as columns ``_q0.._qd`` with
@@ -26,74 +27,36 @@ def nearest(queries: DataFrame, query_axes: Sequence[Column], targets: DataFrame
     smaller key.
 
     Equal positions are collapsed first, on both sides: however many copies a place
-    has, it is searched once, and it offers its k smallest keys. Space is then
-    divided only where targets are dense: a cell with more than ``leaf_size`` places
-    is cut along its own bounding box (so at least two of its places part in every
-    round), and a query keeps a cell only while the cell can still hold one of its
-    k nearest: smallest distance to the bounding box against the distance within
-    which k targets are certain. No query ever meets the whole content of a crowded
-    cell, and no cross join is needed.
+    has, it is searched once, and it offers its k smallest keys. The distinct places
+    are then divided by a split tree (see ``split_tree``). A query is looked up in the
+    tree by arithmetic; the places of its own leaf give a distance within which k
+    targets are certain, and one more pass compares it with every leaf that reaches into
+    that distance. A leaf travels as one row, so no query meets more than a few leaves,
+    and no cross join is needed.
     """
     axes = range(len(query_axes))
     q = [f"_q{i}" for i in axes]
     t = [f"_t{i}" for i in axes]
-    box = [f"_{end}{i}" for i in axes for end in ("lo", "hi")]
 
     places = _finite(targets.select(
         *[c.cast("double").alias(n) for c, n in zip(target_axes, t)],
         F.col(target_key).alias("_key")), t)
     by_place = Window.partitionBy(*t).orderBy("_key")
     few = places.withColumn("_rn", F.row_number().over(by_place)).filter(F.col("_rn") <= k)
-    sites = few.groupBy(*t).agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
     spots = _finite(queries.select(*[c.cast("double").alias(n) for c, n in zip(query_axes, q)]), q)
 
     if is_small(few, small):
         return _nearest_in_row(spots.distinct(), q, few, t, k)
 
-    # The first cut is made along the bounding box of all targets.
-    whole = few.select(F.struct(*[f for i in axes for f in (
-        F.min(t[i]).alias(f"_lo{i}"), F.max(t[i]).alias(f"_hi{i}"))]).alias("b")).scalar()
-    active = cut_lineage(sites.withColumn("_b", whole).select(*t, "_keys", "_b.*").select(
-        F.lit("").alias("_parent"), _child("", t, FIRST_PARTS).alias("_cell"), *t, "_keys"))
-    nodes = cut_lineage(_cell_stats(active, t, leaf_size, "_parent"))
-    pending = spots.distinct().withColumn("_parent", F.lit(""))
-    settled: DataFrame | None = None      # leaf cells of queries that still wait for dense ones
-    answered: list[DataFrame] = []        # (query, leaf cell) pairs of finished queries
-    content: list[DataFrame] = []         # (leaf cell, places)
-    while True:
-        gap = _sum([_square(F.greatest(F.col(f"_lo{i}") - F.col(q[i]),
-                                       F.col(q[i]) - F.col(f"_hi{i}"), F.lit(0.0))) for i in axes])
-        reach = _sum([_square(F.greatest(F.abs(F.col(q[i]) - F.col(f"_lo{i}")),
-                                         F.abs(F.col(f"_hi{i}") - F.col(q[i])))) for i in axes])
-        pairs = pending.join(nodes, "_parent").select(
-            *q, "_cell", "_n", "_dense", gap.alias("_gap"), reach.alias("_reach"))
-        if settled is not None:
-            pairs = pairs.unionByName(settled)
-        one = Window.partitionBy(*q)
-        pairs = pairs.withColumn("_sure", F.sum("_n").over(one.orderBy("_reach")))
-        pairs = pairs.withColumn("_limit", F.min(F.when(F.col("_sure") >= k, F.col("_reach"))).over(one))
-        pairs = pairs.filter(F.col("_limit").isNull()
-                             | (F.col("_gap") <= F.col("_limit") * (1 + 1e-9)))
-        pairs = pairs.withColumn("_open", F.max("_dense").over(one))
-        pairs = cut_lineage(pairs.drop("_sure", "_limit"))
-
-        leaves = nodes.filter(~F.col("_dense")).select("_cell")
-        content.append(active.join(leaves, "_cell", "left_semi").select("_cell", *t, "_keys"))
-        answered.append(pairs.filter(~F.col("_open")).select(*q, "_cell"))
-        waiting = pairs.filter("_open").drop("_open")
-        if waiting.isEmpty():
-            break
-        settled = waiting.filter(~F.col("_dense"))
-        pending = waiting.filter("_dense").select(*q, F.col("_cell").alias("_parent"))
-        split = active.join(nodes.filter("_dense").select("_cell", *box), "_cell")
-        active = cut_lineage(split.select(F.col("_cell").alias("_parent"),
-                                          _child("_cell", t, PARTS).alias("_cell"), *t, "_keys"))
-        nodes = cut_lineage(_cell_stats(active, t, leaf_size, "_parent"))
-
-    found = reduce(DataFrame.unionByName, answered).join(
-        reduce(DataFrame.unionByName, content), "_cell")
-    distance = F.sqrt(_sum([_square(F.col(q[i]) - F.col(t[i])) for i in axes]))
-    found = found.select(*q, distance.alias("_d"), F.explode("_keys").alias("neighbor"))
+    sites = cut_lineage(few.groupBy(*t).agg(F.sort_array(F.collect_list("_key")).alias("_keys")))
+    levels, leaves = split_tree(sites, t, leaf_size)
+    pairs = _near_leaves(spots.distinct(), q, levels, leaves, t, k)
+    found = pairs.join(leaves.select("_cell", "_sites"), "_cell")
+    # The k best of a leaf can be among the k best of all, the others cannot.
+    keyed = F.flatten(F.transform("_sites", lambda s: F.transform(s["_keys"], lambda key: F.struct(
+        F.sqrt(_gap(q, t, s)).alias("_d"), key.alias("neighbor")))))
+    found = found.select(*q, F.explode(F.slice(F.array_sort(keyed), 1, k)).alias("_e")).select(
+        *q, "_e._d", "_e.neighbor")
     order = Window.partitionBy(*q).orderBy("_d", "neighbor")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -104,22 +67,103 @@ def _finite(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
-def _cell_stats(sites: DataFrame, t: Sequence[str], leaf_size: int, *carry: str) -> DataFrame:
-    """Targets, places, bounding box and crowding of each cell."""
-    stats = sites.groupBy("_cell", *carry).agg(
-        F.sum(F.size("_keys")).alias("_n"), F.count("*").alias("_places"),
-        *[f for i, c in enumerate(t) for f in (F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"))])
-    return stats.withColumn("_dense", F.col("_places") > leaf_size)
+def tree_shape(places: int, axes: int, leaf_size: int) -> tuple[int, int]:
+    """Levels of the split tree and parts of a level, for leaves of about ``leaf_size`` places.
+
+    As many levels as axes where that needs no more than ``PARTS`` parts a level, so that
+    leaves are about as long as wide; one where two or three leaves will do.
+    """
+    wanted = max(1, math.ceil(places / leaf_size))
+    levels = 1 if wanted <= 4 else max(axes, math.ceil(math.log(wanted) / math.log(PARTS)))
+    return levels, max(2, math.ceil(wanted ** (1 / levels) - 1e-9))
 
 
-def _child(cell: str, t: Sequence[str], parts: int) -> Column:
-    """Name of the sub-cell of its cell's bounding box that a place falls into."""
-    pieces = [F.lit(".")]
-    for i, axis in enumerate(t):
-        low, high, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(axis)
-        share = F.try_divide(x / 2 - low / 2, high / 2 - low / 2) * parts
-        pieces.append(F.coalesce(F.least(F.floor(share), F.lit(parts - 1)), F.lit(0)).cast("string"))
-    return F.concat(F.col(cell) if cell else F.lit(""), *pieces)
+def split_tree(sites: DataFrame, t: Sequence[str], leaf_size: int = LEAF) -> tuple[list[DataFrame], DataFrame]:
+    """Levels and leaves of a balanced tree over ``sites`` (distinct places ``t`` with their ``_keys``).
+
+    A level divides each of its cells by counted quantiles of the places (mergeable
+    sketches, one aggregate a level), along the axis on which these quantiles part the
+    places best. Parts hold equal numbers of places, not equal room: the depth depends on
+    the number of places only, however they lie, and is the same everywhere. A level has
+    a row per cell: ``_cell``, ``_axis``, ``_cuts`` (ascending), ``_n`` (targets) and the
+    bounding box ``_lo0, _hi0, ..``; part p of a cell is cell * parts + p. A leaf has
+    ``_cell``, ``_n``, the box and its places as the array ``_sites``.
+    """
+    axes = range(len(t))
+    count, parts = tree_shape(sites.count(), len(t), leaf_size)
+    shares = [i / parts for i in range(1, parts)]
+    box = [f for i, c in enumerate(t) for f in (F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"))]
+    size = F.sum(F.size("_keys")).alias("_n")
+    placed, levels = sites.withColumn("_cell", F.lit(0).cast("bigint")), []
+    for _ in range(count):
+        stats = placed.groupBy("_cell").agg(size, *box, *[
+            F.array_distinct(F.percentile_approx(c, shares, 100 * parts)).alias(f"_cuts{i}") for i, c in enumerate(t)])
+        # Most different cuts first, then the longest side.
+        best = F.array_max(F.array(*[F.struct(
+            F.size(_inner_cuts(i)).alias("parted"), (F.col(f"_hi{i}") / 2 - F.col(f"_lo{i}") / 2).alias("side"),
+            F.lit(i).alias("axis"), _inner_cuts(i).alias("cuts")) for i in axes]))
+        level = cut_lineage(stats.withColumn("_best", best).select(
+            "_cell", "_n", *[f"_{end}{i}" for i in axes for end in ("lo", "hi")],
+            F.col("_best.axis").alias("_axis"), F.col("_best.cuts").alias("_cuts")))
+        levels.append(level)
+        at = _along(t)
+        placed = placed.join(level.select("_cell", "_axis", "_cuts"), "_cell").select(
+            *t, "_keys", _part(F.col("_cell"), parts, at).alias("_cell"))
+    leaves = cut_lineage(placed.groupBy("_cell").agg(size, *box, F.collect_list(F.struct(*t, "_keys")).alias("_sites")))
+    return [level.withColumn("_parts", F.lit(parts)) for level in levels], leaves
+
+
+def _inner_cuts(axis: int) -> Column:
+    """Cuts that leave something below them."""
+    return F.filter(f"_cuts{axis}", lambda c: c > F.col(f"_lo{axis}"))
+
+
+def _along(columns: Sequence[str | Column]) -> Column:
+    """The coordinate on the axis that the cell is cut along."""
+    return F.get(F.array(*[F.col(c) if isinstance(c, str) else c for c in columns]), F.col("_axis"))
+
+
+def _part(cell: Column, parts: int | Column, at: Column) -> Column:
+    return cell * parts + let(at, lambda x: F.size(F.filter("_cuts", lambda c: c <= x)))
+
+
+def _gap(q: Sequence[str], t: Sequence[str], site: Column) -> Column:
+    return _sum([_square(F.col(a) - site[b]) for a, b in zip(q, t)])
+
+
+def _box_gap(q: Sequence[str], far: bool = False) -> Column:
+    """Square of the distance from a query to its nearest (or farthest) place in a box."""
+    pick = [(F.col(f"_lo{i}") - F.col(c), F.col(c) - F.col(f"_hi{i}")) for i, c in enumerate(q)]
+    return _sum([_square(F.greatest(F.abs(a), F.abs(b)) if far else F.greatest(a, b, F.lit(0.0))) for a, b in pick])
+
+
+def _near_leaves(spots: DataFrame, q: Sequence[str], levels: Sequence[DataFrame], leaves: DataFrame,
+                 t: Sequence[str], k: int) -> DataFrame:
+    """(query, _cell) for every leaf that can hold one of the query's k nearest targets."""
+    axes = range(len(q))
+    # First pass: the own leaf. A cell of k targets bounds the distance by its farthest corner.
+    own = spots.withColumns({"_cell": F.lit(0).cast("bigint"), "_reach": F.lit(float("inf"))})
+    for level in levels:
+        inside = [F.greatest(F.least(F.col(c), F.col(f"_hi{i}")), F.col(f"_lo{i}")) for i, c in enumerate(q)]
+        own = own.join(level, "_cell").select(
+            *q, _part(F.col("_cell"), F.col("_parts"), _along(inside)).alias("_cell"),
+            F.least("_reach", F.when(F.col("_n") >= k, _box_gap(q, far=True))).alias("_reach"))
+    nearby = F.element_at(F.slice(F.array_sort(F.transform("_sites", lambda s: _gap(q, t, s))), k, 1), 1)
+    own = own.join(leaves.select("_cell", "_sites"), "_cell").select(
+        *q, F.least("_reach", F.when(F.size("_sites") >= k, nearby)).alias("_reach"))
+    # Second pass: in each level the parts between the distance to the left and to the right.
+    pairs = cut_lineage(own.withColumn("_cell", F.lit(0).cast("bigint")))
+    near = (_box_gap(q) <= F.col("_reach") * (1 + 1e-9))
+    for level in levels:
+        wide = F.sqrt("_reach") * (1 + 1e-9)
+        pairs = pairs.join(level, "_cell").filter(near)
+        low, high = (F.size(F.filter("_cuts", lambda c: c <= F.col("_edge")[end])) for end in ("a", "b"))
+        at = _along(q)
+        pairs = pairs.withColumn("_edge", F.struct((at - wide).alias("a"), (at + wide).alias("b"))).select(
+            *q, "_reach", F.explode(F.transform(F.sequence(low, high), lambda p: (
+                F.col("_cell") * F.col("_parts") + p))).alias("_cell"))
+    return pairs.join(leaves.select("_cell", *[f"_{end}{i}" for i in axes for end in ("lo", "hi")]), "_cell").filter(
+        near).select(*q, "_cell")
 
 
 def _nearest_in_row(spots: DataFrame, q: Sequence[str], few: DataFrame, t: Sequence[str],

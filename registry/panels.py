@@ -140,7 +140,7 @@ def year_month_pivot(spark, sf):
 
 
 NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-NAMES = ("l_returnflag", "l_linestatus")
+NAMES = ("l_returnflag", "l_linestatus", "l_shipdate")
 
 
 @query("describe_table", " UNION ALL ".join([f"""SELECT '{c}' AS column_name, count({c}) AS n,
@@ -149,7 +149,7 @@ NAMES = ("l_returnflag", "l_linestatus")
   round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50, round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75,
   round(max({c})::DOUBLE, 6) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM lineitem"""
     for c in NUMBERS] + [f"""SELECT '{c}', count({c}), count(*) - count({c}),
-  NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem""" for c in NAMES]))
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c})::VARCHAR, max({c})::VARCHAR FROM lineitem""" for c in NAMES]))
 def describe_table(spark, sf):
     d = eda.describe_table(table(spark, sf, "lineitem"), [*NUMBERS, *NAMES])
     return d.select("column_name", "n", "n_null", r6("mean", "mean", 5), r6("std", "std", 4),

@@ -1,11 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arealis.operators import spatial as sp
+from arealis.operators import skew, spatial as sp
 from arealis.operators.skew import exact_quantiles, numbered_rows
+from arealis.session import cut_lineage, tables_written
 
 
 def brute(points, k):
@@ -84,16 +86,51 @@ def test_numbering_of_a_hot_group(spark):
         assert [p for _, p, _ in part] == list(range(1, size + 1)) and {s for _, _, s in part} == {size}
 
 
-def test_exact_quantiles(spark):
-    import numpy as np
-
+@pytest.mark.parametrize("accuracy, bracket, grid", [(20_000, 1 << 16, 512), (50, 16, 8)])
+def test_exact_quantiles(spark, monkeypatch, accuracy, bracket, grid):
+    for name, value in (("ACCURACY", accuracy), ("BRACKET", bracket), ("GRID", grid)):
+        monkeypatch.setattr(skew, name, value)
     rng = random.Random(1)
     values = [rng.gauss(0, 1) for _ in range(500)] + [7.0] * 400 + [1e12, -3e9] + [None] * 5
     df = spark.createDataFrame([(v, None) for v in values], "v double, w double")
-    got = exact_quantiles(df, ["v", "w"], (0.0, 0.25, 0.5, 0.9, 1.0), bins=16)
-    assert got["w"] == [None] * 5
+    got = exact_quantiles(df, ["v", "w"], (0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0))
+    assert got["w"] == [None] * 7
     kept = [v for v in values if v is not None]
-    assert got["v"] == pytest.approx(list(np.quantile(kept, (0.0, 0.25, 0.5, 0.9, 1.0))))
+    assert got["v"] == pytest.approx(list(np.quantile(kept, (0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0))))
+
+
+def test_quantiles_need_two_reads(spark):
+    """However many columns and quantiles, and with one value in a third of the rows."""
+    df = spark.range(60_000).selectExpr("IF(id % 3 = 0, 7.5D, id * 0.001D) AS a", "-id AS b", "id % 11 AS c", "cast(NULL AS double) AS d")
+    context = spark.sparkContext
+    context.setJobGroup("quantiles", "")
+    got = exact_quantiles(df, list("abcd"), (0.05, 0.25, 0.5, 0.75, 0.95))
+    jobs = len(context.statusTracker().getJobIdsForGroup("quantiles"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    pdf = df.toPandas()
+    for c in "abc":
+        assert got[c] == pytest.approx(list(np.quantile(pdf[c], (0.05, 0.25, 0.5, 0.75, 0.95))))
+    assert got["d"] == [None] * 5 and jobs <= 4  # a read is a shuffle stage and a result under adaptive execution
+
+
+def test_search_rounds_and_candidates_do_not_grow_with_the_layout(spark):
+    """Points whose distances halve need no more tables than scattered ones, and few leaves a query."""
+    rng = random.Random(8)
+    layouts = {"halving": [(i, 0.5 ** i, 0.0) for i in range(60)],
+               "scattered": [(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(1500)],
+               "crossed": [(i, float(i), 0.0) for i in range(300)] + [(300 + i, 0.0, i + 1.0) for i in range(300)]}
+    for name, points in layouts.items():
+        df = spark.createDataFrame(points, "id long, x double, y double")
+        before = tables_written()
+        assert edges_of(sp.knn_edges(df, "id", "x", "y", 5, small=0)) == brute(points, 5), name
+        assert tables_written() - before <= 5
+        sites = cut_lineage(df.select(F.col("x").alias("_t0"), F.col("y").alias("_t1"), F.array("id").alias("_keys")))
+        levels, leaves = sp.split_tree(sites, ["_t0", "_t1"])
+        sizes = [r.n for r in leaves.select(F.size("_sites").alias("n")).collect()]
+        # In a cross each level loses half of its cuts to ties.
+        assert sum(sizes) == len(points) and max(sizes) <= 4 * sp.LEAF
+        spots = df.selectExpr("x AS _q0", "y AS _q1")
+        assert sp._near_leaves(spots, ["_q0", "_q1"], levels, leaves, ["_t0", "_t1"], 6).count() <= 8 * len(points)
 
 
 def test_exact_quantiles_with_infinities(spark):
