@@ -8,13 +8,17 @@ from them.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.scalars import let
+from ..functions.local_lines import local_lines
+from ..session import cut_lineage
+from ..ship import map_arrow
+from .skew import numbered_rows
 
 
 def pearson(df: DataFrame, x: str, y: str, out: str = "corr") -> DataFrame:
@@ -175,72 +179,78 @@ def calibration_line(df: DataFrame, actual: str, fitted: str, points: int = 400,
                     (F.col("y") + half).alias("ci_upper")))
 
 
+#: Rows of one task of a long series, without those it looks at on both sides.
+LOWESS_ROWS = 1 << 14
+
+
 def lowess(df: DataFrame, series: str, x: str, y: str, frac: float = 0.10, iterations: int = 3,
-           out: str = "smooth") -> DataFrame:
+           out: str = "smooth", chunk: int = LOWESS_ROWS) -> DataFrame:
     """Locally weighted line per series, with robust re-weighting.
 
-    The k nearest points of a row lie within k rows of it in x order, so each row
-    looks at a window frame of 2k + 1 rows: no self join, one shuffle by series. The
-    frame has the width of the longest series; ``k`` is each series' own. Distances
-    that tie are resolved towards smaller x.
+    The k nearest points of a row (k: ``frac`` of its series) lie within k rows of it in x
+    order. A series is numbered without gathering it in one task and dealt out in chunks
+    of at least ``chunk`` rows and 2k rows, each with the k rows on both sides; within a chunk
+    the cost of a row does not depend on k (see ``local_lines``). Distances that tie are
+    resolved towards smaller x; series too short for one neighbour keep their values. Rows
+    without a finite x or y take no part and get NULL.
     """
-    sizes = df.groupBy(series).agg(F.count("*").alias("_n"))
-    longest = sizes.agg(F.max("_n")).first()[0] or 0
-    reach = max(int(frac * longest + 1e-10), 1)
-    w = Window.partitionBy(series).orderBy(x)
-    whole = Window.partitionBy(series)
-    data = df.withColumns({
-        "_x": F.col(x).cast("double"), "_y": F.col(y).cast("double"), "_robust": F.lit(1.0),
-        "_k": F.floor(F.count("*").over(whole) * frac + 1e-10).cast("int")})
+    base = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(series).alias("_series"),
+                     F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    real = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != float("inf")) for c in ("_x", "_y")]
+    fit = F.coalesce(real[0] & real[1], F.lit(False))
+    rows = cut_lineage(numbered_rows(base.withColumn("_fit", fit), ["_series", "_fit"], "_x", "_pos", "_n"))
+    known = rows.filter("_fit")
+    k = F.floor(F.col("_n") * float(frac) + 1e-10).cast("bigint")
+    wide = F.greatest(F.lit(chunk).cast("bigint"), 2 * F.col("_k"))
+    state = known.select("_series", "_pos", "_n", "_x", "_y", F.lit(1.0).alias("_r")).withColumn("_k", k)
     for step in range(iterations + 1):
-        around = F.collect_list(F.struct("_x", "_y", "_robust")).over(w.rowsBetween(-reach, reach))
-        data = data.withColumn("_near", around)
-        data = data.withColumn("_near", _nearest_points(F.col("_near"), F.col("_x"), F.col("_k")))
-        data = data.withColumn(out, _local_line(F.col("_near"), F.col("_x"), F.col("_y")))
-        if step < iterations:
-            gap = F.abs(F.col("_y") - F.col(out))
-            data = data.withColumn("_gap", gap)
-            data = data.withColumn("_scale", F.percentile("_gap", F.lit(0.5)).over(whole) * 6)
-            u = F.try_divide(F.col("_gap"), F.col("_scale"))
-            bisquare = F.pow(1 - u * u, 2)
-            data = data.withColumn("_robust", F.when(u >= 0.999, 0.0).when(u <= 0.001, 1.0)
-                                   .otherwise(F.coalesce(bisquare, F.lit(1.0))))
-    return data.select(*df.columns, out)
-
-
-def _nearest_points(frame: Column, x: Column, k: Column) -> Column:
-    ranked = F.array_sort(F.transform(frame, lambda p: F.struct(
-        F.abs(p["_x"] - x).alias("d"), p["_x"].alias("x"), p["_y"].alias("y"),
-        p["_robust"].alias("r"))))
-    return F.slice(ranked, 1, k)
-
-
-def _local_line(near: Column, x: Column, own: Column) -> Column:
-    """Value at x of the tricube-weighted line through the nearest points.
-
-    Five weighted sums of the points (relative to x) in one pass give the line's
-    value at x in closed form.
-    """
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("s0", "s1", "s2", "t0", "t1")])
-
-    def line(points: Column) -> Column:
-        return let(F.element_at(points, -1)["d"], lambda radius: let(
-            F.aggregate(points, zero, lambda acc, p: add(acc, p, radius)), value))
-
-    def add(acc: Column, p: Column, radius: Column) -> Column:
-        u = F.try_divide(p["d"], radius)
-        weight = p["r"] * F.when(u.isNull() | (u <= 0.001), 1.0).when(u > 0.999, 0.0).otherwise(
-            F.pow(1 - u * u * u, 3))
-        dx = p["x"] - x
-        return F.struct((acc["s0"] + weight).alias("s0"), (acc["s1"] + weight * dx).alias("s1"),
-                        (acc["s2"] + weight * dx * dx).alias("s2"),
-                        (acc["t0"] + weight * p["y"]).alias("t0"),
-                        (acc["t1"] + weight * dx * p["y"]).alias("t1"))
-
-    def value(s: Column) -> Column:
-        spread = s["s0"] * s["s2"] - s["s1"] * s["s1"]
-        level = (s["s2"] * s["t0"] - s["s1"] * s["t1"]) / F.when(
-            F.abs(spread) > 1e-12 * s["s0"] * s["s2"], spread)
-        return F.when(s["s0"] > 0, F.coalesce(level, s["t0"] / s["s0"]))
-
-    return F.coalesce(F.when(F.size(near) > 0, let(near, line)), own)
+        at = F.col("_pos") - 1
+        dealt = state.withColumn("_wide", wide).select("*", F.explode(F.sequence(
+            F.floor(F.greatest(at - F.col("_k"), F.lit(0)) / F.col("_wide")),
+            F.floor(F.least(at + F.col("_k"), F.col("_n") - 1) / F.col("_wide")))).alias("_chunk"))
+        placed = dealt.repartition("_series", "_chunk").sortWithinPartitions("_series", "_chunk", "_pos")
+        fitted = map_arrow(placed.select("_series", "_chunk", "_pos", "_x", "_y", "_r", "_k", "_wide"), _fit_chunks(), T.StructType([
+            rows.schema["_series"], T.StructField("_pos", T.LongType()), T.StructField("_smooth", T.DoubleType())]))
+        fitted = cut_lineage(fitted.withColumnsRenamed({"_series": "_s", "_pos": "_p"}))
+        own = F.col("_series").eqNullSafe(F.col("_s")) & (F.col("_pos") == F.col("_p"))
+        if step == iterations:
+            return rows.join(fitted, own & F.col("_fit"), "left").select("_row.*", F.col("_smooth").alias(out))
+        state = cut_lineage(state.join(fitted, own).withColumn("_gap", F.abs(F.col("_y") - F.col("_smooth"))))
+        scales = state.groupBy(F.col("_series").alias("_s2")).agg((6 * F.percentile("_gap", F.lit(0.5))).alias("_scale"))
+        u = F.try_divide(F.col("_gap"), F.col("_scale"))
+        robust = F.when(u >= 0.999, 0.0).when(u <= 0.001, 1.0).otherwise(F.coalesce(F.pow(1 - u * u, 2), F.lit(1.0)))
+        state = cut_lineage(state.join(scales, F.col("_series").eqNullSafe(F.col("_s2"))).select(
+            "_series", "_pos", "_n", "_x", "_y", robust.alias("_r"), "_k"))
+
+
+def _fit_chunks():
+    """For rows (series, chunk, pos, x, y, weight, k, rows of a chunk) sorted so: the fit of each row of its own chunk."""
+    def fit(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        chunk, pos, x, y, r, k, wide = (table.column(i).to_numpy() for i in range(1, 8))
+        own = np.flatnonzero((pos - 1) // wide[0] == chunk[0])
+        return pa.RecordBatch.from_arrays(
+            [table.column(0).combine_chunks().take(pa.array(own)), pa.array(pos[own]),
+             pa.array(local_lines(x, y, r, own, int(k[0])), pa.float64())], names=["_series", "_pos", "_smooth"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            code = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            chunk = batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(code) != 0) | (np.diff(chunk) != 0)) + 1).tolist(), n]
+            if held and (held[-1].column(0)[held[-1].num_rows - 1] != batch.column(0)[0]
+                         or held[-1].column(1)[0].as_py() != chunk[0]):
+                yield fit(held)
+                held = []
+            for a, b in zip(cuts, cuts[1:]):
+                held.append(batch.slice(a, b - a))
+                if b < n:
+                    yield fit(held)
+                    held = []
+        if held:
+            yield fit(held)
+    return run

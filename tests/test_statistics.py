@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from arealis.functions import local_lines
 from arealis.operators import stats
 
 
@@ -94,6 +95,51 @@ def test_lowess(spark, iterations):
         assert r["smooth"] == pytest.approx(expected[(r["s"], r["x"])], abs=1e-7)
 
 
+def test_local_lines_of_wide_windows_like_plain_sums():
+    """Windows that are summed by moments: even, crowded and heavy-tailed places, zero weights, ties."""
+    rng = np.random.default_rng(0)
+    n = 400
+    places = {"even": np.arange(float(n)) * 30 + 7e5, "tailed": np.sort(np.exp(rng.normal(0, 3, n))),
+              "crowded": np.sort(np.concatenate([rng.normal(c, 10.0 ** -c, n // 4) for c in range(4)])),
+              "tied": np.sort(rng.integers(0, 40, n)).astype(float)}
+    for name, x in places.items():
+        y = np.sin(x / (x.max() - x.min()) * 20) * 100 + rng.normal(0, 1, n)
+        r = np.where(rng.random(n) < 0.1, 0, rng.random(n))
+        for k in (10, 65, 130, n):
+            got = local_lines.local_lines(x, y, r, np.arange(n), k)
+            start = local_lines.nearest_rows(x, np.arange(n), k)
+            for i in range(0, n, 7):
+                near = np.arange(start[i], start[i] + k)
+                far = np.sort(np.abs(x - x[i]))[k - 1]
+                assert np.abs(x[near] - x[i]).max() == far
+                u = np.abs(x[near] - x[i]) / far if far else np.zeros(k)
+                w = r[near] * np.where(u <= 0.001, 1, np.where(u > 0.999, 0, (1 - u ** 3) ** 3))
+                if not w.sum() > 0:
+                    assert got[i] == y[i]
+                    continue
+                v = x[near] - x[i]
+                mx, my = (w * v).sum() / w.sum(), (w * y[near]).sum() / w.sum()
+                sxx, sxy = (w * (v - mx) ** 2).sum(), (w * (v - mx) * (y[near] - my)).sum()
+                want = my - (sxy / sxx * mx if sxx > 1e-12 * max((w * v * v).sum(), 1e-300) else 0)
+                assert got[i] == pytest.approx(want, abs=2e-6), (name, k, i)
+
+
+def test_a_long_series_in_chunks_and_rows_without_values(spark):
+    n = 700
+    x = np.arange(n) * 1.0
+    y = np.sin(x / 50) + (x % 13 == 3)
+    rows = [("a", float(a), float(b), i) for i, (a, b) in enumerate(zip(x, y))]
+    rows += [(None, float(a), float(b), 1) for a, b in zip(x[:40], y)]
+    rows += [("a", None, 1.0, -1), ("a", 5.0, None, -2), ("b", float("nan"), 1.0, -3), ("short", 1.0, 7.0, -4)]
+    df = spark.createDataFrame(rows, "s string, x double, y double, _pos int").repartition(5)
+    got = {(r.s, r._pos, r.x if r._pos == 1 else None): r.smooth for r in stats.lowess(df, "s", "x", "y", 0.2, 1, chunk=64).collect()}
+    assert len(got) == len(rows) and [got["a", -1, None], got["a", -2, None], got["b", -3, None]] == [None] * 3
+    assert got["short", -4, None] == 7.0
+    want = plain_lowess(x.tolist(), y.tolist(), 0.2, 1)
+    assert [got["a", i, 1.0 if i == 1 else None] for i in range(n)] == pytest.approx(want, abs=1e-6)
+    assert [got[None, 1, a] for a in x[:40]] == pytest.approx(plain_lowess(x[:40].tolist(), y[:40].tolist(), 0.2, 1), abs=1e-7)
+
+
 def test_dependent_columns_are_named(spark):
     df = spark.range(50).selectExpr("id * 1.0 AS a", "id * 2.0 AS b", "id % 7 * 1.0 AS c", "1.0 AS k", "id % 3 * 1.0 AS y")
     with pytest.raises(ValueError, match="a, b"):
