@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions import calendar as cal
-from arealis.operators import allocate, dashboard as dash, eda, panel as p, tree
+from arealis.operators import allocate, dashboard as dash, eda, tree
 from arealis.plans import roster as plan
 
 from . import standins as s
@@ -14,14 +14,14 @@ from .core import query, r6, table
 PANEL = s.panel_sql()
 BASE = f"{PANEL}, {s.AREAS_SQL}"
 
-# Scores: events of one type per supplier and month; areas of one region have none.
-SCORES = """sc AS (SELECT loc, ym, count(*)::DOUBLE AS score FROM ev WHERE kind = 'R'
-  AND loc NOT IN (SELECT loc FROM areas WHERE lad_name = 'ASIA') GROUP BY ALL),
+# Scores: all events per supplier and month, those of type R in full and the others by a quarter.
+SCORES = """sc AS (SELECT loc, ym, sum(CASE WHEN kind = 'R' THEN 1.0 ELSE 0.25 END)::DOUBLE AS score FROM ev GROUP BY ALL),
 grid AS (SELECT a.*, m.ym, coalesce(sc.score, 0) AS score FROM areas a CROSS JOIN mon m
   LEFT JOIN sc ON sc.loc = a.loc AND sc.ym = m.ym),
 daily AS (SELECT *, CAST(CASE WHEN total > 0 THEN CASE WHEN score > 0 AND floor(round(score / total * 100, 9)) < 1
     THEN 1 ELSE floor(round(score / total * 100, 9)) END ELSE 0 END AS INTEGER) AS officers
   FROM (SELECT *, sum(score) OVER (PARTITION BY lad, ward, ym) AS total FROM grid))"""
+# Events of each hour of the day.
 COUNTS = ("100, 80, 50, 40, 150, 600, 1550, 2050, 1780, 1320, 980, 680, 520, 450, 480, 550, "
           "620, 780, 850, 830, 740, 705, 690, 500")
 HOURS = f"""hrs AS (SELECT h.h, c / sum(c) OVER () AS f, row_number() OVER (ORDER BY c DESC, h.h) AS r
@@ -33,10 +33,8 @@ ALLOC = f"WITH {BASE}, {SCORES}"
 
 
 def scores(spark, sf):
-    ev = s.events(spark, sf).filter("kind = 'R'")
-    areas = s.areas(spark, sf).filter("lad_name <> 'ASIA'").select("loc")
-    return p.count_by(ev.join(areas, "loc", "left_semi"), "loc", "ym", count="score").select(
-        "loc", F.col("ym").alias("month_key"), F.col("score").cast("double").alias("score"))
+    weight = F.sum(F.when(F.col("kind") == "R", 1.0).otherwise(0.25))
+    return s.events(spark, sf).groupBy("loc", F.col("ym").alias("month_key")).agg(weight.alias("score"))
 
 
 def months(spark, sf):
