@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar as cal
 from ..functions.scalars import clip_lower
+from .boosting import boost_poisson
 from .skew import exact_quantiles, stable_fraction
 from .temporal import last_row_per_location
 
@@ -126,6 +127,16 @@ def train_poisson(train: DataFrame, features: Sequence[str], label: str, locatio
     return Pipeline(stages=_preparation(features, location, label) + [learner]).fit(train)
 
 
+def train_boosted_poisson(train: DataFrame, features: Sequence[str], label: str, location: str | None = None,
+                          validation: Column | None = None, **params) -> PipelineModel:
+    """Boosted trees for counts: Poisson objective, log link (see ``boosting.boost_poisson``)."""
+    ready = Pipeline(stages=_preparation(features, location, label)).fit(train)
+    rows = ready.transform(train if validation is None else train.withColumn("_validation", validation))
+    learner = boost_poisson(rows, label, validation=None if validation is None else "_validation",
+                            **{"seed": SEED, **params})
+    return PipelineModel(stages=[*ready.stages, learner])
+
+
 def train_classifier(train: DataFrame, features: Sequence[str], label: str, location: str | None = None,
                      **params) -> PipelineModel:
     """Counts as classes: any values, any number of them.
@@ -141,8 +152,10 @@ def train_classifier(train: DataFrame, features: Sequence[str], label: str, loca
     return Pipeline(stages=_preparation(features, location, label) + [index, learner, names, value]).fit(train)
 
 
-TRAINERS = {"squared_error": train_boosted, "poisson": train_poisson, "forest": train_forest}
-SPACES = {"squared_error": BOOSTED_SPACE, "poisson": POISSON_SPACE, "forest": FOREST_SPACE}
+TRAINERS = {"squared_error": train_boosted, "boosted_poisson": train_boosted_poisson, "poisson": train_poisson,
+            "forest": train_forest}
+SPACES = {"squared_error": BOOSTED_SPACE, "boosted_poisson": BOOSTED_SPACE, "poisson": POISSON_SPACE,
+          "forest": FOREST_SPACE}
 
 
 def draw(space: dict, rng: random.Random) -> dict:

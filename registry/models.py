@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arealis.operators import eda, model as m, temporal as t
+from arealis.operators import boosting, eda, model as m, temporal as t
 from arealis.session import cut_lineage
 
 from . import standins as s
@@ -268,6 +268,24 @@ def train_boosted_total(spark, sf):
     return fitted.transform(d).groupBy("year").agg(r6(F.sum("prediction"), "total", 3))
 
 
+@query("train_boosted_poisson_total", TOTAL_SQL)
+def train_boosted_poisson_total(spark, sf):
+    """One full step on the year alone: the predictions of each leaf add up to its counts."""
+    d = training_rows(spark, sf).withColumn("y", F.col("year").cast("double"))
+    fitted = m.train_boosted_poisson(d, ["y"], "x", maxIter=1, stepSize=1.0, maxDepth=10)
+    return fitted.transform(d).groupBy("year").agg(r6(F.sum("prediction"), "total", 3))
+
+
+@query("explain_fitted", TRAIN_SQL + """ SELECT year, round((SELECT avg(x) FROM tr), 6) AS base_value,
+  round(avg(x) - (SELECT avg(x) FROM tr), 6) AS contrib_y, round(avg(x), 6) AS prediction FROM tr GROUP BY year""")
+def explain_fitted(spark, sf):
+    """A tree on the year alone: what the year adds to the mean of all is the difference of the means."""
+    d = training_rows(spark, sf).withColumn("y", F.col("year").cast("double"))
+    fitted = m.train_forest(d, ["y"], "x", numTrees=1, bootstrap=False, maxDepth=10)
+    each = boosting.explain_fitted(d, fitted).groupBy("year").agg(*[F.max(c).alias(c) for c in ("base_value", "contrib_y", "prediction")])
+    return each.select("year", *[r6(c, c) for c in ("base_value", "contrib_y", "prediction")])
+
+
 @query("train_classifier_exact", TRAIN_SQL + """ SELECT 60 + 10 * month::BIGINT AS label, 60 + 10 * month::BIGINT AS predicted,
   count(*) AS n FROM tr GROUP BY month""")
 def train_classifier_exact(spark, sf):

@@ -1,7 +1,11 @@
+import math
+
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from arealis.operators import model as m
+from arealis.operators import boosting, model as m
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +71,50 @@ def test_learners_and_search(table):
     found = m.tune_random(table, features, "n", keys, trials=1, objectives=("poisson", "forest"),
                           spaces={"poisson": {"regParam": ("log", 0.01, 1.0)}, "forest": {"numTrees": ("int", 2, 3)}})
     assert found.filter("best").count() >= 1 and found.count() == 2
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(1500):
+        a, b = float(rng.uniform(-1, 1)), float(rng.uniform(-1, 1))
+        n = int(rng.poisson(math.exp(1 + a + (b > 0) * 0.8 - (a > 0.5) * b)))
+        rows.append((i, a if i % 11 else None, b, n, f"L{i % 5}"))
+    return spark.createDataFrame(rows, "id long, a double, b double, n long, loc string").cache()
+
+
+def test_boosted_poisson_learns_and_can_be_saved(counts, tmp_path):
+    fitted = m.train_boosted_poisson(counts, ["a", "b"], "n", "loc", F.col("id") % 4 == 0, maxIter=25, stepSize=0.3, maxDepth=3, patience=5)
+    learner = fitted.stages[-1]
+    assert len(learner.trees) == len(learner.history) >= 5 and learner.history[-1] < 0.75 * learner.history[0]
+    path = f"file://{tmp_path}/model"
+    fitted.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = {r.id: r.prediction for r in fitted.transform(counts).select("id", "prediction").collect()}
+    b = {r.id: r.prediction for r in again.transform(counts).select("id", "prediction").collect()}
+    assert a == b and min(a.values()) > 0
+    assert m.forecast_months(counts.withColumns({"year": F.lit(2020), "month": F.lit(1)}), "loc", "2021-01", "2021-02",
+                             model=fitted).count() == 10
+
+
+def test_a_full_step_keeps_the_counts_of_every_leaf(counts):
+    fitted = m.train_boosted_poisson(counts, ["b"], "n", maxIter=1, stepSize=1.0, maxDepth=3)
+    done = fitted.transform(counts).groupBy(F.round("prediction", 9)).agg(F.sum("prediction").alias("p"), F.sum("n").alias("n")).collect()
+    assert len(done) > 2 and all(r.p == pytest.approx(r.n) for r in done)
+    with pytest.raises(ValueError):
+        m.train_boosted_poisson(counts.withColumn("n", F.lit(0)), ["b"], "n", maxIter=1)
+
+
+def test_contributions_of_fitted_trees_add_up(counts):
+    models = {
+        "forest": m.train_forest(counts, ["a", "b"], "n", numTrees=4, maxDepth=4),
+        "boosted": m.train_boosted(counts, ["a", "b"], "n", "loc", maxIter=4, maxDepth=3),
+        "poisson": m.train_boosted_poisson(counts, ["a", "b"], "n", "loc", maxIter=4, maxDepth=3)}
+    for name, fitted in models.items():
+        out = boosting.explain_fitted(counts, fitted)
+        parts = [c for c in out.columns if c.startswith("contrib_")]
+        assert parts == ["contrib_a", "contrib_b"] + ["contrib_location_effect"] * (name != "forest")
+        for r in out.collect():
+            score = math.log(r.prediction) if name == "poisson" else r.prediction
+            assert r.base_value + sum(r[c] for c in parts) == pytest.approx(score, abs=1e-9)
