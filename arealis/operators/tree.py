@@ -53,17 +53,20 @@ def tree_schema(entry: T.StructType | None = None) -> T.MapType:
     return T.MapType(text, lad)
 
 
-def nest_hierarchy(areas: DataFrame, payload: Sequence[str] = (), max_areas: int = 5000) -> DataFrame:
+def nest_hierarchy(areas: DataFrame, payload: Sequence[str] = (), max_areas: int = 5000, *,
+                   split: str | None = None) -> DataFrame:
     """Long area rows -> (lad, part, tree).
 
     A borough with up to ``max_areas`` areas is one row. A larger one is cut into
     parts by a hash of the area code; each part is a valid document of its own, and
-    the document of the borough is the union of its parts.
+    the document of the borough is the union of its parts. ``split`` names a column that
+    numbers several rows of one area: each number has parts of its own.
     """
     sizes = areas.groupBy("lad").agg(F.count("*").alias("_size"))
     parts = F.ceil(F.col("_size") / max_areas)
     cut = areas.join(sizes, "lad").withColumn(
-        "part", F.pmod(F.xxhash64("loc"), parts).cast("int"))
+        "part", (F.pmod(F.xxhash64("loc"), parts) + (parts * F.coalesce(F.col(split), F.lit(0)) if split else 0))
+        .cast("int"))
     entry = F.struct(F.col("loc_name").alias("name"), *[F.col(c) for c in payload])
     wards = cut.groupBy("lad", "part", "ward").agg(
         F.min("lad_name").alias("_lad_name"), F.min("ward_name").alias("_name"),

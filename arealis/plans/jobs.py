@@ -8,6 +8,10 @@
     ... rosters --predictions DIR --history P --months YYYY-MM ... --out DIR
     ... train --features P --model DIR --report DIR [--trials N] [--objectives O ...] [--columns C ...]
     ... csv-rosters --predictions DIR --months YYYY-MM ... --out DIR
+    ... deprivation --files 2010 2015 2019 --lookup P --out DIR
+    ... housing --dwellings CSV --lookup P --out P
+    ... residential --cover CSV --lookup P --out DIR
+    ... points --events P --lookup P --classes CSV --out DIR --report DIR
 
 On a cluster set spark.checkpoint.dir to a folder that all executors share.
 """
@@ -21,8 +25,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import calendar as cal
-from ..operators import allocate, lookup, model, spatial, tree
-from ..operators.demographics import population_long
+from ..operators import allocate, cleaning, lookup, model, spatial, tree
+from ..operators.demographics import classify_locations, land_use_class, population_long
 from ..session import cut_lineage, job_session, remove_tables, tables_written
 from ..sources import readers, schemas, sinks
 from . import roster
@@ -46,6 +50,64 @@ def area_lookup(spark: SparkSession, files: Sequence[str], out: str, prefix: str
     sinks.write_parquet(lookup.build_lookup(frames, "LSOA21CD", schemas.AREA_LOOKUP.names, where), out)
 
 
+def deprivation(spark: SparkSession, files: Sequence[str], lookup_path: str, out: str) -> None:
+    """The three deprivation tables (CSV or Parquet) -> ``imd_<year>.parquet`` per current area code.
+
+    Columns are taken by position and get the headers of the middle version; scores of
+    old codes are averaged per current code, and every current code has a row.
+    """
+    areas = readers.to_dataframe(spark, lookup_path)
+    headers = {2010: schemas.IMD_2010_HEADERS, 2019: schemas.IMD_2019_HEADERS}
+    key, *scores = schemas.IMD_COLUMNS
+    for path, year in zip(files, sorted(schemas.IMD_YEARS), strict=True):
+        table = cleaning.harmonise_columns(readers.read_table(spark, path), schemas.IMD_POSITIONS[year],
+                                           headers.get(year), schemas.IMD_COLUMNS)
+        numbers = table.select(F.col(f"`{key}`"), *[F.col(f"`{c}`").try_cast("double").alias(c) for c in scores])
+        sinks.write_parquet(lookup.recode_average(numbers, areas, key, "LSOA11CD", "LSOA21CD", LOCATION),
+                            f"{out}/imd_{year}.parquet")
+
+
+def housing(spark: SparkSession, dwellings: str, lookup_path: str, out: str) -> None:
+    """Dwelling stock by band -> dwelling counts of the areas of the lookup."""
+    clean = cleaning.clean_numeric(readers.read_table(spark, dwellings), schemas.HOUSING_TEXT)
+    sinks.write_parquet(cleaning.housing_extract(clean, readers.to_dataframe(spark, lookup_path), "LSOA21CD",
+                                                 out_key=LOCATION), out)
+
+
+def residential(spark: SparkSession, cover: str, lookup_path: str, out: str) -> None:
+    """Land cover -> ``percent`` (all areas) and ``classification`` (areas of the lookup), as CSV."""
+    land = readers.read_table(spark, cover)
+    share = ["residential_pct_2018"]
+    sinks.write_csv(land_use_class(land, schemas.RESIDENTIAL_COLUMNS).select("LSOA11CD", "LSOA11NM", *share),
+                    f"{out}/percent")
+    known = classify_locations(land, readers.to_dataframe(spark, lookup_path), schemas.RESIDENTIAL_COLUMNS,
+                               "LSOA11CD", "LSOA21CD")
+    sinks.write_csv(known.select("LSOA11CD", "LSOA21CD", "LSOA11NM", *share, "is_residential_dominant",
+                                 "residential_advantage"), f"{out}/classification")
+
+
+def points(spark: SparkSession, events: str, lookup_path: str, classes: str, out: str, report: str) -> None:
+    """Events of residential areas -> tree with the points of every month, and a summary table.
+
+    Areas are those that occur in the events and are mainly residential; events without a
+    place or a month are left out, areas keep their entry without them.
+    """
+    rows = readers.to_dataframe(spark, events)
+    flags = readers.scan_lookup(spark, classes, ["LSOA21CD", "is_residential_dominant"]).withColumn(
+        "is_residential_dominant", F.col("is_residential_dominant").cast("boolean"))
+    allowed = cut_lineage(lookup.allowed_locations(rows.withColumnRenamed(LOCATION, "loc"), "loc", flags, "LSOA21CD"))
+    areas = tree.area_table(_areas(spark, lookup_path), allowed)
+    used = cleaning.filter_nonnull_points(rows.withColumnRenamed(LOCATION, "loc"), areas, "loc", "Longitude",
+                                          "Latitude", "Month").select("loc", "Month", "Longitude", "Latitude")
+    used = cut_lineage(used)
+    nested = tree.attach(areas, tree.nest_points(used, "loc", "Month", "Longitude", "Latitude"))
+    fields = {f.name: f.dataType for f in tree.entry_schema().fields}
+    empty = {"burglaries_by_month": F.create_map(), "total_burglary_count": F.lit(0), "months_with_data": F.array()}
+    filled = nested.withColumns({c: F.coalesce(F.col(c), value.cast(fields[c])) for c, value in empty.items()})
+    sinks.write_json_tree(tree.nest_hierarchy(filled, list(empty), split="part"), out)
+    sinks.write_csv(tree.tree_summary(used.join(areas.select("lad", "loc"), "loc"), "lad", "loc", "Month"), report)
+
+
 def neighbors(spark: SparkSession, centroids: str, out: str, k: int = 5) -> None:
     points = readers.scan_lookup(spark, centroids, ["LSOA21CD", "x", "y"])
     edges = spatial.knn_edges(points.withColumns({c: F.col(c).cast("double") for c in ("x", "y")}),
@@ -175,6 +237,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     job("train", "features", "model", "report", trials={"type": int, "default": 30},
         objectives={"nargs": "+", "default": ("squared_error", "poisson")}, columns={"nargs": "*", "default": ()})
     job("csv-rosters", "out", predictions=many, months=many)
+    job("deprivation", "lookup", "out", files={"nargs": 3, "required": True})
+    job("housing", "dwellings", "lookup", "out")
+    job("residential", "cover", "lookup", "out")
+    job("points", "events", "lookup", "classes", "out", "report")
     a = parser.parse_args(argv)
     if a.job == "forecast" and cal.parse_year_month(a.end) < cal.parse_year_month(a.start):
         parser.error("the last month must not precede the first month")
@@ -194,6 +260,14 @@ def main(argv: Sequence[str] | None = None) -> None:
             train(spark, a.features, a.model, a.report, a.trials, a.objectives, a.columns)
         elif a.job == "csv-rosters":
             csv_rosters(spark, a.predictions, a.months, a.out)
+        elif a.job == "deprivation":
+            deprivation(spark, a.files, a.lookup, a.out)
+        elif a.job == "housing":
+            housing(spark, a.dwellings, a.lookup, a.out)
+        elif a.job == "residential":
+            residential(spark, a.cover, a.lookup, a.out)
+        elif a.job == "points":
+            points(spark, a.events, a.lookup, a.classes, a.out, a.report)
         else:
             rosters(spark, a.predictions, a.history, a.months, a.out)
     finally:

@@ -29,6 +29,13 @@ def find_location(df: DataFrame, candidates: Sequence[str] = schemas.LOCATION_NA
     raise ValueError(f"no location column among {', '.join(candidates)}")
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with a header (all columns text) or a Parquet table, by the name of the path."""
+    if path.lower().endswith((".csv", ".csv.gz")):
+        return strip_bom(spark.read.csv(path, header=True, inferSchema=False))
+    return spark.read.parquet(path)
+
+
 def scan_lookup(spark: SparkSession, path: str, columns: Sequence[str], schema: T.StructType | None = None,
                 **options) -> DataFrame:
     """Named columns of a CSV; the projection is pushed into the scan.

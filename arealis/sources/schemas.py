@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TEXT, _REAL, _WHOLE = T.StringType(), T.DoubleType(), T.IntegerType()
+_TEXT, _REAL = T.StringType(), T.DoubleType()
 
 
 def text_fields(*names: str) -> T.StructType:
@@ -31,15 +31,8 @@ LOOKUP_FILES = (
     ("LSOA21CD", "WD24CD", "WD24NM"),
 )
 
-EDGES = T.StructType([T.StructField("location", _TEXT), T.StructField("neighbor", _TEXT),
-                      T.StructField("distance", _REAL), T.StructField("neighbor_rank", _WHOLE)])
-
-STATIONS = T.StructType([T.StructField("Station", _TEXT), T.StructField("Latitude", _REAL),
-                         T.StructField("Longitude", _REAL)])
-
-UNEMPLOYMENT = T.StructType([T.StructField("Borough", _TEXT), T.StructField("UnempRate", _REAL)])
-
-# Column positions of the deprivation tables and the headers of the oldest one.
+# Column positions of the deprivation tables, their headers in the middle version,
+# and the headers of the others that differ from it.
 IMD_POSITIONS = {2010: (0, 7, 9, 11, 13, 15, 17, 19, 21), 2015: (0, 4, 7, 10, 13, 16, 19, 22, 25),
                  2019: (0, 4, 7, 10, 13, 16, 19, 22, 25)}
 IMD_COLUMNS = ("LSOA code (2011)", "IMD Score", "Income Score (rate)", "Employment Score (rate)",
@@ -64,5 +57,6 @@ IMD_YEARS = {2010: (2010, 2014), 2015: (2015, 2018), 2019: (2019, None)}
 # Names under which the location key appears.
 LOCATION_NAMES = ("LSOA_code", "LSOA code", "lsoa_code", "LSOA21CD", "LSOA 2021 Code")
 
+# Land-cover columns that count as residential, text columns of the dwelling stock.
 RESIDENTIAL_COLUMNS = ("Continuous urban fabric [111] (2018)", "Discontinuous urban fabric [112] (2018)")
 HOUSING_TEXT = ("GEOGRAPHY", "ECODE", "AREA_NAME", "BAND")

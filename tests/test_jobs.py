@@ -102,3 +102,77 @@ def test_bad_months_are_refused(region):
     with pytest.raises(SystemExit):
         jobs.main(["forecast", "--model", "m", "--features", "f", "--lookup", "l", "--start", "2018-02", "--end",
                    "2018-01", "--out", "o"])
+
+
+@pytest.fixture(scope="module")
+def sources(region):
+    """The source files of the preparation jobs, in the layout in which they are published."""
+    codes = [f"E{i:02d}" for i in range(8)]
+    for year, positions in schemas.IMD_POSITIONS.items():
+        width = max(positions) + 2
+        names = {2010: {v: k for k, v in schemas.IMD_2010_HEADERS.items()},
+                 2019: {v: k for k, v in schemas.IMD_2019_HEADERS.items()}}.get(year, {})
+        head = [f"other {i}" for i in range(width)]
+        for at, name in zip(positions, schemas.IMD_COLUMNS):
+            head[at] = names.get(name, name)
+        lines = [head]
+        for i, c in enumerate(codes[:7]):  # the last area has no score
+            row = ["x"] * width
+            for k, at in enumerate(positions):
+                row[at] = c if k == 0 else str(year + i + k / 10)
+            lines.append(row)
+        (region / f"ID {year}.csv").write_text("\n".join('"' + '","'.join(r) + '"' for r in lines))
+    (region / "dwellings.csv").write_text("GEOGRAPHY,ECODE,AREA_NAME,BAND,FLATS,ALL\n" + "\n".join(
+        f'{g},{c},Area,{b},{f},"1,0{i}0"' for i, c in enumerate([*codes, "Z99"])
+        for g, b, f in (("LSOA", "All", "-" if i == 2 else i), ("LSOA", "A", 9), ("MSOA", "All", 9))))
+    flats = ",".join(schemas.RESIDENTIAL_COLUMNS)
+    (region / "cover.csv").write_text(f"LSOA11CD,LSOA11NM,{flats},Forest [311] (2018),Forest [311] (2012)\n" + "\n".join(
+        f"{c},Area {c},{30 + i},{'' if i == 1 else 10},{45 - i},99" for i, c in enumerate([*codes, "Z99"])))
+    return region
+
+
+def test_preparation_jobs_feed_the_feature_table(spark, sources):
+    at = lambda name: str(sources / name)
+    jobs.main(["lookup", "--files", at("oa.csv"), at("lad.csv"), at("ward.csv"), "--out", at("all_areas")])
+    jobs.main(["deprivation", "--files", *[at(f"ID {y}.csv") for y in schemas.IMD_POSITIONS], "--lookup", at("all_areas"),
+               "--out", at("imd")])
+    for year in schemas.IMD_POSITIONS:
+        rows = {r["LSOA code"]: r for r in spark.read.parquet(at(f"imd/imd_{year}.parquet")).collect()}
+        assert len(rows) == 8 and rows["E07"]["IMD Score"] is None
+        assert list(rows["E03"].asDict()) == ["LSOA code", *schemas.IMD_COLUMNS[1:]]
+        assert rows["E03"]["IMD Score"] == pytest.approx(year + 3.1) and rows["E03"]["Crime Score"] == pytest.approx(year + 3.6)
+    jobs.main(["housing", "--dwellings", at("dwellings.csv"), "--lookup", at("all_areas"), "--out", at("homes")])
+    homes = {r["LSOA code"]: r for r in spark.read.parquet(at("homes")).collect()}
+    assert sorted(homes) == [f"E{i:02d}" for i in range(8)]
+    assert homes["E02"]["FLATS"] == 0 and homes["E05"]["FLATS"] == 5 and homes["E05"]["ALL"] == 1050
+    jobs.main(["residential", "--cover", at("cover.csv"), "--lookup", at("all_areas"), "--out", at("land")])
+    assert spark.read.csv(at("land/percent"), header=True).count() == 9
+    classes = {r.LSOA21CD: r for r in spark.read.csv(at("land/classification"), header=True).collect()}
+    assert len(classes) == 8 and classes["E01"].is_residential_dominant == "false" and classes["E00"].is_residential_dominant == "false"
+    assert classes["E04"].is_residential_dominant == "true" and float(classes["E04"].residential_advantage) == 3.0
+    jobs.main(["collect", "--events", at("raw"), "--lookup", at("all_areas"), "--out", at("all_events")])
+    jobs.main(["dataset", "--events", at("all_events"), "--imd", *[at(f"imd/imd_{y}.parquet") for y in schemas.IMD_POSITIONS],
+               "--housing", at("homes"), "--classes", at("land/classification"), "--out", at("prepared")])
+    table = spark.read.parquet(at("prepared/features.parquet"))
+    assert {"IMD Score", "FLATS"} <= set(table.columns) or {"IMD_Score", "FLATS"} <= set(table.columns)
+    assert {r[0] for r in table.select("LSOA code").distinct().collect()} <= {c for c, r in classes.items() if r.is_residential_dominant == "true"}
+
+
+def test_point_tree_job(spark, sources):
+    at = lambda name: str(sources / name)
+    jobs.main(["points", "--events", at("all_events"), "--lookup", at("all_areas"), "--classes", at("land/classification"),
+               "--out", at("points"), "--report", at("points_report")])
+    found = {}
+    for line in spark.read.text(at("points")).collect():
+        for lad, l in json.loads(line.value).items():
+            for w in l["wards"].values():
+                found.update(w["lsoas"])
+    events = spark.read.parquet(at("all_events")).toPandas()
+    kept = events[events["LSOA code"].isin(["E03", "E04", "E05", "E06", "E07"])]
+    assert set(found) == set(kept["LSOA code"])
+    for code, entry in found.items():
+        own = kept[kept["LSOA code"] == code]
+        assert entry["total_burglary_count"] == len(own) == sum(map(len, entry["burglaries_by_month"].values()))
+        assert entry["months_with_data"] == sorted(set(own["Month"]))
+    report = spark.read.csv(at("points_report"), header=True, inferSchema=True).first()
+    assert report.n_events == len(kept) and report.n_locations == len(found)
