@@ -160,8 +160,13 @@ def integrate_all(areas: DataFrame, predictions: DataFrame, history: DataFrame,
 
 
 def tree_summary(points: DataFrame, lad: str, location: str, month: str) -> DataFrame:
-    """Boroughs, locations with data, events, month range and number of months."""
-    return points.agg(
+    """Boroughs, locations with data, events, month range and number of months.
+
+    Events are counted per location and month first (combined map-side): the distinct
+    counts see these few rows, not three copies of every event.
+    """
+    cells = points.groupBy(lad, location, month).agg(F.count("*").alias("_n"))
+    return cells.agg(
         F.countDistinct(lad).alias("n_lads"), F.countDistinct(location).alias("n_locations"),
-        F.count("*").alias("n_events"), F.min(month).alias("first_month"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_events"), F.min(month).alias("first_month"),
         F.max(month).alias("last_month"), F.countDistinct(month).alias("n_months"))

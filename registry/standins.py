@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from arealis.operators import panel as p
+from arealis.plans.feature_table import month_counts
 
 from .core import table
 
@@ -34,8 +35,9 @@ def dated(spark: SparkSession, sf: str, key: str = "l_suppkey") -> DataFrame:
 
 
 def panel(spark: SparkSession, sf: str, key: str = "l_suppkey") -> DataFrame:
-    """Dense panel: loc, year, month, calendar columns, x."""
-    return p.densify_grid(dated(spark, sf, key), "loc", "x")
+    """Dense panel: loc, year, month, calendar columns, x; the events are counted in one pass."""
+    counts = p.normalize_time(month_counts(events(spark, sf, key), "loc", "ym"), "ym")
+    return p.densify_grid(counts, "loc", "x", weight="_events")
 
 
 def panel_sql(key: str = "l_suppkey") -> str:
