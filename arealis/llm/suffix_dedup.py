@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from arealis.session import cut_lineage
@@ -241,14 +242,25 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(batch.slice(int(bounds[-1])))
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows (doc, tag, text): the text compressed for the shuffle, whose own codec gains little on prose."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [press.compress(t.as_buffer()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
+                                         names=["doc", "tag", "packed"])
+
+
 def _cut_contexts(length: int):
-    """For rows (doc, tag, text, refs, keys): each context once per batch, with its documents."""
+    """For rows (doc, tag, packed, refs, keys): each context once per batch, with its documents."""
+    open_ = zstandard.ZstdDecompressor
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[int, bytes], tuple[int, list[int], list[int]]] = {}
             size = 0
-            for doc, tag, text, refs, keys in zip(*(c for c in batch.columns)):
-                doc, tag, text = doc.as_py(), tag.as_py(), text.as_py()
+            for doc, tag, packed, refs, keys in zip(*(c for c in batch.columns)):
+                doc, tag, text = doc.as_py(), tag.as_py(), open_().decompress(packed.as_py())
                 high = tag << _POS_BITS
                 for ref, key in zip(refs.values.to_numpy(), keys.values.to_numpy()):
                     at = int(ref) - high
@@ -339,11 +351,13 @@ def _span_rows(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Record
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows (id, text, starts, ends): what is left after the union of the spans is cut out."""
+    """For rows (id, packed, starts, ends): what is left after the union of the spans is cut out."""
+    open_ = zstandard.ZstdDecompressor
     for batch in batches:
-        removed, runs, digests, kept = [], [], [], []
-        for text, starts, ends in zip(batch.column(1), batch.column(2), batch.column(3)):
-            text = text.as_py()
+        removed, runs, digests, kept, sizes = [], [], [], [], []
+        for packed, starts, ends in zip(batch.column(1), batch.column(2), batch.column(3)):
+            text = open_().decompress(packed.as_py())
+            sizes.append(len(text))
             if starts.is_valid and len(starts):
                 first, last = starts.values.to_numpy(), ends.values.to_numpy()
                 order = np.argsort(first, kind="stable")
@@ -360,7 +374,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(text).hexdigest())
             kept.append(text)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(4), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
              pa.array(digests), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
@@ -410,7 +424,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release_shuffles(spark)  # of all anchors
     wanted = shared.withColumn("tag", F.shiftright("ref", _POS_BITS)).join(copies, ["doc", "tag"], "left_anti").groupBy("doc", "tag").agg(
         F.collect_list("ref").alias("refs"), F.collect_list("key").alias("keys"))
-    contexts = map_arrow(known.join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "refs", "keys"),
+    packed = map_arrow(rows, _pack, "doc bigint, tag bigint, packed binary")
+    contexts = map_arrow(packed.join(wanted, ["doc", "tag"]).select("doc", "tag", "packed", "refs", "keys"),
                          _cut_contexts(length),
                          "key bigint, context binary, docs array<bigint>, refs array<bigint>")
     spans = cut_lineage(map_arrow(contexts.repartition("key").sortWithinPartitions("key"), _mark(length),
@@ -419,8 +434,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release_shuffles(spark)
     marked = spans.groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"),
                                              F.collect_list("end").alias("ends"))
-    final = rows.join(marked, ["doc", "tag"], "left").select(
-        "doc", "text", "starts", "ends", F.length("text").cast("bigint").alias("n_bytes"))
+    final = packed.join(marked, ["doc", "tag"], "left").select("doc", "packed", "starts", "ends")
     return map_arrow(final, _remove, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
