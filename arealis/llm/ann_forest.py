@@ -70,7 +70,7 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             high[depth, t] = np.searchsorted(strings[t], prefix + unit)
     # All trees ascend together. No more candidates than this are below a prefix length:
     most = (high - low).sum(axis=1)
-    out_q, out_i, out_s = [], [], []
+    out_q, out_i = [], []
     for q in range(len(queries)):
         seen = np.zeros(len(ids), bool)
         for depth in range(letters, 0, -1):
@@ -85,12 +85,19 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
         scores = vectors[at] @ queries[q]
         if len(at) > k:
             least = np.partition(scores, len(at) - k)[len(at) - k]
-            at, scores = at[scores >= least], scores[scores >= least]  # with all ties of the last
-        best = np.lexsort((ids[at], -scores))[:k]
-        out_q.append(np.full(len(best), query_ids[q]))
-        out_i.append(ids[at][best])
-        out_s.append(scores[best])
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in (out_q, out_i, out_s))
+            at = at[scores >= least - 1e-12 * dim * longest * np.linalg.norm(queries[q])]  # with all ties of the last
+        out_q.append(np.full(len(at), q))
+        out_i.append(at)
+    q, i = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (out_q, out_i))
+    # A matrix product rounds by place; added up one component after the other, equal vectors have equal scores.
+    exact = np.zeros(len(q))
+    for d in range(vectors.shape[1]):
+        exact += vectors[i, d] * queries[q, d]
+    order = np.lexsort((ids[i], -exact, q))
+    q, i, exact = q[order], i[order], exact[order]
+    first = np.searchsorted(q, q)
+    best = np.arange(len(q)) - first < k
+    return query_ids[q[best]], ids[i[best]], exact[best]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:

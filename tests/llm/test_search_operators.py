@@ -168,6 +168,20 @@ def test_nearest_small_table_is_exact_and_skips_bad_vectors(spark):
     assert ann_forest.nearest(df.limit(0)).collect() == []
 
 
+def test_ties_go_to_the_smaller_id_wherever_the_copies_lie():
+    rng = np.random.default_rng(3)
+    for trial in range(4):
+        n = 2500 + trial
+        vectors = rng.normal(size=(n, 128))
+        vectors[rng.choice(n, 30, replace=False)] = vectors[7]
+        vectors[-2:] = vectors[7]
+        ids, asked = np.arange(n) * 3, vectors[[7, 11]] + 0.01
+        q, i, score = ann_forest.search_shard(ids, vectors, np.array([1, 2]), asked, 20, np.linalg.norm(vectors, axis=1).max(), n, 8)
+        copies = np.flatnonzero((vectors == vectors[7]).all(axis=1))
+        assert i[q == 1].tolist() == ids[copies[:20]].tolist() and len(set(score[q == 1].tolist())) == 1
+        assert len(i[q == 2]) == 20 and (np.diff(score[q == 2]) <= 0).all()
+
+
 def test_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     pdf = df.toPandas()
