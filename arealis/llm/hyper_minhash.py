@@ -9,12 +9,13 @@ probability of their similarity.
 
 Bands of BAND_ROWS registers bring sets together. For two sets of similarity 0.8 a band is
 equal with probability 0.8^BAND_ROWS; that none of the bands is equal has a chance of
-about 2e-9. Sets of one bucket are compared with its leaders: first the smallest of all
-leaders of a set, then one leader, then the next four, the next sixteen and so on; a
-pair is left out only if verified links join it already, so no bucket is capped and none
-gives all its pairs where its sets are alike. A pair's similarity is first estimated from
-the registers, corrected for registers that are equal by collision; a pair that comes
-within MARGIN of the limit is verified on the full sets.
+about 2e-9. A set is first compared with one other, the smallest that it shares a bucket
+with. Buckets whose sets are one component by then are done. Of all others, sets of
+different components are compared inside tasks, in blocks, so that no pair becomes a row:
+the similarity of two sets is estimated from their registers, corrected for registers
+that are equal by collision, and sets with a partner that comes within MARGIN of the limit
+go on; these meet once more in their bucket with their full sets, and the links that are
+confirmed there come back as a spanning forest. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -26,22 +27,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from arealis.operators.skew import numbered_rows
 from arealis.session import cut_lineage
 
 from .components import components
-from .hot import join_counted, join_salted
+from .hot import join_counted
 from .ship import map_arrow
 from .words import row_groups, split_words
 
-REGISTERS, MANTISSA, BAND_ROWS = 256, 10, 5
+REGISTERS, MANTISSA, BAND_ROWS = 256, 10, 5  # a band is compared as four registers and one
 BANDS = REGISTERS // BAND_ROWS
 #: The standard deviation of an estimate at 0.8 is 0.03 at most; pairs are verified from six of them below on.
 MARGIN = 0.2
-#: In buckets of up to so many sets all pairs are compared at once.
-FEW = 8
+#: Sets of a bucket that one task compares with as many others; larger buckets are dealt out in pairs of blocks.
+BLOCK = 1 << 10
 _BUCKET_BITS, _VALUE_BITS = 8, 53
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,10 +142,6 @@ def _sketch(words: int):
     return run
 
 
-def _rows(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
-
-
 def _likely(least: float):
     """For rows (u, v, n_u, n_v, regs_u, regs_v): the pairs whose estimate comes near the limit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +153,25 @@ def _likely(least: float):
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows (th, doc_id, text): the text compressed, as the codec of the shuffle gains little on prose."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [press.compress(t.as_buffer()) if t.is_valid else None for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
+                                         names=["th", "doc_id", "packed"])
+
+
 def _full_sets(words: int):
-    """For rows (no, sid, text): the set of the text, if it has this name."""
+    """For rows (no, sid, packed): the set of the text, if it has this name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in row_groups(batch.column(2)):
-                part = batch.slice(rows.start, rows.stop - rows.start)
-                sets = shingle_sets(part.column(2), words)
-                same = [set_name(s) == sid.as_py() for s, sid in zip(sets, part.column(1))]
+            texts = pa.array([zstandard.ZstdDecompressor().decompress(t.as_py()).decode() for t in batch.column(2)], pa.string())
+            for rows in row_groups(texts):
+                sets = shingle_sets(texts[rows], words)
+                same = [set_name(s) == sid.as_py() for s, sid in zip(sets, batch.column(1)[rows])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    [batch.column(0)[rows], pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["no", "hashes"]).filter(pa.array(same, pa.bool_()))
     return run
 
@@ -183,66 +189,180 @@ def _alike(least: Fraction):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, least: Fraction) -> DataFrame:
-    """The pairs (u, v) of sets that are similar enough: by their registers, then by their full sets."""
-    def sides(table: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
-        for end in ("u", "v"):
-            table = table.join(of.select(F.col("no").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
-        return table.select("u", "v", *[f"{c}_{end}" for c in columns for end in ("u", "v")])
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows sorted by (key, i, j, side), many at a time, and the bounds of the groups."""
+    def bounds(table: pa.Table) -> np.ndarray:
+        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in range(3)])
+        return np.concatenate([[0], np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1, [table.num_rows]])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([*held, batch])
+            cuts = bounds(table)
+            last = int(cuts[-2])
+            if last:
+                yield table.slice(0, last).combine_chunks(), cuts[:-1]
+            held = table.slice(last).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, np.array([0, table.num_rows])
+
 
-    likely = cut_lineage(map_arrow(sides(pairs, sets, "n", "regs"), _likely(float(least)), "u bigint, v bigint"))
-    ends = likely.select(F.explode(F.array("u", "v")).alias("no")).distinct()
-    wanted = cut_lineage(sets.join(ends, "no", "left_semi").select("no", "sid", F.col("th").alias("own"), "doc"))
-    own = texts.join(wanted, (F.col("th") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("doc"))).select(
-        "no", "sid", "text")
-    full = cut_lineage(map_arrow(own, _full_sets(words), "no bigint, hashes binary").dropDuplicates(["no"]))
-    return map_arrow(sides(likely, full, "hashes"), _alike(least), "u bigint, v bigint")
+def _rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def set_links(sets: DataFrame, texts: DataFrame, words: int, least: Fraction) -> DataFrame | None:
-    """Links (u, v) whose components are those of all similar pairs of ``sets`` (no, n, sid, th, doc, regs)."""
-    bands = F.array(*[F.xxhash64(F.substring("regs", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS), F.lit(i))
-                      for i in range(BANDS)])
-    keyed = sets.select("no", "n", F.explode(bands).alias("key"))
+def _pairs(sides: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within groups, each time of many rows with one other each; of dealt-out
+    groups (sides 0 and 1) those across the sides."""
+    n = len(sides)
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    at = np.flatnonzero((sides == 2) & (np.arange(n) + 1 < end))
+    k = 1
+    while len(at):
+        yield at, at + k
+        k += 1
+        at = at[at + k < end[at]]
+    for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if sides[start] != 2:
+            middle = start + int(np.searchsorted(sides[start:stop], 1))
+            other = np.arange(middle, stop)
+            for row in range(start, middle):
+                yield np.full(len(other), row), other
+
+
+def _with_partner(least: Fraction):
+    """For rows (key, i, j, side, band, no, n, root, regs) sorted by group: those that may be similar
+    to a set of another component, judged by sizes and registers.
+
+    A pair is judged in the first band that it shares.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _groups(batches):
+            sides, band, n, root = (table.column(c).to_numpy() for c in (3, 4, 6, 7))
+            codes = _rows(table.column(8))
+            keep = np.zeros(len(sides), bool)
+            bands = codes[:, :BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS)
+            front = np.ascontiguousarray(bands[:, :, :4]).view(np.uint64)[:, :, 0]  # four registers at once
+            back = np.ascontiguousarray(bands[:, :, 4:]).view(np.uint16)[:, :, 0]
+            limit = float(least) - MARGIN
+            for a, b in _pairs(sides, bounds):
+                open_ = (root[a] != root[b]) & ~(keep[a] & keep[b]) & (
+                    np.minimum(n[a], n[b]) * least.denominator >= np.maximum(n[a], n[b]) * least.numerator)
+                a, b = a[open_], b[open_]
+                for cut in range(0, len(a), 1 << 14):
+                    x, y = a[cut:cut + (1 << 14)], b[cut:cut + (1 << 14)]
+                    share = np.bitwise_count((codes[x] == codes[y]).view(np.uint64)).sum(axis=1) / REGISTERS
+                    # The correction lowers a share by no more than 2^-MANTISSA: few pairs need it.
+                    near = np.flatnonzero(share >= limit)
+                    first = ((front[x[near]] == front[y[near]]) & (back[x[near]] == back[y[near]])).argmax(axis=1)
+                    near = near[first == band[x[near]]]
+                    edge = near[share[near] < limit + 2 / REGISTERS]
+                    low = edge[estimate(codes[x[edge]], codes[y[edge]], n[x[edge]], n[y[edge]]) < limit]
+                    near = np.setdiff1d(near, low)
+                    keep[x[near]] = keep[y[near]] = True
+            yield from table.select(["key", "i", "j", "side", "no", "root"]).filter(pa.array(keep)).to_batches()
+    return run
+
+
+def _confirmed(least: Fraction):
+    """For rows (key, i, j, side, no, root, hashes) sorted by group: a spanning forest of the links
+    between similar full sets of different components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _groups(batches):
+            sides, no, root = (table.column(c).to_numpy() for c in (3, 4, 5))
+            hashes = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column(6).combine_chunks()]
+            u, v = [], []
+            for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                sizes = np.fromiter(map(len, hashes[start:stop]), np.int64, stop - start)
+                known, codes = np.unique(np.concatenate(hashes[start:stop]), return_inverse=True)
+                starts = np.cumsum(sizes) - sizes
+                own = root[start:stop].copy()  # smallest root of the component so far
+                side, flag = sides[start:stop], np.zeros(len(known), bool)
+                for a in range(stop - start):
+                    wanted = (own != own[a]) & ((side != side[a]) | (side == 2)) & (
+                        np.minimum(sizes, sizes[a]) * least.denominator >= np.maximum(sizes, sizes[a]) * least.numerator)
+                    if not wanted.any():
+                        continue
+                    part = codes[starts[a]:starts[a] + sizes[a]]
+                    flag[part] = True
+                    shared = np.add.reduceat(flag[codes], starts, dtype=np.int64)
+                    flag[part] = False
+                    alike = shared * least.denominator >= (sizes + sizes[a] - shared) * least.numerator
+                    for b in np.flatnonzero(wanted & alike).tolist():
+                        if own[a] != own[b]:
+                            u.append(no[start + a])
+                            v.append(no[start + b])
+                            own[(own == own[a]) | (own == own[b])] = min(own[a], own[b])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+    return run
+
+
+def _texts_of(wanted: DataFrame, sets: DataFrame, packed: DataFrame, words: int) -> DataFrame:
+    """(no, hashes): the full sets of the numbers in ``wanted``, from one text of each."""
+    named = cut_lineage(sets.join(wanted.select("no").distinct(), "no", "left_semi").select(
+        "no", "sid", F.col("th").alias("own"), "doc"))
+    own = packed.join(named, (F.col("th") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("doc")))
+    # The one text of each set may come in several equal rows.
+    return cut_lineage(map_arrow(own.select("no", "sid", "packed"), _full_sets(words), "no bigint, hashes binary")
+                       .dropDuplicates(["no"]))
+
+
+def _sides(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` (u, v) with columns of both."""
+    for end in ("u", "v"):
+        pairs = pairs.join(of.select(F.col("no").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+    return pairs.select("u", "v", *[f"{c}_{end}" for c in columns for end in ("u", "v")])
+
+
+def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, block: int = BLOCK) -> DataFrame:
+    """(no, root) of ``sets`` (no, n, sid, th, doc, regs) that are similar to another one: their components."""
+    bands = F.array(*[F.struct(F.xxhash64(F.substring("regs", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS), F.lit(i)).alias("key"),
+                               F.lit(i).alias("band")) for i in range(BANDS)])
+    keyed = sets.select("no", "n", F.explode(bands).alias("b")).select("no", "n", "b.key", "b.band")
     shared = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("no", "n")).alias("lead"))
                          .filter("m > 1"))
-    members = cut_lineage(join_counted(keyed, shared.withColumn("size", F.col("m")), ["key"], "m"))
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes alone do not forbid the similarity."""
-        return pairs.filter(F.least("n", "n_") * least.denominator >= F.greatest("n", "n_") * least.numerator).select(
-            F.least("no", "no_").alias("u"), F.greatest("no", "no_").alias("v")).distinct()
+    members = cut_lineage(join_counted(keyed, shared, ["key"], "m"))
+    packed = map_arrow(texts, _pack, T.StructType([
+        T.StructField("th", T.LongType()), texts.schema["doc_id"], T.StructField("packed", T.BinaryType())]))
 
     first = members.filter(F.col("no") != F.col("lead.no")).groupBy("no", "n").agg(F.min("lead").alias("lead"))
-    links = cut_lineage(_verified(cut_lineage(fitting(first.select(
-        "no", "n", F.col("lead.no").alias("no_"), F.col("lead.n").alias("n_")))), sets, texts, words, least))
-    low, high, numbered = 0, 1, None
-    while True:
-        roots = components(links).withColumnRenamed("v", "no")
-        now = (members.drop("lead") if numbered is None else numbered).join(roots, "no", "left").withColumn(
-            "root", F.coalesce("root", "no"))
-        now = cut_lineage(now)
-        ends = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m"))
-        left = cut_lineage(ends.filter((F.col("a") != F.col("b")) & (F.col("m") - 1 > low)).select("key", "m"))
-        if numbered is not None:  # small buckets were compared as a whole
-            left = left.filter(F.col("m") > FEW)
-        if left.isEmpty():
-            return links
-        now = join_counted(now, left, ["key"], "m")
-        if numbered is None:
-            now = numbered_rows(now, ["key"], "no", "nth")
-        now = cut_lineage(now)
-        numbered = now.drop("root")
-        lead = now.filter((F.col("nth") > low) & (F.col("nth") <= high) | (F.col("size") <= FEW)).select(
-            "key", *[F.col(c).alias(f"{c}_") for c in ("no", "n", "nth", "root")])
-        pairs = join_salted(now, lead, ["key"]).filter("nth_ < nth AND root <> root_")
-        found = _verified(cut_lineage(fitting(pairs)), sets, texts, words, least)
-        links = cut_lineage(links.unionByName(found))
-        low, high = high, 4 * high + 1
+    fit = F.least("n", "lead.n") * least.denominator >= F.greatest("n", "lead.n") * least.numerator
+    pairs = cut_lineage(first.filter(fit).select(F.col("lead.no").alias("u"), F.col("no").alias("v")))
+    likely = cut_lineage(map_arrow(_sides(pairs, sets, "n", "regs"), _likely(float(least)), "u bigint, v bigint"))
+    full = _texts_of(likely.select(F.explode(F.array("u", "v")).alias("no")), sets, packed, words)
+    links = cut_lineage(map_arrow(_sides(likely, full, "hashes"), _alike(least), "u bigint, v bigint"))
+
+    roots = cut_lineage(components(links).withColumnRenamed("v", "no"))
+    placed = cut_lineage(members.drop("lead").join(roots, "no", "left").withColumn("root", F.coalesce("root", "no")))
+    # Only pairs across components are open, and each has an end outside the bucket's largest one.
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("s")).groupBy("key").agg(
+        F.sum("s").alias("m"), F.max("s").alias("most"), F.max_by("root", F.struct("s", "root")).alias("main"))
+    left = cut_lineage(sizes.filter("most < m").select(
+        "key", "m", "main", F.when(F.col("m") > block, F.ceil((F.col("m") - F.col("most")) / block)).cast("int").alias("rows"),
+        F.when(F.col("m") > block, F.ceil(F.col("m") / block)).cast("int").alias("columns")))
+    now = join_counted(placed, left, ["key"], "m")
+    zero, two = F.lit(0), F.lit(2)
+    at = lambda n: F.pmod(F.xxhash64("no"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(zero, F.col(n) - 1))
+    large = now.filter("rows IS NOT NULL")
+    columns = ["key", "i", "j", "side", "band", "no", "n", "root"]
+    dealt = now.filter("rows IS NULL").withColumns({"i": zero, "j": zero, "side": two}).select(*columns).unionByName(
+        large.filter("root <> main").withColumns({"i": at("rows"), "side": zero}).withColumn("j", every("columns")).select(*columns)
+    ).unionByName(large.withColumns({"j": at("columns"), "side": F.lit(1)}).withColumn("i", every("rows")).select(*columns))
+    group = ["key", "i", "j"]
+    rows = dealt.join(sets.select("no", "regs"), "no").select(*columns, "regs")
+    near = cut_lineage(map_arrow(rows.repartition(*group).sortWithinPartitions(*group, "side"), _with_partner(least),
+                                 "key bigint, i int, j int, side int, no bigint, root bigint"))
+    full = _texts_of(near, sets, packed, words)
+    rows = near.join(full, "no").select(*group, "side", "no", "root", "hashes")
+    found = map_arrow(rows.repartition(*group).sortWithinPartitions(*group, "side"), _confirmed(least), "u bigint, v bigint")
+    return cut_lineage(components(links.unionByName(found)).withColumnRenamed("v", "no"))
 
 
 def near_duplicate_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2,
-                        similarity: float | str = "0.8") -> DataFrame:
+                        similarity: float | str = "0.8", block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents whose sets of distinct shingles of ``words`` lower-cased words have a
@@ -265,8 +385,8 @@ def near_duplicate_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.count("*").alias("m"), F.min("doc_id").alias("first"), F.max("n").alias("n"),
         F.min(F.struct("th", F.col("doc_id").alias("doc"), "regs")).alias("one"))
         .select("sid", "m", "first", "n", "one.*").withColumn("no", F.monotonically_increasing_id()))
-    links = set_links(named.drop("m", "first"), source, words, least)
-    linked = cut_lineage(named.join(components(links).withColumnRenamed("v", "no"), "no", "left").withColumn(
+    roots = set_roots(named.drop("m", "first"), source.select("th", "doc_id", "text"), words, least, block)
+    linked = cut_lineage(named.join(roots, "no", "left").withColumn(
         "root", F.coalesce("root", "no")))
     ids = cut_lineage(linked.groupBy("root").agg(F.count("*").alias("k"), F.min("first").alias("component_id")))
     table = cut_lineage(join_counted(linked, ids, ["root"], "k").select("sid", "m", "component_id"))

@@ -147,10 +147,11 @@ def near_texts():
     return [(None if i % 29 == 7 else int(i), " ".join(docs[j])) for i, j in enumerate(order)] + [(3, None)]
 
 
-def test_near_sets_like_brute_force(spark, awkward):
+@pytest.mark.parametrize("block", [hyper_minhash.BLOCK, 3])
+def test_near_sets_like_brute_force(spark, awkward, block):
     rows = near_texts()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1))
-    got = Counter(tuple(r) for r in hyper_minhash.near_duplicate_sets(df).collect())
+    got = Counter(tuple(r) for r in hyper_minhash.near_duplicate_sets(df, block=block).collect())
     assert got == brute_sets(rows)
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     got = Counter(tuple(r) for r in hyper_minhash.near_duplicate_sets(awkward).collect())
