@@ -35,7 +35,7 @@ from arealis.session import cut_lineage
 from .components import components
 from .hot import join_counted
 from .ship import map_arrow
-from .words import row_groups, split_words
+from .words import GROUP_BYTES, row_groups, split_words
 
 REGISTERS, MANTISSA, BAND_ROWS = 256, 10, 5  # a band is compared as four registers and one
 BANDS = REGISTERS // BAND_ROWS
@@ -166,9 +166,10 @@ def _full_sets(words: int):
     """For rows (no, sid, packed): the set of the text, if it has this name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([zstandard.ZstdDecompressor().decompress(t.as_py()).decode() for t in batch.column(2)], pa.string())
-            for rows in row_groups(texts):
-                sets = shingle_sets(texts[rows], words)
+            for rows in row_groups(batch.column(2), GROUP_BYTES // 4):
+                packed = batch.column(2)[rows]
+                texts = pa.array([zstandard.ZstdDecompressor().decompress(t.as_py()).decode() for t in packed], pa.string())
+                sets = shingle_sets(texts, words)
                 same = [set_name(s) == sid.as_py() for s, sid in zip(sets, batch.column(1)[rows])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[rows], pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -202,10 +203,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
             cuts = bounds(table)
             last = int(cuts[-2])
             if last:
-                yield table.slice(0, last).combine_chunks(), cuts[:-1]
-            held = table.slice(last).combine_chunks().to_batches()
+                yield table.slice(0, last), cuts[:-1]
+            held = table.slice(last).to_batches()
     if held:
-        table = pa.Table.from_batches(held).combine_chunks()
+        table = pa.Table.from_batches(held)
         yield table, np.array([0, table.num_rows])
 
 
@@ -272,7 +273,7 @@ def _confirmed(least: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _groups(batches):
             sides, no, root = (table.column(c).to_numpy() for c in (3, 4, 5))
-            hashes = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column(6).combine_chunks()]
+            hashes = [np.frombuffer(s.as_buffer(), np.uint64) for chunk in table.column(6).chunks for s in chunk]
             u, v = [], []
             for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 sizes = np.fromiter(map(len, hashes[start:stop]), np.int64, stop - start)

@@ -8,15 +8,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text that one group of rows holds (a longer text is a group of its own).
-GROUP_BYTES = 1 << 21
+#: Bytes of text and rows that one group of rows holds (a longer text is a group of its own).
+GROUP_BYTES, GROUP_ROWS = 1 << 21, 1 << 10
 
 
 def row_groups(texts: pa.Array, size: int = GROUP_BYTES) -> Iterator[slice]:
-    """Ranges of rows whose texts come to about ``size`` bytes."""
+    """Ranges of rows whose texts come to about ``size`` bytes, not too many rows in one."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(lengths) // size
-    cuts = np.flatnonzero(np.diff(group)) + 1
+    cuts = np.flatnonzero((np.diff(group) > 0) | (np.arange(1, len(group)) % GROUP_ROWS == 0)) + 1
     for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lengths)]):
         if stop > start:
             yield slice(start, stop)
