@@ -34,7 +34,7 @@ from arealis.session import cut_lineage
 
 from .components import components
 from .hot import join_counted
-from .ship import map_arrow
+from .ship import map_arrow, small_batches
 from .words import GROUP_BYTES, row_groups, split_words
 
 REGISTERS, MANTISSA, BAND_ROWS = 256, 10, 5  # a band is compared as four registers and one
@@ -43,7 +43,7 @@ BANDS = REGISTERS // BAND_ROWS
 MARGIN = 0.2
 #: Sets of a bucket that one task compares with as many others; larger buckets are dealt out in pairs of blocks.
 BLOCK = 1 << 10
-_BUCKET_BITS, _VALUE_BITS = 8, 53
+_VALUE_BITS = 53
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -377,16 +377,17 @@ def near_duplicate_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = Fraction(str(similarity))
     if not Fraction(4, 5) <= least <= 1:
         raise ValueError("the bands are made for similarities from 0.8 to 1")
-    text = F.col(text_col).cast("string")
-    source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    rows = cut_lineage(map_arrow(source, _sketch(words), T.StructType([
-        source.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("sid", T.BinaryType()), T.StructField("regs", T.BinaryType())])))
-    named = cut_lineage(rows.filter("n > 0").groupBy("sid").agg(
-        F.count("*").alias("m"), F.min("doc_id").alias("first"), F.max("n").alias("n"),
-        F.min(F.struct("th", F.col("doc_id").alias("doc"), "regs")).alias("one"))
-        .select("sid", "m", "first", "n", "one.*").withColumn("no", F.monotonically_increasing_id()))
-    roots = set_roots(named.drop("m", "first"), source.select("th", "doc_id", "text"), words, least, block)
+    with small_batches(docs.sparkSession):
+        text = F.col(text_col).cast("string")
+        source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+        rows = cut_lineage(map_arrow(source, _sketch(words), T.StructType([
+            source.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("n", T.LongType()),
+            T.StructField("sid", T.BinaryType()), T.StructField("regs", T.BinaryType())])))
+        named = cut_lineage(rows.filter("n > 0").groupBy("sid").agg(
+            F.count("*").alias("m"), F.min("doc_id").alias("first"), F.max("n").alias("n"),
+            F.min(F.struct("th", F.col("doc_id").alias("doc"), "regs")).alias("one"))
+            .select("sid", "m", "first", "n", "one.*").withColumn("no", F.monotonically_increasing_id()))
+        roots = set_roots(named.drop("m", "first"), source.select("th", "doc_id", "text"), words, least, block)
     linked = cut_lineage(named.join(roots, "no", "left").withColumn(
         "root", F.coalesce("root", "no")))
     ids = cut_lineage(linked.groupBy("root").agg(F.count("*").alias("k"), F.min("first").alias("component_id")))
