@@ -6,18 +6,19 @@ import json
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (
-    Imputer, IndexToString, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler)
+from pyspark.ml.feature import Imputer, IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar as cal
 from ..functions.scalars import clip_lower
+from ..session import cut_lineage
 from .boosting import boost_poisson
 from .skew import exact_quantiles, stable_fraction
 from .temporal import last_row_per_location
@@ -62,32 +63,86 @@ def impute_median(df: DataFrame, columns: Sequence[str], train: DataFrame | None
                            for c in columns})
 
 
-def location_stages(location: str, label: str) -> list:
-    """Location as a numeric feature: index, then the mean target of its training rows.
+class LocationEffect(Estimator):
+    """Location as a numeric feature ``location_effect``: the mean target of its training rows,
+    drawn towards the mean of all.
 
-    Tree learners need ``maxBins`` of at least the number of levels; thousands of
-    areas as bins would blow up the histograms, one encoded column does not.
+    Tree learners need ``maxBins`` of at least the number of levels; thousands of areas as
+    bins would blow up the histograms, one encoded column does not. The means are a table
+    that is joined: the encoder of the library compares every row with every location.
     """
-    return [StringIndexer(inputCol=location, outputCol="_loc_index", handleInvalid="keep"),
-            TargetEncoder(inputCols=["_loc_index"], outputCols=["_loc_mean"], labelCol=label,
-                          targetType="continuous", smoothing=10.0, handleInvalid="keep"),
-            # A plain expression drops the category metadata, which would make the
-            # encoded column a categorical feature again.
-            SQLTransformer(statement="SELECT *, _loc_mean + 0.0D AS location_effect FROM __THIS__")]
+
+    def __init__(self, location: str, label: str, smoothing: float = 10.0):
+        super().__init__()
+        self.location, self.label, self.smoothing = location, label, smoothing
+
+    def _fit(self, dataset: DataFrame) -> LocationEffectModel:
+        y = F.col(self.label).cast("double")
+        rows = dataset.select(F.col(self.location).cast("string").alias("_loc"), F.when(~F.isnan(y), y).alias("_y"))
+        effects = cut_lineage(_effects(rows, "_loc", F.col("_y"), self.smoothing, rows.select(F.avg("_y")).scalar()))
+        overall = rows.agg(F.avg("_y")).first()[0]
+        nowhere = effects.filter("_loc IS NULL").first()
+        return LocationEffectModel(self.location, effects.filter("_loc IS NOT NULL"),
+                                   nowhere["location_effect"] if nowhere else overall)
+
+
+class LocationEffectModel(Model, MLWritable, MLReadable):
+    """A stage that a pipeline can save; locations unknown or NULL have ``other``, the effect of the
+    training rows without a location, or the mean of all where there were none."""
+
+    def __init__(self, location: str = "loc", effects: DataFrame | None = None, other: float | None = None):
+        super().__init__()
+        self.location, self.effects, self.other = location, effects, other
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        found = self.effects.select("_loc", F.col("location_effect").alias("_effect"))
+        return dataset.join(found, F.col(self.location).cast("string") == F.col("_loc"), "left").withColumn(
+            "location_effect", F.coalesce(F.col("_effect"), F.lit(self.other).cast("double"))).drop("_loc", "_effect")
+
+    def write(self) -> MLWriter:
+        return _LocationWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _LocationReader()
+
+
+class _LocationWriter(MLWriter):
+    def __init__(self, instance: LocationEffectModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        m = self.instance
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata={"location": m.location, "other": m.other})
+        m.effects.write.mode("overwrite").parquet(f"{path}/effects")
+
+
+class _LocationReader(MLReader):
+    def load(self, path: str) -> LocationEffectModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        effects = self.sparkSession.read.parquet(f"{path}/effects")
+        model = LocationEffectModel(metadata["location"], effects, metadata["other"])
+        model._resetUid(metadata["uid"])
+        return model
+
+
+def _effects(df: DataFrame, location: str, y: Column, smoothing: float, overall: Column) -> DataFrame:
+    """``location`` with its ``location_effect``."""
+    weight = F.count(y) / (F.count(y) + F.lit(float(smoothing)))
+    return df.groupBy(location).agg(weight.alias("_weight"), F.avg(y).alias("_mean")).select(
+        location, (F.coalesce(F.col("_weight") * F.col("_mean"), F.lit(0.0)) + (1 - F.col("_weight")) * overall)
+        .alias("location_effect"))
 
 
 def encode_location(df: DataFrame, location: str, label: str, smoothing: float = 10.0) -> DataFrame:
     """Adds ``location_effect``: mean target of the location, drawn towards the mean of all.
 
     A grouped mean and a join: no list of locations on the driver or in a task. The
-    pipelines of the trainers use the ML stages of ``location_stages``, whose fitted model
-    can be saved.
+    trainers use ``LocationEffect``, the same as a stage that can be saved.
     """
     y = F.col(label).cast("double")
-    overall = df.select(F.avg(y)).scalar()
-    weight = F.count(y) / (F.count(y) + F.lit(float(smoothing)))
-    effect = df.groupBy(location).agg(weight.alias("_weight"), F.avg(y).alias("_mean")).withColumn(
-        "location_effect", F.coalesce(F.col("_weight") * F.col("_mean"), F.lit(0.0)) + (1 - F.col("_weight")) * overall)
+    effect = _effects(df, location, y, smoothing, df.select(F.avg(y)).scalar())
     return df.join(effect.select(F.col(location).alias("_loc"), "location_effect"),
                    F.col(location).eqNullSafe(F.col("_loc"))).drop("_loc")
 
@@ -96,13 +151,21 @@ def _preparation(features: Sequence[str], location: str | None, label: str) -> l
     filled = [f"{c}_filled" for c in features]
     stages = [Imputer(strategy="median", inputCols=list(features), outputCols=filled)]
     if location is not None:
-        stages = location_stages(location, label) + stages
+        stages = [LocationEffect(location, label)] + stages
         filled = filled + ["location_effect"]
     return stages + [VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep")]
 
 
 # -- training -------------------------------------------------------------
 
+def _fit_prepared(train: DataFrame, features: Sequence[str], label: str, location: str | None, learner,
+                  *keep: str) -> PipelineModel:
+    """Fits the preparation, writes the prepared rows once and fits the learner, which reads them many times."""
+    ready = Pipeline(stages=_preparation(features, location, label)).fit(train)
+    rows = cut_lineage(ready.transform(train).select("features", label, *keep))
+    return PipelineModel(stages=[*ready.stages, learner.fit(rows)])
+
+
 def train_forest(train: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     """Impute, assemble, random forest; the location is not a feature here."""
     learner = RandomForestRegressor(labelCol=label, seed=SEED, **params)
@@ -116,7 +179,7 @@ def train_boosted(train: DataFrame, features: Sequence[str], label: str, locatio
         train = train.withColumn("_validation", validation)
         params["validationIndicatorCol"] = "_validation"
     learner = GBTRegressor(labelCol=label, seed=SEED, **params)
-    return Pipeline(stages=_preparation(features, location, label) + [learner]).fit(train)
+    return _fit_prepared(train, features, label, location, learner, *([] if validation is None else ["_validation"]))
 
 
 def train_poisson(train: DataFrame, features: Sequence[str], label: str, location: str | None = None,
@@ -124,7 +187,7 @@ def train_poisson(train: DataFrame, features: Sequence[str], label: str, locatio
     """Poisson objective on counts with log link."""
     learner = GeneralizedLinearRegression(labelCol=label, family="poisson", link="log",
                                           **{"regParam": 0.01, "maxIter": 25, **params})
-    return Pipeline(stages=_preparation(features, location, label) + [learner]).fit(train)
+    return _fit_prepared(train, features, label, location, learner)
 
 
 def train_boosted_poisson(train: DataFrame, features: Sequence[str], label: str, location: str | None = None,

@@ -118,3 +118,17 @@ def test_contributions_of_fitted_trees_add_up(counts):
         for r in out.collect():
             score = math.log(r.prediction) if name == "poisson" else r.prediction
             assert r.base_value + sum(r[c] for c in parts) == pytest.approx(score, abs=1e-9)
+
+
+def test_locations_are_joined_not_compared_one_by_one(spark):
+    """As many locations as rows: the prepared rows carry no branch per location."""
+    df = spark.range(3000).select(F.concat(F.lit("L"), "id").alias("loc"), (F.col("id") % 7).cast("double").alias("f"),
+                                  (F.col("id") % 5).alias("n"))
+    fitted = m.train_poisson(df, ["f"], "n", "loc")
+    done = fitted.transform(df)
+    assert len(done._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    mean = df.agg(F.avg("n")).first()[0]
+    for r in done.limit(50).collect():
+        assert r["location_effect"] == pytest.approx(r["n"] / 11 + mean * 10 / 11)
+    new = spark.createDataFrame([("new", 1.0), (None, 1.0)], "loc string, f double")
+    assert [r["location_effect"] for r in fitted.transform(new).collect()] == [pytest.approx(mean)] * 2
