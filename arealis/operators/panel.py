@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar as cal
+from .skew import task_count
 
 MONTH_COLUMNS = ["year", "month", "month_sin", "month_cos", "time_index_norm"]
 
@@ -51,6 +52,9 @@ def densify_grid(df: DataFrame, location: str = "loc", count: str = "count", *,
     months, and the month axis (a scalar subquery whose size is bounded by the
     calendar) is exploded against it. The grid therefore needs no join at all, and
     it leaves partitioned by location, which is what the window features require.
+    A counted map becomes as many rows as there are months, which no statistics of the
+    shuffle before it show: a grid of more rows than ``TASK_ROWS`` a core is dealt out in
+    partitions of about that many, and these are not merged.
 
     By default only months seen somewhere in the data appear; ``calendar=True``
     also fills months that are absent everywhere (it needs the columns of
@@ -59,6 +63,11 @@ def densify_grid(df: DataFrame, location: str = "loc", count: str = "count", *,
     cols = month_columns or [c for c in MONTH_COLUMNS if c in df.columns]
     counts = count_by(df, location, "year", "month", count=count, weight=weight)
     key = cal.month_index(F.col("year"), F.col("month"))
+    months = F.max(key) - F.min(key) + 1 if calendar else F.approx_count_distinct(key)
+    rows = df.agg(F.approx_count_distinct(location) * months).first()[0] or 0
+    parts = task_count(df.sparkSession, rows)
+    if parts > df.sparkSession.sparkContext.defaultParallelism:
+        counts = counts.repartition(parts, location)
     observed = counts.groupBy(location).agg(
         F.map_from_entries(F.collect_list(F.struct(key, F.col(count)))).alias("_observed"))
     if calendar:

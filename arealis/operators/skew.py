@@ -6,26 +6,36 @@ import math
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from ..session import cut_lineage
 
+#: Rows that one task sorts or gathers.
+TASK_ROWS = 500_000
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many rows: ``TASK_ROWS`` each, one per core at least."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+
 
 def is_small(df: DataFrame, limit: int) -> bool:
     """True if ``df`` has at most ``limit`` rows; reads no more than limit + 1 of them."""
     return df.limit(limit + 1).count() <= limit
 
 
-def numbered_rows(df: DataFrame, group: Sequence[str], order: str, out: str,
+def numbered_rows(df: DataFrame, group: Sequence[str], order: str | Sequence[str], out: str,
                   size: str | None = None) -> DataFrame:
     """Exact 1-based ordinal of each row in its group, without one task per group.
 
-    ``order`` is a unique number. The rows are range-partitioned by group and order, by
-    counted samples, so that a group of any size and with any values is spread over as
-    many partitions as its rows need. Each partition is numbered as it is sorted, and the
-    rows of the group in the partitions before are added.
+    ``order`` is a unique number, or columns that tell the rows apart. The rows are
+    range-partitioned by group and order, by counted samples, so that a group of any size
+    and with any values is spread over as many partitions as its rows need. Each partition
+    is numbered as it is sorted, and the rows of the group in the partitions before are added.
     """
-    placed = cut_lineage(df.repartitionByRange(*group, order).sortWithinPartitions(*group, order)
+    keys = [*group, *([order] if isinstance(order, str) else order)]
+    parts = task_count(df.sparkSession, df.count())
+    placed = cut_lineage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
                          .withColumn("_id", F.monotonically_increasing_id())
                          .withColumn("_part", F.shiftright("_id", 33)))
     per_part = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.functions import calendar as cal
-from arealis.operators import demographics as demo, panel as p
+from arealis.operators import demographics as demo, panel as p, skew
 from arealis.plans.feature_table import base_panel
 
 
@@ -67,3 +67,13 @@ def test_extrapolation_before_and_after(spark):
     assert got[("a", 2010)]["population"] == 98             # 97.5
     assert got[("a", 2014)]["population_density"] == pytest.approx(13.0)
     assert got[("b", 2014)]["population"] is None           # one year has no slope
+
+
+def test_a_large_grid_is_dealt_out_by_its_rows(spark, monkeypatch):
+    """Not by the few bytes of the counts that it is made of."""
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    events = spark.range(900).select((F.col("id") % 300).cast("string").alias("loc"), F.concat(
+        F.lit("2020-0"), (1 + F.col("id") % 8).cast("string")).alias("Month"))
+    grid = p.densify_grid(p.normalize_time(events), "loc", "n")
+    assert grid.agg(F.count("*"), F.sum("n")).first()[:] == (2400, 900)
+    assert grid.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 400
