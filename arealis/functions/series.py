@@ -108,11 +108,15 @@ def ewm_inner(x: Column, span: int, t: Column, block: int, inner: WindowSpec) ->
     rows (row ``j`` of it), that is ``r^j * cumulative sum(a * x_i / r^i)``: one running
     sum, O(1) per row. ``inner`` is the window of one block.
     """
+    total = F.sum(ewm_term(x, span, t, block)).over(inner.rowsBetween(Window.unboundedPreceding, 0))
+    return total * F.pow(F.lit(1.0 - 2.0 / (span + 1)), t % block)
+
+
+def ewm_term(x: Column, span: int, t: Column, block: int) -> Column:
+    """What a row adds to the running sum of its block."""
     alpha = 2.0 / (span + 1)
     r = 1.0 - alpha
-    j = t % block
-    term = x.cast("double") * F.pow(F.lit(1.0 / r), j) * F.when(t == 0, 1.0).otherwise(alpha)
-    return F.sum(term).over(inner.rowsBetween(Window.unboundedPreceding, 0)) * F.pow(F.lit(r), j)
+    return x.cast("double") * F.pow(F.lit(1.0 / r), t % block) * F.when(t == 0, 1.0).otherwise(alpha)
 
 
 def ewm_whole(part: Column, span: int, t: Column, block: int, w: WindowSpec) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import series as s
 from ..functions.scalars import clip_lower
+from ..session import cut_lineage
+from .skew import numbered_rows, task_count
 
 LAGS = (1, 3, 6, 12)
 EWM_SPANS = (6, 12)
@@ -22,8 +24,14 @@ def add_lags(df: DataFrame, location: str, target: str, order: Sequence[str],
 
 
 def add_ewm(df: DataFrame, location: str, target: str, order: Sequence[str],
-            spans: Sequence[int] = EWM_SPANS) -> DataFrame:
-    """Exponential means up to the row before, for series of any length."""
+            spans: Sequence[int] = EWM_SPANS, *, long: bool = False) -> DataFrame:
+    """Exponential means up to the row before, for series of any length.
+
+    One window holds a whole series; ``long`` is for series that a task cannot hold: their
+    rows are numbered in parallel, and a task gathers no more than blocks of them.
+    """
+    if long:
+        return _add_ewm_long(df, location, target, order, spans)
     df, t, block, inner, w = _blocks(df, location, order, spans)
     x = F.col(target)
     df = df.withColumns({f"_p{n}": s.ewm_inner(x, n, t, block, inner) for n in spans})
@@ -32,6 +40,35 @@ def add_ewm(df: DataFrame, location: str, target: str, order: Sequence[str],
     return df.drop("_t", "_block", *[f"_p{n}" for n in spans])
 
 
+def _add_ewm_long(df: DataFrame, location: str, target: str, order: Sequence[str], spans: Sequence[int]) -> DataFrame:
+    """The parts within the blocks by windows of one block each; what the blocks before have
+    left comes from a table with a row per block."""
+    block, columns = s.ewm_block(spans), df.columns
+    rows = cut_lineage(numbered_rows(df, [location], order, "_t").withColumn("_t", F.col("_t") - 1)
+                       .withColumn("_block", F.floor(F.col("_t") / block)))
+    t, x = F.col("_t"), F.col(target)
+    rest = {n: F.lit(1.0 - 2.0 / (n + 1)) for n in spans}
+    ends = rows.groupBy(F.col(location).alias("_at"), F.col("_block").alias("_b")).agg(
+        *[F.when(F.count("*") == block, F.sum(s.ewm_term(x, n, t, block)) * F.pow(rest[n], F.lit(block - 1))).alias(f"_end{n}")
+          for n in spans])
+    along = Window.partitionBy("_at").orderBy("_b")
+    ends = ends.withColumns({f"_left{n}": F.coalesce(F.last(f"_end{n}", True).over(
+        along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) for n in spans})
+    ends = ends.withColumns({f"_first{n}": F.lag(F.col(f"_end{n}") + F.col(f"_left{n}") * F.pow(rest[n], F.lit(block)), 1).over(along)
+                             for n in spans})
+    ends = cut_lineage(ends.drop(*[f"_end{n}" for n in spans]))
+    parts = task_count(df.sparkSession, rows.count())
+    inner = Window.partitionBy(location, "_block").orderBy("_t")
+    placed = rows.repartition(parts, location, "_block")
+    placed = placed.withColumns({f"_p{n}": s.ewm_inner(x, n, t, block, inner) for n in spans})
+    placed = placed.withColumns({f"_p{n}": F.lag(f"_p{n}", 1).over(inner) for n in spans})
+    j = t % block
+    whole = {f"{target}_ewm_{n}": F.when(j == 0, F.col(f"_first{n}")).otherwise(
+        F.col(f"_p{n}") + F.col(f"_left{n}") * F.pow(rest[n], j)) for n in spans}
+    on = F.col(location).eqNullSafe(F.col("_at")) & (F.col("_block") == F.col("_b"))
+    return placed.join(ends, on).select(*columns, *[c.alias(name) for name, c in whole.items()])
+
+
 def add_tema(df: DataFrame, location: str, target: str, order: Sequence[str],
              span: int = TEMA_SPAN) -> DataFrame:
     df, t, block, inner, w = _blocks(df, location, order, (span,))

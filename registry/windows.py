@@ -73,7 +73,7 @@ def ewm_mean_long_series(spark, sf):
     """Three series of many thousand rows each."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     d = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("loc"), *order, F.col("l_quantity").alias("x"))
-    d = t.add_ewm(d, "loc", "x", order)
+    d = t.add_ewm(d, "loc", "x", order, long=True)
     return d.select("loc", "l_orderkey", "l_linenumber", r6("x_ewm_6", "x_ewm_6"), r6("x_ewm_12", "x_ewm_12"))
 
 

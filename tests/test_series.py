@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.functions import series as s
-from arealis.operators import temporal as t
+from arealis.operators import skew, temporal as t
 
 SERIES = {
     "constant": [3] * 30,
@@ -129,3 +129,19 @@ def test_period_and_weights():
         s.wma(F.col("x"), 0, s.series_window("loc", "t"))
     assert s.repeat_weight(0) == 0.0
     assert s.repeat_weight(1) == pytest.approx(0.088)
+
+
+@pytest.mark.parametrize("span", [6])
+def test_long_series_are_spread_over_tasks(spark, span, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 700)
+    n = 7000
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, "a").alias("loc"), F.col("id").cast("int").alias("i"),
+                               (F.col("id") * 7 % 11).cast("long").alias("n"))
+    got = t.add_ewm(df, "loc", "n", ["i"], (span,), long=True).withColumn("part", F.spark_partition_id())
+    assert got.groupBy("part").count().agg(F.max("count")).first()[0] < n / 2
+    rows = {r["i"]: r[f"n_ewm_{span}"] for r in got.collect()}
+    for first in (0, 1):
+        own = range(first, n, 2)
+        exact = ewm([i * 7 % 11 for i in own], span)
+        assert rows[first] is None
+        assert all(abs(rows[i] - exact[k - 1]) < 1e-9 for k, i in enumerate(own) if k)
