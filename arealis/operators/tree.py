@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import calendar as cal
+from ..session import cut_lineage
+from .skew import task_count
 
 AREA_COLUMNS = ["lad", "lad_name", "ward", "ward_name", "loc", "loc_name"]
 
@@ -115,9 +117,11 @@ def nest_points(events: DataFrame, location: str, month: str, lon: str, lat: str
     Equal points are counted before anything is gathered. A location with more than
     ``max_points`` points is spread over parts (a point repeated very often over
     several of them), each part carrying whole totals, so no row or group grows with
-    the hottest location; together the parts hold every point.
+    the hottest location; together the parts hold every point. Nested points are small
+    while they travel: the tasks are as many as the events need, and not merged.
     """
-    points = events.groupBy(location, month, lon, lat).agg(F.count("*").alias("_n"))
+    tasks = task_count(events.sparkSession, events.count())
+    points = cut_lineage(events.groupBy(location, month, lon, lat).agg(F.count("*").alias("_n")))
     totals = points.groupBy(location).agg(
         F.sum("_n").alias("total_burglary_count"),
         F.sort_array(F.collect_set(month)).alias("months_with_data"))
@@ -130,12 +134,12 @@ def nest_points(events: DataFrame, location: str, month: str, lon: str, lat: str
               .withColumn("_copies", F.least(F.lit(max_points),
                                              F.col("_n") - F.col("_chunk") * max_points).cast("int")))
     point = F.struct(F.col(lon).alias("longitude"), F.col(lat).alias("latitude"))
-    monthly = spread.groupBy(location, "part", month).agg(
+    monthly = spread.repartition(tasks, location, "part").groupBy(location, "part", month).agg(
         F.flatten(F.collect_list(F.array_repeat(point, F.col("_copies")))).alias("_points"))
     nested = monthly.groupBy(location, "part").agg(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct(F.col(month).alias("key"), F.col("_points").alias("value")))))
         .alias("burglaries_by_month"))
-    return nested.join(totals, location)
+    return nested.repartition(tasks, location).join(totals, location)
 
 
 def attach(areas: DataFrame, payload: DataFrame, location: str = "loc") -> DataFrame:

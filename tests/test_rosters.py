@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from arealis.operators import allocate as al, dashboard as dash, tree
+from arealis.operators import allocate as al, dashboard as dash, skew, tree
 from arealis.plans import roster as plan
 from arealis.sources import readers, sinks
 
@@ -133,3 +133,12 @@ def test_roster_files(spark, tmp_path):
                          "prediction_score", "officers_assigned"]
     assert h.columns == d.columns[:-1] + ["hour_block", "officers_assigned"]
     assert d.count() == 2 and h.count() == 48
+
+
+def test_nested_points_are_dealt_out_by_the_events(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    df = spark.range(2000).select((F.col("id") % 400).alias("loc"), F.lit("2020-01").alias("month"),
+                                  F.col("id").cast("double").alias("lon"), F.lit(51.0).alias("lat"))
+    parts = tree.nest_points(df, "loc", "month", "lon", "lat").groupBy(F.spark_partition_id()).agg(
+        F.sum(F.size(F.col("burglaries_by_month")["2020-01"])).alias("n")).collect()
+    assert sum(r["n"] for r in parts) == 2000 and max(r["n"] for r in parts) <= 400
