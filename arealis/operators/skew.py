@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
@@ -56,67 +55,60 @@ def numbered_rows(df: DataFrame, group: Sequence[str], order: str | Sequence[str
                          *[f"_g{i}" for i in range(len(group))])
 
 
-#: Relative error of a quantile sketch is 1 / ACCURACY; values of one bracket that the driver takes.
-ACCURACY, BRACKET, GRID = 20_000, 1 << 16, 512
+#: Bins that a read divides a bracket into, on a linear and on a logarithmic scale; values of one bracket that the driver takes.
+ACCURACY, GRID, BRACKET = 20_000, 512, 1 << 16
 
 
 class _Search:
-    """Bracket of the order statistics of one column around ``ranks`` (of its finite values)."""
-
-    def __init__(self, column: int, ranks: tuple[int, ...], low: float, high: float, inside: float):
-        self.column, self.ranks, self.low, self.high = column, ranks, low, high
-        #: Upper bound of the number of values strictly between the ends.
-        self.inside = inside
-        self.found: dict[int, float] = {}
-
-    @property
-    def collects(self) -> bool:
-        return self.inside <= BRACKET
-
-    def aggregates(self, x: Column, j: int) -> list[Column]:
-        between = F.when((x > self.low) & (x < self.high), x)
-        part = F.sort_array(F.collect_list(between)) if self.collects else F.percentile_approx(
-            between, [i / GRID for i in range(GRID + 1)], ACCURACY)
-        return [F.count(F.when(x < self.low, 1)).alias(f"below{j}"), F.count(F.when(x == self.low, 1)).alias(f"low{j}"),
-                F.count(between).alias(f"inside{j}"), F.count(F.when(x == self.high, 1)).alias(f"high{j}"),
-                part.alias(f"part{j}")]
-
-    def narrow(self, row: Row, j: int) -> list[_Search]:
-        """Takes a counted pass; gives back the searches that are still to be made."""
-        first = row[f"below{j}"] + row[f"low{j}"]
-        inside, part = row[f"inside{j}"], row[f"part{j}"]
-        rest = []
-        for r in self.ranks:
-            if row[f"below{j}"] <= r < first:
-                self.found[r] = self.low
-            elif first <= r < first + inside:
-                if self.collects:
-                    self.found[r] = part[r - first]
-                    continue
-                share, slack = (r - first) / inside, 2 / ACCURACY
-                a = math.floor((share - slack) * GRID)
-                b = math.ceil((share + slack) * GRID)
-                rest.append(_Search(self.column, (r,), part[a] if a >= 0 else self.low,
-                                    part[b] if b <= GRID else self.high, inside * ((b - a) / GRID + 2 * slack) + 2))
-            elif first + inside <= r < first + inside + row[f"high{j}"]:
-                self.found[r] = self.high
-            else:  # the sketch missed its bound
-                low, high = (-sys.float_info.max, self.low) if r < first else (self.high, sys.float_info.max)
-                rest.append(_Search(self.column, (r,), low, high, float("inf")))
+    """A run of the finite values of one column in order, ``low`` to ``high`` (both in the data),
+    that holds the wanted ``ranks``; ``before`` values come before it."""
+
+    def __init__(self, column: int, ranks: Sequence[int], low: float, high: float, before: int, inside: int,
+                 wide: bool = False):
+        self.column, self.ranks, self.low, self.high = column, list(ranks), low, high
+        self.before, self.inside = before, inside
+        #: Divide on a logarithmic scale: most values of a linear division were in one bin.
+        self.wide = wide
+
+    def holds(self, x: Column) -> Column:
+        return (x >= self.low) & (x <= self.high)
+
+    def bin(self, x: Column) -> Column:
+        """Number that never falls as x grows."""
+        bins, (at, first, last) = ACCURACY, (x, self.low, self.high)
+        if self.wide:
+            unit = max(max(abs(self.low), abs(self.high)) * 1e-300, 5e-324)
+            log = [math.copysign(math.log1p(abs(v) / unit), v) for v in (self.low, self.high)]
+            if log[0] < log[1]:
+                bins, (first, last) = GRID, log
+                at = F.signum(x) * F.log1p(F.abs(x) / unit)
+        if math.isinf(last - first):
+            at, first, last = at / 2, first / 2, last / 2
+        return F.least(F.greatest(F.floor((at - first) / (last - first) * bins), F.lit(0)), F.lit(bins - 1))
+
+    def narrow(self, rows: list[Row], found: dict[tuple[int, int], float]) -> list[_Search]:
+        """Takes the counted bins; gives back the searches that are still to be made."""
+        rest, start = [], self.before
+        for row in sorted(rows, key=lambda r: r["bin"]):
+            ranks = [r for r in self.ranks if start <= r < start + row["n"]]
+            if ranks and row["low"] == row["high"]:
+                found.update({(self.column, r): row["low"] for r in ranks})
+            elif ranks:
+                rest.append(_Search(self.column, ranks, row["low"], row["high"], start, row["n"],
+                                    not self.wide and row["n"] > self.inside / 16))
+            start += row["n"]
         return rest
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles with bounded memory, in two reads of ``df`` for up to 10^8 rows.
-
-    Built-in exact percentiles keep every distinct value of a group in one task. Here a
-    first read makes a mergeable sketch per column, which brackets every wanted rank
-    by two values of the data. A second read counts what is below each bracket and
-    brings what lies strictly between its ends, which is a known small part of the rows
-    however often a value repeats, to the driver. Where that part exceeds ``BRACKET`` values,
-    it is sketched instead, and another read is made of a bracket some 200 times narrower.
-    The counts prove every result. Infinities and NaN, which sorts last, are counted once
-    and take their ranks.
+    """Exact interpolated quantiles with bounded memory, in a few reads of ``df``.
+
+    Built-in exact percentiles keep every distinct value of a group in one task, and sketches
+    sort what they read. Here a first read counts and takes the ends of every column; the next
+    counts the values in equal bins between them, with the ends of each bin. A bin that
+    holds a wanted rank is divided again, until it is one value, however often repeated, or at
+    most ``BRACKET`` values, which the last read brings to the driver. Infinities and NaN, which
+    sorts last, are counted once and take their ranks.
     """
     cols = list(columns)
     inf = float("inf")
@@ -125,15 +117,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         x = F.col(c).cast("double")
         return F.when(~F.isnan(x) & (x > -inf) & (x < inf), x)
 
-    slack = 3 / ACCURACY
-    around = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
     stats = df.agg(F.lit(1).alias("one"), *[f for i, c in enumerate(cols) for f in (
         F.count(c).alias(f"n{i}"), F.count(F.when(F.col(c).cast("double") == -inf, 1)).alias(f"low{i}"),
         F.count(finite(c)).alias(f"mid{i}"), F.count(F.when(F.col(c).cast("double") == inf, 1)).alias(f"high{i}"),
-        F.percentile_approx(finite(c), around or [0.5], ACCURACY).alias(f"cuts{i}"),
         F.min(finite(c)).alias(f"min{i}"), F.max(finite(c)).alias(f"max{i}"))]).first()
 
     found: dict[tuple[int, int], float] = {}  # (column, rank) -> value
+    inner: dict[tuple[int, int], float] = {}  # the same with ranks among the finite values
     wanted: dict[int, list[tuple[int, int, float]]] = {}
     search: list[_Search] = []
     for i in range(len(cols)):
@@ -141,36 +131,40 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         if not n:
             continue
         wanted[i] = []
-        for j, p in enumerate(probs):
+        ranks = set()
+        for p in probs:
             at = p * (n - 1)
             low = int(at)
             high = low + 1 if at > low else low
             wanted[i].append((low, high, at - low))
-            ranks = []
-            for rank in sorted({low, high}):
+            for rank in {low, high}:
                 if rank < first:
                     found[i, rank] = -inf
                 elif rank in (first, first + mid - 1) and mid:
                     found[i, rank] = stats[f"min{i}"] if rank == first else stats[f"max{i}"]
                 elif rank < first + mid:
-                    ranks.append(rank - first)
+                    ranks.add(rank - first)
                 else:
                     found[i, rank] = inf if rank < first + mid + stats[f"high{i}"] else float("nan")
-            if not ranks:
-                continue
-            if n == mid and n > BRACKET:
-                a, b = stats[f"cuts{i}"][2 * j:2 * j + 2]
-                search.append(_Search(i, tuple(ranks), a if p > slack else stats[f"min{i}"],
-                                      b if p < 1 - slack else stats[f"max{i}"], 3 * slack * n + 4))
-            else:  # few values, or infinities among which the share of a rank differs: from the ends
-                search.append(_Search(i, tuple(ranks), stats[f"min{i}"], stats[f"max{i}"], mid))
+        if ranks:
+            search.append(_Search(i, sorted(ranks), stats[f"min{i}"], stats[f"max{i}"], 0, mid))
+    few: list[_Search] = []
     while search:
-        open_ = [s for s in search if len(s.found) < len(s.ranks)]
-        row = df.agg(*[f for j, s in enumerate(open_) for f in s.aggregates(finite(cols[s.column]), j)]).first() if open_ else None
-        rest = [new for j, s in enumerate(open_) for new in s.narrow(row, j)]
-        for s in search:
-            found.update({(s.column, r + stats[f"low{s.column}"]): v for r, v in s.found.items()})
-        search = rest
+        few += [s for s in search if s.inside <= BRACKET or s.low == s.high]
+        search = [s for s in search if s.inside > BRACKET and s.low < s.high]
+        if search:
+            marks = [F.when(s.holds(x), F.struct(F.lit(j).alias("j"), s.bin(x).alias("bin"), x.alias("x")))
+                     for j, s in enumerate(search) for x in [finite(cols[s.column])]]
+            counted = df.select(F.explode(F.array(*marks)).alias("e")).filter("e IS NOT NULL").groupBy(
+                "e.j", "e.bin").agg(F.count("*").alias("n"), F.min("e.x").alias("low"), F.max("e.x").alias("high")).collect()
+            search = [new for j, s in enumerate(search) for new in s.narrow([r for r in counted if r["j"] == j], inner)]
+    many = [s for s in few if s.low < s.high]
+    row = df.agg(*[F.sort_array(F.collect_list(F.when(s.holds(x), x))) for s in many for x in [finite(cols[s.column])]]
+                 ).first() if many else ()
+    for s, values in zip(many, row):
+        inner.update({(s.column, r): values[r - s.before] for r in s.ranks})
+    inner.update({(s.column, r): s.low for s in few if s.low == s.high for r in s.ranks})
+    found.update({(i, r + stats[f"low{i}"]): v for (i, r), v in inner.items()})
 
     result: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):

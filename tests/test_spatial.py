@@ -160,3 +160,28 @@ def test_colocated_and_histogram(spark):
     assert got == {1: (1, 2), 2: (2, 2), 3: (1, 1)}
     bins = {r["bin"]: r["n"] for r in sp.distance_histogram(df, "lat", 4).collect()}
     assert bins == {0: 2, 3: 1}
+
+
+def test_quantiles_of_any_scale_without_sketches(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BRACKET", 16)
+    monkeypatch.setattr(F, "percentile_approx", None)
+    rng = random.Random(3)
+    values = [rng.choice((-1, 1)) * 10.0 ** rng.uniform(-300, 300) for _ in range(800)] + [0.0] * 100 + [1.7e308, -1.7e308]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = (0.01, 0.2, 0.5, 0.7, 0.95)
+    got = exact_quantiles(df, ["v"], probs)["v"]
+    ordered = sorted(values)
+    for q, v in zip(probs, got):
+        at = q * (len(values) - 1)
+        assert ordered[int(at)] <= v <= ordered[int(at) + 1]
+
+
+def test_rows_without_neighbours_take_no_part_in_the_join(spark):
+    panel = spark.range(60).select((F.col("id") % 20).alias("loc"), F.lit(2020).alias("year"),
+                                   (F.floor(F.col("id") / 20) + 1).cast("int").alias("month"), F.col("id").alias("n"))
+    edges = spark.createDataFrame([(1, 2, 0.5, 1), (1, 99, 0.7, 2)], "location long, neighbor long, distance double, neighbor_rank int")
+    got = sp.neighbor_self_join(panel, edges, "loc", "n")
+    assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted((r.loc, r.month, r.neighbor or 0, r.n_neighbor) for r in got.collect())
+    assert len(rows) == 63
+    assert [r for r in rows if r[0] == 1] == [(1, m, k, 20 * (m - 1) + 2 if k == 2 else None) for m in (1, 2, 3) for k in (2, 99)]
