@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import geo
 from ..functions.scalars import let
 from ..session import cut_lineage
-from .skew import is_small, numbered_rows
+from .skew import is_small, numbered_rows, task_count
 
 #: Places that a leaf of the split tree holds about; parts that one level cuts a cell into at most.
 LEAF, PARTS = 32, 256
@@ -232,12 +232,21 @@ def nearest_station(points: DataFrame, lat: str, lon: str, stations: DataFrame,
 
 
 def neighbor_self_join(panel: DataFrame, edges: DataFrame, location: str, target: str) -> DataFrame:
-    """Panel rows with each neighbour's count of the same month (NULL where absent)."""
+    """Panel rows with each neighbour's count of the same month (NULL where absent).
+
+    Rows of locations without neighbours, often most of the panel, take no part in the join:
+    their empty key would bring each month of them to one task.
+    """
+    panel = cut_lineage(panel)
     links = edges.select(F.col("location").alias(location), "neighbor", "distance", "neighbor_rank")
     other = panel.select(F.col(location).alias("neighbor"), "year", "month",
                          F.col(target).alias(f"{target}_neighbor"))
-    return (panel.join(links, location, "left")
-            .join(other, ["neighbor", "year", "month"], "left"))
+    linked = panel.join(links, location)
+    tasks = task_count(panel.sparkSession, panel.count() + linked.count())
+    keys = ["neighbor", "year", "month"]
+    found = linked.repartition(tasks, *keys).join(other, keys, "left")
+    alone = panel.join(links, location, "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def add_neighbor_features(panel: DataFrame, edges: DataFrame, location: str = "loc",
