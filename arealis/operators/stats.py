@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.local_lines import local_lines
 from ..session import cut_lineage
 from ..ship import map_arrow
-from .skew import numbered_rows
+from .skew import numbered_rows, task_count
 
 
 def pearson(df: DataFrame, x: str, y: str, out: str = "corr") -> DataFrame:
@@ -198,8 +198,10 @@ def lowess(df: DataFrame, series: str, x: str, y: str, frac: float = 0.10, itera
                      F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
     real = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) != float("inf")) for c in ("_x", "_y")]
     fit = F.coalesce(real[0] & real[1], F.lit(False))
-    rows = cut_lineage(numbered_rows(base.withColumn("_fit", fit), ["_series", "_fit"], "_x", "_pos", "_n"))
+    rows = cut_lineage(numbered_rows(cut_lineage(base.withColumn("_fit", fit)), ["_series", "_fit"], "_x", "_pos", "_n"))
     known = rows.filter("_fit")
+    # Numbers pack tightly on their way: the tasks are as many as the rows need, and not merged.
+    tasks = task_count(df.sparkSession, rows.count())
     k = F.floor(F.col("_n") * float(frac) + 1e-10).cast("bigint")
     wide = F.greatest(F.lit(chunk).cast("bigint"), 2 * F.col("_k"))
     state = known.select("_series", "_pos", "_n", "_x", "_y", F.lit(1.0).alias("_r")).withColumn("_k", k)
@@ -208,14 +210,14 @@ def lowess(df: DataFrame, series: str, x: str, y: str, frac: float = 0.10, itera
         dealt = state.withColumn("_wide", wide).select("*", F.explode(F.sequence(
             F.floor(F.greatest(at - F.col("_k"), F.lit(0)) / F.col("_wide")),
             F.floor(F.least(at + F.col("_k"), F.col("_n") - 1) / F.col("_wide")))).alias("_chunk"))
-        placed = dealt.repartition("_series", "_chunk").sortWithinPartitions("_series", "_chunk", "_pos")
+        placed = dealt.repartition(tasks, "_series", "_chunk").sortWithinPartitions("_series", "_chunk", "_pos")
         fitted = map_arrow(placed.select("_series", "_chunk", "_pos", "_x", "_y", "_r", "_k", "_wide"), _fit_chunks(), T.StructType([
             rows.schema["_series"], T.StructField("_pos", T.LongType()), T.StructField("_smooth", T.DoubleType())]))
         fitted = cut_lineage(fitted.withColumnsRenamed({"_series": "_s", "_pos": "_p"}))
         own = F.col("_series").eqNullSafe(F.col("_s")) & (F.col("_pos") == F.col("_p"))
         if step == iterations:
-            return rows.join(fitted, own & F.col("_fit"), "left").select("_row.*", F.col("_smooth").alias(out))
-        state = cut_lineage(state.join(fitted, own).withColumn("_gap", F.abs(F.col("_y") - F.col("_smooth"))))
+            return rows.repartition(tasks, "_series", "_pos").join(fitted, own & F.col("_fit"), "left").select("_row.*", F.col("_smooth").alias(out))
+        state = cut_lineage(state.repartition(tasks, "_series", "_pos").join(fitted, own).withColumn("_gap", F.abs(F.col("_y") - F.col("_smooth"))))
         scales = state.groupBy(F.col("_series").alias("_s2")).agg((6 * F.percentile("_gap", F.lit(0.5))).alias("_scale"))
         u = F.try_divide(F.col("_gap"), F.col("_scale"))
         robust = F.when(u >= 0.999, 0.0).when(u <= 0.001, 1.0).otherwise(F.coalesce(F.pow(1 - u * u, 2), F.lit(1.0)))
