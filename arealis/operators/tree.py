@@ -8,15 +8,18 @@ data becomes several mergeable rows instead of one oversized row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import calendar as cal
 from ..session import cut_lineage
 from .skew import task_count
 
 AREA_COLUMNS = ["lad", "lad_name", "ward", "ward_name", "loc", "loc_name"]
+#: Values (entries of maps and arrays) that a row of the tree holds, on average over the parts of a borough.
+MAX_CELLS = 1_000_000
 
 
 def area_table(df: DataFrame, allowed: DataFrame | None = None, location: str = "loc") -> DataFrame:
@@ -55,20 +58,49 @@ def tree_schema(entry: T.StructType | None = None) -> T.MapType:
     return T.MapType(text, lad)
 
 
+def _cells(value: Column, kind: T.DataType) -> Column | None:
+    """Number of values in the maps and arrays of ``value``; None if its type has none."""
+    if isinstance(kind, T.StructType):
+        parts = [_cells(value[f.name], f.dataType) for f in kind.fields]
+        parts = [p for p in parts if p is not None]
+        return sum(parts[1:], parts[0]) if parts else None
+    if not isinstance(kind, T.MapType | T.ArrayType):
+        return None
+    inner = kind.valueType if isinstance(kind, T.MapType) else kind.elementType
+    own = F.coalesce(F.when(value.isNotNull(), F.size(value)), F.lit(0)).cast("bigint")
+    if not isinstance(inner, T.MapType | T.ArrayType):
+        return own
+    items = F.map_values(value) if isinstance(kind, T.MapType) else value
+    return own + F.coalesce(F.aggregate(items, F.lit(0).cast("bigint"), lambda a, v: a + _cells(v, inner)), F.lit(0))
+
+
+def content_tasks(df: DataFrame, cells: int, max_cells: int = MAX_CELLS) -> int:
+    """Tasks for nested content of so many values, one per core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(cells / max_cells))
+
+
 def nest_hierarchy(areas: DataFrame, payload: Sequence[str] = (), max_areas: int = 5000, *,
-                   split: str | None = None) -> DataFrame:
+                   split: str | None = None, max_cells: int = MAX_CELLS) -> DataFrame:
     """Long area rows -> (lad, part, tree).
 
-    A borough with up to ``max_areas`` areas is one row. A larger one is cut into
-    parts by a hash of the area code; each part is a valid document of its own, and
-    the document of the borough is the union of its parts. ``split`` names a column that
-    numbers several rows of one area: each number has parts of its own.
+    A borough with up to ``max_areas`` areas, whose payload comes to ``max_cells`` values at
+    most, is one row. A larger one is cut into parts by a hash of the area code; each part
+    is a valid document of its own, and the document of the borough is the union of its
+    parts. ``split`` names a column that numbers several rows of one area: each number has
+    parts of its own. Nested content is small while it travels: with a payload the tasks are
+    as many as the values need, and not merged.
     """
-    sizes = areas.groupBy("lad").agg(F.count("*").alias("_size"))
-    parts = F.ceil(F.col("_size") / max_areas)
+    cells = [c for c in (_cells(F.col(f.name), f.dataType) for f in areas.schema if f.name in payload) if c is not None]
+    amount = F.sum(sum(cells[1:], cells[0])) if cells else F.lit(0).cast("bigint")
+    sizes = areas.groupBy("lad").agg(F.count("*").alias("_size"), amount.alias("_cells"))
+    if cells:
+        sizes = cut_lineage(sizes)
+    parts = F.greatest(F.ceil(F.col("_size") / max_areas), F.ceil(F.col("_cells") / max_cells))
     cut = areas.join(sizes, "lad").withColumn(
         "part", (F.pmod(F.xxhash64("loc"), parts) + (parts * F.coalesce(F.col(split), F.lit(0)) if split else 0))
-        .cast("int"))
+        .cast("int")).drop("_size", "_cells")
+    if cells:
+        cut = cut.repartition(content_tasks(areas, sizes.agg(F.sum("_cells")).first()[0] or 0, max_cells), "lad", "part")
     entry = F.struct(F.col("loc_name").alias("name"), *[F.col(c) for c in payload])
     wards = cut.groupBy("lad", "part", "ward").agg(
         F.min("lad_name").alias("_lad_name"), F.min("ward_name").alias("_name"),
@@ -89,11 +121,12 @@ def nest_hierarchy(areas: DataFrame, payload: Sequence[str] = (), max_areas: int
 
 def flatten_tree(df: DataFrame, tree: str = "tree") -> DataFrame:
     """Tree rows -> one row per area with its entry struct (codes as text)."""
-    lads = df.select(F.explode(tree).alias("lad", "_l"))
-    wards = lads.select("lad", F.col("_l.name").alias("lad_name"),
-                        F.explode("_l.wards").alias("ward", "_w"))
-    return wards.select("lad", "lad_name", "ward", F.col("_w.name").alias("ward_name"),
-                        F.explode("_w.lsoas").alias("loc", "entry")).withColumn(
+    lads = df.select(F.explode(tree).alias("lad", "_l")).select(
+        "lad", F.col("_l.name").alias("lad_name"), F.col("_l.wards").alias("_wards"))
+    # Names are taken out first: a row of the next level does not carry the whole one above it.
+    wards = lads.select("lad", "lad_name", F.explode("_wards").alias("ward", "_w")).select(
+        "lad", "lad_name", "ward", F.col("_w.name").alias("ward_name"), F.col("_w.lsoas").alias("_lsoas"))
+    return wards.select("lad", "lad_name", "ward", "ward_name", F.explode("_lsoas").alias("loc", "entry")).withColumn(
         "loc_name", F.col("entry.name"))
 
 
@@ -143,8 +176,11 @@ def nest_points(events: DataFrame, location: str, month: str, lon: str, lat: str
 
 
 def attach(areas: DataFrame, payload: DataFrame, location: str = "loc") -> DataFrame:
-    """Left join of a per-location payload: areas without one keep NULL."""
-    return areas.join(payload, location, "left")
+    """Left join of a per-location payload: areas without one keep NULL.
+
+    Nested content is larger than the statistics say, so it is not broadcast.
+    """
+    return areas.join(payload.hint("merge"), location, "left")
 
 
 def integrate_all(areas: DataFrame, predictions: DataFrame, history: DataFrame,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import calendar as cal
 from ..operators import allocate, tree
+from ..session import cut_lineage
 from ..sources import sinks
 
 
@@ -25,9 +26,14 @@ def daily_roster(areas: DataFrame, predictions: DataFrame, months: Sequence[str]
 def integrated_tree(areas: DataFrame, predictions: DataFrame, history: DataFrame,
                     months: Sequence[str] | DataFrame,
                     profile: allocate.HourProfile | None = None) -> DataFrame:
-    """Nested tree with predictions, history and officer assignments of every area."""
+    """Nested tree with predictions, history and officer assignments of every area.
+
+    The hours are filled in where the roster is gathered, in as many tasks as they need.
+    """
+    daily = cut_lineage(daily_roster(areas, predictions, months))
+    tasks = tree.content_tasks(daily, 24 * daily.count())
     roster = allocate.allocate_hourly_remainder(
-        daily_roster(areas, predictions, months), profile or allocate.hour_profile())
+        daily.repartition(tasks, "loc"), profile or allocate.hour_profile())
     full = tree.integrate_all(
         areas, tree.month_map(predictions, "loc", "month_key", "score", "predictions"), history, roster)
     return tree.nest_hierarchy(full, ["predictions", "historical", "officer_assignments"])

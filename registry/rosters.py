@@ -153,15 +153,19 @@ def integrate_all(spark, sf):
     nested = plan.integrated_tree(tree.area_table(s.areas(spark, sf)), scores(spark, sf), history,
                                   months(spark, sf))
     e = F.col("entry")
-    flat = tree.flatten_tree(nested).select("loc", "entry", F.explode(e["officer_assignments"]["daily"])
-                                            .alias("month_key", "daily"))
-    hourly = F.element_at(e["officer_assignments"]["hourly"], F.col("month_key"))
-    return flat.select(
-        "loc", "month_key", "daily",
-        F.aggregate(hourly, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("sum_hourly"),
-        hourly[7].alias("officers_7"),
-        F.coalesce(F.try_element_at(e["historical"], F.col("month_key")), F.lit(0)).alias("historical"),
-        F.try_element_at(e["predictions"], F.col("month_key")).alias("prediction"))
+
+    def month(d):
+        """Values of one month, taken inside the entry: its maps are not copied to a row per month."""
+        hourly = F.element_at(e["officer_assignments"]["hourly"], d["key"])
+        return F.struct(
+            d["key"].alias("month_key"), d["value"].alias("daily"),
+            F.aggregate(hourly, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("sum_hourly"),
+            hourly[7].alias("officers_7"),
+            F.coalesce(F.try_element_at(e["historical"], d["key"]), F.lit(0)).alias("historical"),
+            F.try_element_at(e["predictions"], d["key"]).alias("prediction"))
+
+    entries = F.transform(F.map_entries(e["officer_assignments"]["daily"]), month)
+    return tree.flatten_tree(nested).select("loc", F.explode(entries).alias("m")).select("loc", "m.*")
 
 
 @query("tree_summary", f"""WITH {s.ev_sql()}, {s.AREAS_SQL} SELECT count(DISTINCT lad) AS n_lads, count(DISTINCT ev.loc) AS n_locations,
