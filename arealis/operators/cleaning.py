@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import clean_integer, safe_name
+from .skew import task_count
 
 
 def clean_numeric(df: DataFrame, text_columns: Sequence[str], null_token: str = "-") -> DataFrame:
@@ -57,9 +58,15 @@ def filter_prefix(df: DataFrame, code: str, prefix: str, name: str | None = None
 
 def filter_nonnull_points(df: DataFrame, allowed: DataFrame, location: str, lon: str, lat: str,
                           month: str) -> DataFrame:
-    """Rows with complete coordinates and month at an allowed location."""
-    complete = df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull() & F.col(month).isNotNull())
-    return complete.join(allowed.select(location), location, "left_semi")
+    """Rows with complete coordinates and month at an allowed location.
+
+    The rows are dealt out by location in as many tasks as they need, not merged: grouping
+    points afterwards goes on in these tasks.
+    """
+    complete = df.filter(F.col(location).isNotNull() & F.col(lon).isNotNull() & F.col(lat).isNotNull()
+                         & F.col(month).isNotNull())
+    tasks = task_count(df.sparkSession, df.count())
+    return complete.repartition(tasks, location).join(allowed.select(location), location, "left_semi")
 
 
 def drop_bad_rows(df: DataFrame, columns: Sequence[str],
