@@ -153,13 +153,29 @@ def _likely(least: float):
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows (th, doc_id, text): the text compressed, as the codec of the shuffle gains little on prose."""
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        packed = [press.compress(t.as_buffer()) if t.is_valid else None for t in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-                                         names=["th", "doc_id", "packed"])
+def _bits(named: DataFrame) -> np.ndarray:
+    """A bit for each value of ``own`` modulo their number (a power of two): 16 or more per value, 2^25 at most."""
+    size = 1 << min(max((16 * named.count()).bit_length(), 10), 25)
+    at = F.col("own").bitwiseAND(F.lit(size - 1))
+    found = named.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("word").agg(
+        F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    bits = np.zeros(size >> 6, np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _pack(bits: np.ndarray):
+    """For rows (th, doc_id, text) with the bit of ``th`` set: the text compressed, as the codec of
+    the shuffle gains little on prose. The others stay out of the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) & np.uint64(64 * len(bits) - 1)
+            kept = batch.filter(pa.array((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1))
+            packed = [press.compress(t.as_buffer()) if t.is_valid else None for t in kept.column(2)]
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(packed, pa.binary())],
+                                             names=["th", "doc_id", "packed"])
+    return run
 
 
 def _full_sets(words: int):
@@ -300,10 +316,12 @@ def _confirmed(least: Fraction):
     return run
 
 
-def _texts_of(wanted: DataFrame, sets: DataFrame, packed: DataFrame, words: int) -> DataFrame:
+def _texts_of(wanted: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(no, hashes): the full sets of the numbers in ``wanted``, from one text of each."""
     named = cut_lineage(sets.join(wanted.select("no").distinct(), "no", "left_semi").select(
         "no", "sid", F.col("th").alias("own"), "doc"))
+    packed = map_arrow(texts, _pack(_bits(named)), T.StructType([
+        T.StructField("th", T.LongType()), texts.schema["doc_id"], T.StructField("packed", T.BinaryType())]))
     own = packed.join(named, (F.col("th") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("doc")))
     # The one text of each set may come in several equal rows.
     return cut_lineage(map_arrow(own.select("no", "sid", "packed"), _full_sets(words), "no bigint, hashes binary")
@@ -317,6 +335,27 @@ def _sides(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
     return pairs.select("u", "v", *[f"{c}_{end}" for c in columns for end in ("u", "v")])
 
 
+def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """(key, i, j, side, band, no, n, root, ``columns``): ``rows`` with ``places`` in the groups of their buckets.
+
+    A small bucket is one group (side 2: all its pairs). The sets of a large one are dealt to
+    blocks, those of its main component to blocks of their own, after the others. Every block
+    of the others is a group by itself and one with each block that follows: a pair meets once.
+    """
+    struct = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    part = lambda n: F.pmod(F.xxhash64("no"), n).cast("int")
+    zero, one, two = F.lit(0), F.lit(1), F.lit(2)
+    blocks, mains = F.col("place.blocks"), F.col("place.mains")
+    own, last = part(blocks), blocks + part(mains)
+    slots = F.when(blocks.isNull(), F.array(struct(zero, zero, two))).when(
+        F.col("root") != F.col("place.main"), F.transform(F.sequence(zero, blocks + mains - 1), lambda x: struct(
+            F.least(x, own), F.greatest(x, own), F.when(x == own, two).when(x > own, zero).otherwise(one)))
+    ).otherwise(F.transform(F.sequence(zero, blocks - 1), lambda x: struct(x, last, one)))
+    single = rows.select("no", "n", "root", *columns, F.explode("places").alias("place"))
+    return single.withColumn("at", F.explode(slots)).select(
+        "place.key", "at.*", "place.band", "no", "n", "root", *columns)
+
+
 def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, block: int = BLOCK) -> DataFrame:
     """(no, root) of ``sets`` (no, n, sid, th, doc, regs) that are similar to another one: their components."""
     bands = F.array(*[F.struct(F.xxhash64(F.substring("regs", 2 * BAND_ROWS * i + 1, 2 * BAND_ROWS), F.lit(i)).alias("key"),
@@ -325,14 +364,12 @@ def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, bl
     shared = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("no", "n")).alias("lead"))
                          .filter("m > 1"))
     members = cut_lineage(join_counted(keyed, shared, ["key"], "m"))
-    packed = map_arrow(texts, _pack, T.StructType([
-        T.StructField("th", T.LongType()), texts.schema["doc_id"], T.StructField("packed", T.BinaryType())]))
 
     first = members.filter(F.col("no") != F.col("lead.no")).groupBy("no", "n").agg(F.min("lead").alias("lead"))
     fit = F.least("n", "lead.n") * least.denominator >= F.greatest("n", "lead.n") * least.numerator
     pairs = cut_lineage(first.filter(fit).select(F.col("lead.no").alias("u"), F.col("no").alias("v")))
     likely = cut_lineage(map_arrow(_sides(pairs, sets, "n", "regs"), _likely(float(least)), "u bigint, v bigint"))
-    full = _texts_of(likely.select(F.explode(F.array("u", "v")).alias("no")), sets, packed, words)
+    full = _texts_of(likely.select(F.explode(F.array("u", "v")).alias("no")), sets, texts, words)
     links = cut_lineage(map_arrow(_sides(likely, full, "hashes"), _alike(least), "u bigint, v bigint"))
 
     roots = cut_lineage(components(links).withColumnRenamed("v", "no"))
@@ -340,24 +377,19 @@ def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, bl
     # Only pairs across components are open, and each has an end outside the bucket's largest one.
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("s")).groupBy("key").agg(
         F.sum("s").alias("m"), F.max("s").alias("most"), F.max_by("root", F.struct("s", "root")).alias("main"))
+    large = lambda n: F.when(F.col("m") > block, F.ceil(n / block)).cast("int")
     left = cut_lineage(sizes.filter("most < m").select(
-        "key", "m", "main", F.when(F.col("m") > block, F.ceil((F.col("m") - F.col("most")) / block)).cast("int").alias("rows"),
-        F.when(F.col("m") > block, F.ceil(F.col("m") / block)).cast("int").alias("columns")))
-    now = join_counted(placed, left, ["key"], "m")
-    zero, two = F.lit(0), F.lit(2)
-    at = lambda n: F.pmod(F.xxhash64("no"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(zero, F.col(n) - 1))
-    large = now.filter("rows IS NOT NULL")
-    columns = ["key", "i", "j", "side", "band", "no", "n", "root"]
-    dealt = now.filter("rows IS NULL").withColumns({"i": zero, "j": zero, "side": two}).select(*columns).unionByName(
-        large.filter("root <> main").withColumns({"i": at("rows"), "side": zero}).withColumn("j", every("columns")).select(*columns)
-    ).unionByName(large.withColumns({"j": at("columns"), "side": F.lit(1)}).withColumn("i", every("rows")).select(*columns))
+        "key", "m", "main", large(F.col("m") - F.col("most")).alias("blocks"), large(F.col("most")).alias("mains")))
+    # A set meets its registers, and its full set, once; only then it is dealt out to its groups.
+    places = join_counted(placed, left, ["key"], "m").groupBy("no", "n", "root").agg(
+        F.collect_list(F.struct("key", "band", "main", "blocks", "mains")).alias("places"))
     group = ["key", "i", "j"]
-    rows = dealt.join(sets.select("no", "regs"), "no").select(*columns, "regs")
+    rows = _dealt(places.join(sets.select("no", "regs"), "no"), "regs")
     near = cut_lineage(map_arrow(rows.repartition(*group).sortWithinPartitions(*group, "side"), _with_partner(least),
                                  "key bigint, i int, j int, side int, no bigint, root bigint"))
-    full = _texts_of(near, sets, packed, words)
-    rows = near.join(full, "no").select(*group, "side", "no", "root", "hashes")
+    full = _texts_of(near, sets, texts, words)
+    rows = near.groupBy("no", "root").agg(F.collect_list(F.struct(*group, "side")).alias("at")).join(full, "no").select(
+        F.explode("at").alias("at"), "no", "root", "hashes").select("at.*", "no", "root", "hashes")
     found = map_arrow(rows.repartition(*group).sortWithinPartitions(*group, "side"), _confirmed(least), "u bigint, v bigint")
     return cut_lineage(components(links.unionByName(found)).withColumnRenamed("v", "no"))
 

@@ -168,6 +168,40 @@ def test_near_sets_of_longer_shingles_and_of_nothing(spark, nothing):
         hyper_minhash.near_duplicate_sets(nothing, similarity=0.5)
 
 
+def test_only_wanted_texts_are_shuffled(spark):
+    """op12: every text of the table was packed and shuffled to fetch a few of them."""
+    texts = pa.record_batch([pa.array(range(-5000, 5000), pa.int64()), pa.array(range(10000), pa.int64()),
+                             pa.array([None if i % 3 == 0 else f"text {i}" for i in range(10000)])],
+                            names=["th", "doc_id", "text"])
+    wanted = spark.createDataFrame([(t,) for t in range(-5000, 5000, 100)], "own bigint")
+    (kept,) = hyper_minhash._pack(hyper_minhash._bits(wanted))([texts])
+    assert set(range(-5000, 5000, 100)) <= set(kept.column(0).to_pylist()) and kept.num_rows < 1000
+    assert kept.schema.names == ["th", "doc_id", "packed"]
+    (none,) = hyper_minhash._pack(hyper_minhash._bits(wanted.limit(0)))([texts])
+    assert none.num_rows == 0
+
+
+def test_every_pair_of_a_large_bucket_meets_once(spark):
+    """op12: two unlike sets of a large bucket met twice, on rows that were dealt out twice."""
+    roots = [7] * 9 + list(range(100, 121))  # 9 sets of the main component, 21 others
+    rows = spark.createDataFrame([(i, 5, r, [(1, 0, 7, 6, 3)]) for i, r in enumerate(roots)],
+                                 "no long, n long, root long, places array<struct<key long, band int, main long, blocks int, mains int>>")
+    groups = {}
+    dealt = hyper_minhash._dealt(rows).collect()
+    assert len(dealt) == 21 * (6 + 3) + 9 * 6
+    for r in dealt:
+        groups.setdefault((r["i"], r["j"]), []).append((r["side"], r["no"]))
+    met = Counter()
+    for members in groups.values():
+        members.sort()
+        found = hyper_minhash._pairs(np.array([s for s, _ in members]), np.array([0, len(members)]))
+        met.update(frozenset((members[x][1], members[y][1])) for a, b in found for x, y in zip(a.tolist(), b.tolist()))
+    assert all(met[frozenset((a, b))] == (roots[a] != roots[b]) for a in range(30) for b in range(a))
+    alone = rows.withColumn("places", F.expr("transform(places, p -> named_struct("
+                            "'key', p.key, 'band', p.band, 'main', p.main, 'blocks', int(null), 'mains', int(null)))"))
+    assert {(r["i"], r["j"], r["side"]) for r in hyper_minhash._dealt(alone).collect()} == {(0, 0, 2)}
+
+
 def test_estimates_from_registers():
     rng = np.random.default_rng(2)
     for n in (5, 20, 60, 300, 3000):
