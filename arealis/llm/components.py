@@ -7,30 +7,35 @@ from pyspark.sql import DataFrame, functions as F
 from arealis.session import cut_lineage
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, part: int | None = None) -> DataFrame:
     """(v, root) for every vertex of ``edges`` (u, v): root is the smallest vertex of its component.
 
     Alternates two rounds until nothing changes: every vertex hands its larger neighbours
     to its smallest one, then every vertex hands its smaller neighbours to the smallest of
     them. Paths shorten by half in a round. No vertex gathers its neighbours in one place:
     minima are combined before the shuffle, and the joins back to the neighbours of a hub
-    are plain shuffled joins, which adaptive execution splits. Each round is a written table.
+    are plain shuffled joins, which adaptive execution splits. Each round is a written table;
+    with ``part``, by as few tasks as write about ``part`` edges each.
     """
+    def written(frame: DataFrame) -> DataFrame:
+        return cut_lineage(frame.coalesce(rows // part + 1) if part else frame)
+
     edges = cut_lineage(edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+    rows, state = edges.count() if part else 0, None
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
-        down = cut_lineage(both.join(low, "u").filter("v > u").select(
+        down = written(both.join(low, "u").filter("v > u").select(
             F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v").distinct())
         low = down.groupBy("u").agg(F.min("v").alias("low"))
-        edges = cut_lineage(down.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        edges = written(down.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
                             .unionByName(low.select("u", F.col("low").alias("v")))
                             .filter("u <> v").distinct())
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:
             break
-        state = new
+        rows, state = new[0], new
     stars = edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
-    return stars.unionByName(edges.select("v", F.col("v").alias("root")).distinct())
+    found = stars.unionByName(edges.select("v", F.col("v").alias("root")).distinct())
+    return found.coalesce(rows // part + 1) if part else found

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from arealis.session import cut_lineage
 
 from .components import components
-from .hot import join_counted
+from .hot import join_counted, join_hashed
 from .ship import map_arrow, small_batches
 from .words import GROUP_BYTES, row_groups, split_words
 
@@ -43,6 +43,8 @@ BANDS = REGISTERS // BAND_ROWS
 MARGIN = 0.2
 #: Sets of a bucket that one task compares with as many others; larger buckets are dealt out in pairs of blocks.
 BLOCK = 1 << 10
+#: Links that a task writes in a round of the components: fewer tasks where there are few links.
+PART = 1 << 15
 _VALUE_BITS = 53
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,17 +111,17 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return codes
 
 
+def value_chances(n: np.ndarray) -> np.ndarray:
+    """For sets of sizes ``n``, a row each: by number of leading zeros, the probability of a register,
+    scaled so that the sum of products of two rows is the chance that two unlike sets agree."""
+    low = 2.0 ** -np.arange(1, _VALUE_BITS + 1)
+    load = np.maximum(n / REGISTERS, 1.0)[:, None]
+    return (np.exp(-load * low) - np.exp(-load * 2 * low)) / 2.0 ** (MANTISSA / 2)
+
+
 def chance_equal(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Probability that the registers of a bucket of two sets without a common element are equal."""
-    total = np.zeros(len(n))
-    for zeros in range(_VALUE_BITS):
-        low, high = 2.0 ** -(zeros + 1), 2.0 ** -zeros
-        both = 1.0
-        for size in (n, m):
-            load = np.maximum(size / REGISTERS, 1.0)
-            both = both * (np.exp(-load * low) - np.exp(-load * high))
-        total += both / (1 << MANTISSA)
-    return total
+    return (value_chances(n) * value_chances(m)).sum(axis=1)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -264,19 +266,22 @@ def _with_partner(least: Fraction):
             front = np.ascontiguousarray(bands[:, :, :4]).view(np.uint64)[:, :, 0]  # four registers at once
             back = np.ascontiguousarray(bands[:, :, 4:]).view(np.uint16)[:, :, 0]
             limit = float(least) - MARGIN
+            sizes, size = np.unique(n, return_inverse=True)
+            chances = value_chances(sizes)
             for a, b in _pairs(sides, bounds):
                 open_ = (root[a] != root[b]) & ~(keep[a] & keep[b]) & (
                     np.minimum(n[a], n[b]) * least.denominator >= np.maximum(n[a], n[b]) * least.numerator)
                 a, b = a[open_], b[open_]
-                for cut in range(0, len(a), 1 << 14):
-                    x, y = a[cut:cut + (1 << 14)], b[cut:cut + (1 << 14)]
+                for cut in range(0, len(a), 1 << 12):
+                    x, y = a[cut:cut + (1 << 12)], b[cut:cut + (1 << 12)]
                     share = np.bitwise_count((codes[x] == codes[y]).view(np.uint64)).sum(axis=1) / REGISTERS
                     # The correction lowers a share by no more than 2^-MANTISSA: few pairs need it.
                     near = np.flatnonzero(share >= limit)
                     first = ((front[x[near]] == front[y[near]]) & (back[x[near]] == back[y[near]])).argmax(axis=1)
                     near = near[first == band[x[near]]]
                     edge = near[share[near] < limit + 2 / REGISTERS]
-                    low = edge[estimate(codes[x[edge]], codes[y[edge]], n[x[edge]], n[y[edge]]) < limit]
+                    by_chance = (chances[size[x[edge]]] * chances[size[y[edge]]]).sum(axis=1)
+                    low = edge[(share[edge] - by_chance) / (1 - by_chance) < limit]
                     near = np.setdiff1d(near, low)
                     keep[x[near]] = keep[y[near]] = True
             yield from table.select(["key", "i", "j", "side", "no", "root"]).filter(pa.array(keep)).to_batches()
@@ -363,16 +368,16 @@ def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, bl
     keyed = sets.select("no", "n", F.explode(bands).alias("b")).select("no", "n", "b.key", "b.band")
     shared = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("no", "n")).alias("lead"))
                          .filter("m > 1"))
-    members = cut_lineage(join_counted(keyed, shared, ["key"], "m"))
+    members = cut_lineage(join_hashed(keyed, shared, "key", "m"))
 
     first = members.filter(F.col("no") != F.col("lead.no")).groupBy("no", "n").agg(F.min("lead").alias("lead"))
     fit = F.least("n", "lead.n") * least.denominator >= F.greatest("n", "lead.n") * least.numerator
-    pairs = cut_lineage(first.filter(fit).select(F.col("lead.no").alias("u"), F.col("no").alias("v")))
+    pairs = first.filter(fit).select(F.col("lead.no").alias("u"), F.col("no").alias("v"))
     likely = cut_lineage(map_arrow(_sides(pairs, sets, "n", "regs"), _likely(float(least)), "u bigint, v bigint"))
     full = _texts_of(likely.select(F.explode(F.array("u", "v")).alias("no")), sets, texts, words)
     links = cut_lineage(map_arrow(_sides(likely, full, "hashes"), _alike(least), "u bigint, v bigint"))
 
-    roots = cut_lineage(components(links).withColumnRenamed("v", "no"))
+    roots = cut_lineage(components(links, PART).withColumnRenamed("v", "no"))
     placed = cut_lineage(members.drop("lead").join(roots, "no", "left").withColumn("root", F.coalesce("root", "no")))
     # Only pairs across components are open, and each has an end outside the bucket's largest one.
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("s")).groupBy("key").agg(
@@ -381,7 +386,7 @@ def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, bl
     left = cut_lineage(sizes.filter("most < m").select(
         "key", "m", "main", large(F.col("m") - F.col("most")).alias("blocks"), large(F.col("most")).alias("mains")))
     # A set meets its registers, and its full set, once; only then it is dealt out to its groups.
-    places = join_counted(placed, left, ["key"], "m").groupBy("no", "n", "root").agg(
+    places = join_hashed(placed, left, "key", "m").groupBy("no", "n", "root").agg(
         F.collect_list(F.struct("key", "band", "main", "blocks", "mains")).alias("places"))
     group = ["key", "i", "j"]
     rows = _dealt(places.join(sets.select("no", "regs"), "no"), "regs")
@@ -391,7 +396,7 @@ def set_roots(sets: DataFrame, texts: DataFrame, words: int, least: Fraction, bl
     rows = near.groupBy("no", "root").agg(F.collect_list(F.struct(*group, "side")).alias("at")).join(full, "no").select(
         F.explode("at").alias("at"), "no", "root", "hashes").select("at.*", "no", "root", "hashes")
     found = map_arrow(rows.repartition(*group).sortWithinPartitions(*group, "side"), _confirmed(least), "u bigint, v bigint")
-    return cut_lineage(components(links.unionByName(found)).withColumnRenamed("v", "no"))
+    return cut_lineage(components(links.unionByName(found), PART).withColumnRenamed("v", "no"))
 
 
 def near_duplicate_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 2,
@@ -420,7 +425,7 @@ def near_duplicate_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.min(F.struct("th", F.col("doc_id").alias("doc"), "regs")).alias("one"))
             .select("sid", "m", "first", "n", "one.*").withColumn("no", F.monotonically_increasing_id()))
         roots = set_roots(named.drop("m", "first"), source.select("th", "doc_id", "text"), words, least, block)
-    linked = cut_lineage(named.join(roots, "no", "left").withColumn(
+    linked = cut_lineage(named.select("sid", "m", "first", "no").join(roots, "no", "left").withColumn(
         "root", F.coalesce("root", "no")))
     ids = cut_lineage(linked.groupBy("root").agg(F.count("*").alias("k"), F.min("first").alias("component_id")))
     table = cut_lineage(join_counted(linked, ids, ["root"], "k").select("sid", "m", "component_id"))

@@ -1,8 +1,10 @@
 """Spelling variants, HyperMinHash near duplicates and periodic runs, against brute force."""
 
 import hashlib
+import sys
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealis.llm import hyper_minhash, periodic_runs, queries, spelling_variants
-from arealis.llm.hot import join_salted
+from arealis.llm.components import components
+from arealis.llm.hot import join_hashed, join_salted
 from arealis.llm.words import split_words
 
 # ---------------------------------------------------------------- helpers
@@ -221,6 +224,52 @@ def test_estimates_from_registers():
     assert 0.3 < np.mean(apart) / hyper_minhash.chance_equal(np.array([500]), np.array([500]))[0] < 3
 
 
+def test_agreement_by_chance_from_one_row_per_size():
+    n, m = np.array([1, 40, 300, 5000, 10 ** 6]), np.array([7, 40, 2000, 100, 10 ** 6])
+    wanted = np.zeros(len(n))
+    for zeros in range(53):
+        shares = [np.exp(-load / 2 ** (zeros + 1)) - np.exp(-load / 2 ** zeros) for load in (np.maximum(x / 256, 1) for x in (n, m))]
+        wanted += shares[0] * shares[1] / 1024
+    assert np.allclose(hyper_minhash.chance_equal(n, m), wanted, rtol=1e-12, atol=0)
+    assert hyper_minhash.value_chances(np.zeros(0, np.int64)).shape == (0, 53)
+
+
+def test_large_bucket_computes_chances_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2 ** 63, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[25:], rng.integers(0, 2 ** 63, 25).astype(np.uint64)])) for _ in range(60)]
+    table = pa.table({"key": [1] * 60, "i": [0] * 60, "j": [0] * 60, "side": [2] * 60, "band": [0] * 60,
+                      "no": list(range(60)), "n": [len(s) for s in sets], "root": list(range(60)),
+                      "regs": [c.tobytes() for c in hyper_minhash.registers(sets)]})
+    calls, real = [], hyper_minhash.value_chances
+    monkeypatch.setattr(hyper_minhash, "value_chances", lambda n: calls.append(len(n)) or real(n))
+    list(hyper_minhash._with_partner(Fraction(4, 5))(iter(table.to_batches())))
+    assert calls == [1]  # all sets have 100 elements
+
+
+def test_hot_keys_are_filtered_not_left_joined(spark):
+    rows = [(k, i) for k in range(40) for i in range(3000 if k == 7 else 60 if k == 9 else 2)]
+    frame = spark.createDataFrame(rows, "key bigint, v int")
+    for keys in ([7, 9, 11, 99], [11, 12], []):
+        table = spark.createDataFrame([(k, sum(1 for x, _ in rows if x == k), f"t{k}") for k in keys], "key bigint, m bigint, t string")
+        joined = join_hashed(frame, table, "key", "m")
+        assert Counter(map(tuple, joined.collect())) == Counter((k, i, f"t{k}") for k, i in rows if k in keys)
+        assert joined.columns == ["key", "v", "t"]
+        assert "LeftOuter" not in joined._jdf.queryExecution().toString()
+
+
+def test_components_of_few_links_are_written_by_few_tasks(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 60) if i % 10 < 8], "u bigint, v bigint").repartition(7, "u")
+    wanted = {tuple(r) for r in components(links).collect()}
+    files, module = [], sys.modules["arealis.llm.components"]
+    cut = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: files.append(len((made := cut(df)).inputFiles())) or made)
+    for part in (10, 1 << 15):
+        files.clear()
+        assert {tuple(r) for r in components(links, part).collect()} == wanted
+        assert max(files[1:]) <= 48 // part + 1
+
+
 # ---------------------------------------------------------------- periodic runs
 
 
