@@ -4,9 +4,9 @@ Equal passages of ``length`` bytes are brought together by content: the k-gram w
 smallest hash inside a passage is its anchor, and equal passages have equal anchors. Only
 anchors that several documents share go on; around each of them the bytes of every
 passage that contains it are cut out (the context), and contexts with the same anchor meet
-in one task. There a suffix array of the distinct contexts is built: suffixes smaller
-than their successors are sorted directly, all others are induced by scanning the
-buckets of first bytes once. Neighbours in the array that share ``length`` bytes are
+in one task. There a suffix array is built of the distinct contexts that can share a passage
+with another one: suffixes smaller than their successors are sorted directly, all others are
+induced by scanning the buckets of first bytes once. Neighbours in the array that share ``length`` bytes are
 equal passages; the smallest document of each run keeps its copy.
 
 Documents that equal an earlier one as a whole are found first and take no part.
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from arealis.session import cut_lineage
@@ -31,9 +32,11 @@ from .ship import map_arrow
 
 LENGTH = 50
 GRAM = 16
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 #: Contexts that one suffix array holds at least, if there are as many; whole keys only.
 ARRAY_CONTEXTS = 1 << 14
+#: Contexts that are held to find equal ones before they go to the shuffle.
+BATCH_CONTEXTS = 1 << 17
 _POS_BITS = 40
 
 
@@ -42,10 +45,10 @@ _POS_BITS = 40
 
 def _words(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on, as one number; zeros follow the end."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(text), np.uint64)
-    for k in range(8):
-        out = (out << np.uint64(8)) | padded[k:k + len(text)]
+    out = np.concatenate([text, np.zeros(7, np.uint8)])
+    for bits in (8, 16, 32):
+        wide = out.astype(f"u{bits // 4}")
+        out = (wide[:-(bits // 8)] << wide.dtype.type(bits)) | wide[bits // 8:]
     return out
 
 
@@ -214,7 +217,7 @@ def _find_anchors(length: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and document, those whose key is in several documents."""
+    """Of rows sorted by key, those whose key is in several documents."""
     held: list[pa.RecordBatch] = []  # rows of the last key while it has one document only
     key = doc = None
     shared = False
@@ -224,9 +227,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         ends = np.append(bounds[1:], len(keys))
-        several = docs[bounds] != docs[ends - 1]
+        several = np.minimum.reduceat(docs, bounds) != np.maximum.reduceat(docs, bounds)
         if keys[0] == key:
-            several[0] |= shared or doc != docs[ends[0] - 1]
+            several[0] |= shared or doc != docs[0]
             if several[0]:
                 yield from held
                 held = []
@@ -257,67 +260,126 @@ def _cut_contexts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[tuple[int, bytes], tuple[int, list[int], list[int]]] = {}
-            size = 0
-            for doc, tag, packed, refs, keys in zip(*(c for c in batch.columns)):
-                doc, tag, text = doc.as_py(), tag.as_py(), open_().decompress(packed.as_py())
-                high = tag << _POS_BITS
-                for ref, key in zip(refs.values.to_numpy(), keys.values.to_numpy()):
-                    at = int(ref) - high
-                    start = max(0, at - (length - GRAM))
-                    context = text[start:at + length]
-                    entry = found.get((key, context))
-                    if entry is None:
-                        found[key, context] = entry = (int(key), [], [])
-                        size += len(context)
-                    entry[1].append(doc)
-                    entry[2].append(high | start)
-                if size > 1 << 23:
-                    yield _context_rows(found)
-                    found, size = {}, 0
-            yield _context_rows(found)
+            found: dict[tuple[int, bytes], int] = {}
+            code, docs, places = [], [], []
+            for doc, packed, refs, keys in zip(*(batch.column(c) for c in (0, 2, 3, 4))):
+                text, ref = open_().decompress(packed.as_py()), refs.values.to_numpy()
+                at = ref & ((1 << _POS_BITS) - 1)
+                starts, ends = np.maximum(at - (length - GRAM), 0).tolist(), (at + length).tolist()
+                code += [found.setdefault((key, text[a:b]), len(found))
+                         for key, a, b in zip(keys.values.to_pylist(), starts, ends)]
+                docs.append(np.full(len(ref), doc.as_py(), np.int64))
+                places.append(ref)
+                if len(found) >= BATCH_CONTEXTS:
+                    yield _context_rows(found, code, docs, places)
+                    found, code, docs, places = {}, [], [], []
+            if found:
+                yield _context_rows(found, code, docs, places)
     return run
 
 
-def _context_rows(found: dict) -> pa.RecordBatch:
+def _context_rows(found: dict, code: list[int], docs: list[np.ndarray], refs: list[np.ndarray]) -> pa.RecordBatch:
+    of = np.array(code, np.int64)
+    order = np.argsort(of, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(found)))]).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x)[order])) for x in (docs, refs)]
     return pa.RecordBatch.from_arrays(
-        [pa.array([e[0] for e in found.values()], pa.int64()),
-         pa.array([c for _, c in found], pa.binary()),
-         pa.array([e[1] for e in found.values()], pa.list_(pa.int64())),
-         pa.array([e[2] for e in found.values()], pa.list_(pa.int64()))],
+        [pa.array([k for k, _ in found], pa.int64()), pa.array([c for _, c in found], pa.binary()), *lists],
         names=["key", "context", "docs", "refs"])
 
 
+def _windows(text: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` bytes (eight at least) from each of these positions on."""
+    out = np.zeros(len(at), np.uint64)
+    for k in [*range(0, width - 7, 8), width - 8]:
+        word = sliding_window_view(text, 8)[at + k].view(np.uint64)[:, 0]
+        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) ^ word)
+    return out
+
+
+def alike(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: np.ndarray, context: np.ndarray,
+          offset: np.ndarray, length: int) -> np.ndarray:
+    """Numbers of the contexts that can share a passage of ``length`` bytes with another context.
+
+    Such a passage leaves ``length - GRAM`` bytes around its anchor, so that one side of the
+    anchor is equal for half of them at least. ``key``, ``context`` and ``offset`` (of the anchor
+    in it) name the anchors, context i is ``text[starts[i]:ends[i]]``.
+    """
+    side = (length - GRAM + 1) // 2
+    at = starts[context] + offset
+    found = []
+    for known, begin in ((offset >= side, at - side), (at + GRAM + side <= ends[context], at + GRAM)):
+        own, mark = context[known], _mix(key[known] ^ _windows(text, begin[known], side))
+        order = np.argsort(mark)
+        own, mark = own[order], mark[order]
+        cuts = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]])[:len(mark)])
+        if len(cuts):
+            differ = np.minimum.reduceat(own, cuts) < np.maximum.reduceat(own, cuts)
+            found.append(own[np.repeat(differ, np.diff(np.append(cuts, len(own))))])
+    return np.unique(np.concatenate(found)) if found else context[:0]
+
+
+def _least(contexts: list[bytes], first: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(context, offsets from, to, document): the smallest document of the passages that start there.
+
+    ``first`` is the smallest document of each context. Sorted by context and offset.
+    """
+    owner, offset, number = passage_groups(contexts, length)
+    cuts = np.flatnonzero(np.concatenate([[True], np.diff(number) > 0]))
+    least = np.repeat(np.minimum.reduceat(first[owner], cuts), np.diff(np.append(cuts, len(number))))
+    order = np.lexsort((offset, owner))
+    owner, offset, least = owner[order], offset[order], least[order]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) > 0) | (np.diff(least) != 0)]))
+    return owner[new], offset[new], offset[np.append(new[1:], len(owner)) - 1], least[new]
+
+
 def _mark(length: int):
-    """For rows (key, context, docs, refs) sorted by key: spans that a smaller document has too."""
+    """For rows (key, context, docs, refs) sorted by key: spans that a smaller document has too.
+
+    Only contexts that can share a passage with another one go into the suffix array; of the
+    others the smallest document keeps its copy.
+    """
     def spans(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
         encoded = table["context"].combine_chunks().dictionary_encode()
-        contexts, code = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        contexts, code = encoded.dictionary, encoded.indices.to_numpy()
         docs = table["docs"].combine_chunks()
-        of = np.repeat(code, np.diff(docs.offsets.to_numpy()))
+        row = np.repeat(np.arange(len(code)), np.diff(docs.offsets.to_numpy()))
+        of = code[row]
         doc = docs.flatten().to_numpy()
         ref = table["refs"].combine_chunks().flatten().to_numpy()
+        offset = np.minimum(ref & ((1 << _POS_BITS) - 1), length - GRAM)
+        start = ref - offset
         # Smallest document of each distinct context, then of each class of passages.
         first = np.full(len(contexts), np.iinfo(np.int64).max)
         np.minimum.at(first, of, doc)
-        owner, offset, number = passage_groups(contexts, length)
-        if not len(owner):
-            return _span_rows(doc[:0], ref[:0], ref[:0])
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(number) > 0]))
-        least = np.repeat(np.minimum.reduceat(first[owner], cuts), np.diff(np.append(cuts, len(number))))
-        width = int(offset.max()) + 1
-        table_ = np.full((len(contexts), width), np.iinfo(np.int64).max)
-        table_[owner, offset] = least
-        out = []
-        for c in range(0, len(doc), 1 << 16):
-            part = slice(c, c + (1 << 16))
-            gone = np.zeros((len(doc[part]), width + 2), np.int8)
-            gone[:, 1:-1] = table_[of[part]] < doc[part][:, None]
-            turn = np.diff(gone, axis=1)
-            row, start = np.nonzero(turn == 1)
-            _, stop = np.nonzero(turn == -1)
-            out.append((doc[part][row], ref[part][row] + start, ref[part][row] + stop - 1 + length))
+        bounds = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset:contexts.offset + len(contexts) + 1].astype(np.int64)
+        text = np.frombuffer(contexts.buffers()[2], np.uint8)
+        once = np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1])])[:len(row)]
+        key = table["key"].to_numpy()[row[once]].view(np.uint64)
+        mixed = alike(text, bounds[:-1], bounds[1:], key, of[once], offset[once], length)
+        alone = np.ones(len(contexts), bool)
+        alone[mixed] = False
+        whole = alone[of] & (first[of] < doc)
+        out = [(doc[whole], start[whole], start[whole] + (bounds[1:] - bounds[:-1])[of[whole]])]
+        if len(mixed):
+            owner, low, high, least = _least(contexts.take(pa.array(mixed)).to_pylist(), first[mixed], length)
+            begin = np.zeros(len(contexts), np.int64)
+            count = np.zeros(len(contexts), np.int64)
+            begin[mixed] = np.searchsorted(owner, np.arange(len(mixed)))
+            count[mixed] = np.bincount(owner, minlength=len(mixed))
+            later = np.flatnonzero(~alone[of])
+            for c in range(0, len(later), 1 << 16):
+                part = later[c:c + (1 << 16)]
+                n = count[of[part]]
+                at = np.repeat(part, n)
+                run = np.repeat(begin[of[part]] - np.cumsum(n) + n, n) + np.arange(len(at))
+                gone = least[run] < doc[at]
+                at, run = at[gone], run[gone]
+                # Neighbouring runs that go both are one span.
+                new = np.concatenate([[True], (at[1:] != at[:-1]) | (run[1:] != run[:-1] + 1)])[:len(at)]
+                last = np.append(new[1:], True)[:len(at)]
+                out.append((doc[at[new]], start[at[new]] + low[run[new]], start[at[last]] + high[run[last]] + length))
         return _span_rows(*map(np.concatenate, zip(*out)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,7 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     shared = cut_lineage(
         map_arrow(map_arrow(known, _find_anchors(length), "key bigint, doc bigint, ref bigint")
-                  .repartition("key").sortWithinPartitions("key", "doc"), _shared,
+                  .repartition("key").sortWithinPartitions("key"), _shared,
                   "key bigint, doc bigint, ref bigint"))
     release_shuffles(spark)  # of all anchors
     wanted = shared.withColumn("tag", F.shiftright("ref", _POS_BITS)).join(copies, ["doc", "tag"], "left_anti").groupBy("doc", "tag").agg(

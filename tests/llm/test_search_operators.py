@@ -5,7 +5,9 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 import xxhash
 from pyspark.sql import functions as F
 
@@ -132,6 +134,57 @@ def test_repeats_like_brute_force(awkward, sample):
     assert got == brute_removed([(r.doc_id, (r.text or "").encode()) for r in df.collect()])
 
 
+def marked_bytes(texts, length=50):
+    """Bytes per text that the steps after the anchors mark, in one process; text i is document i."""
+    owner, at, key = suffix_dedup.anchors(texts, length)
+    own = [np.flatnonzero(owner == i) for i in range(len(texts))]
+    rows = [(i, zstandard.compress(t), at[o].tolist(), key[o].view(np.int64).tolist()) for i, (t, o) in enumerate(zip(texts, own))]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([0] * len(rows), pa.int64()),
+                                        pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                                        pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=["doc", "tag", "packed", "refs", "keys"])
+    contexts = pa.Table.from_batches(suffix_dedup._cut_contexts(length)(iter([batch]))).sort_by("key")
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for out in suffix_dedup._mark(length)(iter(contexts.to_batches(max_chunksize=100))):
+        for doc, _, start, end in zip(*(c.to_pylist() for c in out.columns)):
+            gone[doc][start:end] = True
+    return gone, len(set(zip(contexts["key"].to_pylist(), contexts["context"].to_pylist())))
+
+
+@pytest.mark.parametrize("array_contexts", [1, 1 << 14])
+@pytest.mark.parametrize("letters", [2, 26])
+def test_only_contexts_that_can_share_a_passage_are_sorted(monkeypatch, letters, array_contexts):
+    monkeypatch.setattr(suffix_dedup, "ARRAY_CONTEXTS", array_contexts)
+    sorted_ = []
+    groups = suffix_dedup.passage_groups
+    monkeypatch.setattr(suffix_dedup, "passage_groups", lambda c, n: sorted_.extend(c) or groups(c, n))
+    rng = np.random.default_rng(letters)
+
+    def prose(n):
+        return (rng.integers(0, letters, n) + 97).astype(np.uint8).tobytes()
+
+    line, long, gram, period = prose(55), prose(400), prose(30), prose(3) * 40
+    texts = [prose(int(rng.integers(0, 120))) + part + prose(int(rng.integers(0, 120)))
+             for part in [line, long, gram, period, line[:50], line[:49], line[2:], b"", period[1:90]] * 6]
+    texts += [line, long[:60], period, b"", texts[1], long + line]
+    gone, distinct = marked_bytes(texts)
+    want = brute_removed([(i, t) for i, t in enumerate(texts)])
+    got = Counter((i, len(t), int(g.sum()), int((np.diff(np.concatenate([[0], g.astype(int)])) == 1).sum()),
+                   hashlib.sha256(bytes(np.frombuffer(t, np.uint8)[~g])).hexdigest()) for i, (t, g) in enumerate(zip(texts, gone)))
+    assert got == want
+    assert 0 < len(sorted_) < distinct * 2 / 3
+
+
+def test_shared_keys_in_any_order_of_documents():
+    rng = np.random.default_rng(5)
+    key = np.sort(rng.integers(0, 40, 300))
+    doc = np.where(key % 3 == 0, key, rng.integers(0, 3, 300))
+    table = pa.table({"key": key, "doc": doc, "ref": np.arange(300)})
+    several = {k for k in key.tolist() if len(set(doc[key == k].tolist())) > 1}
+    for size in (1, 2, 7, 300):
+        got = [r for b in suffix_dedup._shared(iter(table.to_batches(max_chunksize=size))) for r in b.column(2).to_pylist()]
+        assert got == [r for r, k in enumerate(key.tolist()) if k in several]
+
+
 def test_repeats_nothing(nothing):
     assert suffix_dedup.remove_repeats(nothing).collect() == []
 
