@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import geo
 from ..functions.scalars import let
 from ..session import cut_lineage
-from .skew import is_small, numbered_rows, task_count
+from .skew import TASK_ROWS, is_small, numbered_rows, task_count
 
 #: Places that a leaf of the split tree holds about; parts that one level cuts a cell into at most.
 LEAF, PARTS = 32, 256
@@ -235,16 +235,20 @@ def neighbor_self_join(panel: DataFrame, edges: DataFrame, location: str, target
     """Panel rows with each neighbour's count of the same month (NULL where absent).
 
     Rows of locations without neighbours, often most of the panel, take no part in the join:
-    their empty key would bring each month of them to one task.
+    their empty key would bring each month of them to one task. A written panel takes about a
+    byte a row: by its size the optimiser would bring millions of rows to the driver to send
+    them out, so the joins are merged, that with the edges where a count shows that they are many.
     """
     panel = cut_lineage(panel)
     links = edges.select(F.col("location").alias(location), "neighbor", "distance", "neighbor_rank")
+    if not is_small(links, TASK_ROWS):
+        links = links.hint("merge")
     other = panel.select(F.col(location).alias("neighbor"), "year", "month",
                          F.col(target).alias(f"{target}_neighbor"))
     linked = panel.join(links, location)
     tasks = task_count(panel.sparkSession, panel.count() + linked.count())
     keys = ["neighbor", "year", "month"]
-    found = linked.repartition(tasks, *keys).join(other, keys, "left")
+    found = linked.repartition(tasks, *keys).join(other.hint("merge"), keys, "left")
     alone = panel.join(links, location, "left_anti")
     return found.unionByName(alone, allowMissingColumns=True)
 

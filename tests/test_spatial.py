@@ -185,3 +185,23 @@ def test_rows_without_neighbours_take_no_part_in_the_join(spark):
     rows = sorted((r.loc, r.month, r.neighbor or 0, r.n_neighbor) for r in got.collect())
     assert len(rows) == 63
     assert [r for r in rows if r[0] == 1] == [(1, m, k, 20 * (m - 1) + 2 if k == 2 else None) for m in (1, 2, 3) for k in (2, 99)]
+
+
+def test_panel_of_neighbours_is_not_sent_to_the_driver(spark, monkeypatch):
+    panel = spark.range(900).select((F.col("id") % 300).alias("loc"), F.lit(2020).alias("year"),
+                                    (F.floor(F.col("id") / 300) + 1).cast("int").alias("month"), F.lit(7).alias("n"))
+    edges = spark.range(1, 200).selectExpr("id AS location", "id + 150 AS neighbor", "0.5D AS distance", "1 AS neighbor_rank")
+
+    def joins(df):
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+
+    few = sp.neighbor_self_join(panel, edges, "loc", "n")
+    assert joins(few) == (2, 1)  # both joins with the edges, which are few, are sent out
+    monkeypatch.setattr(sp, "TASK_ROWS", 100)
+    many = sp.neighbor_self_join(panel, edges, "loc", "n")
+    assert joins(many) == (0, 3)
+    rows = sorted(map(tuple, few.select("loc", "month", "neighbor", "n_neighbor").fillna(-1).collect()))
+    assert rows == sorted(map(tuple, many.select("loc", "month", "neighbor", "n_neighbor").fillna(-1).collect()))
+    assert len(rows) == 900 and sum(r[3] == 7 for r in rows) == 149 * 3
